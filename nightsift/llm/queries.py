@@ -12,18 +12,28 @@ from .language import identify
 from .mixing import mix
 from .packing import pack
 from .quality import judge
+from .secrets import scan
 from .simhash import near_duplicates
 from .token_counts import count_tokens
+from .warc import round_trip
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -41,5 +51,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_source_mixing, op4_best_fit_packing, op6_quality_rules, op7_token_counts, op9_language_id, op10_simhash)
+    f.__name__: f for f in (op2_source_mixing, op3_secret_scans, op4_best_fit_packing, op5_warc, op6_quality_rules, op7_token_counts, op9_language_id, op10_simhash)
 }
