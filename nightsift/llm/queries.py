@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import crc_mod, table
 from .language import identify
+from .merkle import fingerprints
 from .mixing import mix
 from .packing import pack
 from .quality import judge
@@ -42,6 +43,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"), crc_mod("doc_id", 4) != 2)
 
@@ -51,5 +56,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_source_mixing, op3_secret_scans, op4_best_fit_packing, op5_warc, op6_quality_rules, op7_token_counts, op9_language_id, op10_simhash)
+    f.__name__: f for f in (op2_source_mixing, op3_secret_scans, op4_best_fit_packing, op5_warc, op6_quality_rules, op7_token_counts, op8_fingerprints, op9_language_id, op10_simhash)
 }
