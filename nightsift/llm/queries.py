@@ -16,9 +16,14 @@ from .quality import judge
 from .secrets import scan
 from .simhash import near_duplicates
 from .token_counts import count_tokens
+from .toxicity import score
 from .warc import round_trip
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -56,5 +61,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_source_mixing, op3_secret_scans, op4_best_fit_packing, op5_warc, op6_quality_rules, op7_token_counts, op8_fingerprints, op9_language_id, op10_simhash)
+    f.__name__: f for f in (op1_toxicity, op2_source_mixing, op3_secret_scans, op4_best_fit_packing, op5_warc, op6_quality_rules, op7_token_counts, op8_fingerprints, op9_language_id, op10_simhash)
 }
