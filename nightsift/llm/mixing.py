@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, word_count
+from .common import SPACE, materialize, word_count
 
 #: Characters whose share lowers a document's quality weight.
 SYMBOLS = "#*$%&|<>"
@@ -81,3 +81,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before") - within))
     taken = (F.col("epochs") * F.col("size") + part).cast("long").alias("taken")
     return joined.select(F.col("row.id").alias(id_col), "size", F.col("source_size").cast("long").alias("source_size"), "target", taken, *(F.col(f"row.{c}").alias(c) for c in keep))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself, with the columns of docs: a row for each time a document is taken; in part: its first words, space-joined."""
+    others = tuple(c for c in docs.columns if c != id_col)
+    rows = mix(docs, id_col, text_col, source_col, others, **options).where("taken > 0")
+    words = F.filter(F.split(text_col, rf"[{SPACE}]+"), lambda w: w != "")
+    part = F.col("taken") % F.col("size")
+    cut = F.array_join(F.slice(words, F.lit(1), part.cast("int")), " ")
+    whole = F.floor(F.col("taken") / F.col("size")).cast("int")
+    copies = F.when(part == 0, F.array_repeat(F.col(text_col), whole)).otherwise(F.concat(F.array_repeat(F.col(text_col), whole), F.array(cut)))
+    kept = [c for c in others if c != text_col]
+    out = rows.select(id_col, *(F.struct(*kept).alias("kept") for _ in [0] if kept), F.explode(copies).alias("_text"))
+    return out.select(*(F.col(id_col) if c == id_col else F.col("_text").alias(c) if c == text_col else F.col(f"kept.{c}").alias(c) for c in docs.columns))

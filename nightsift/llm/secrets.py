@@ -55,7 +55,7 @@ def joined(spans: Column) -> Column:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", live_owners: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: the id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, and `keep`.
+    """Per row: the id, n_assign, n_access, n_hex, base_sha256, spans, live (places), n_live, n_example, and `keep`.
 
     A base candidate counts as live if at most `live_owners` distinct owners hold its value, else as an example. Added
     spans (kind bare) repeat a live value outside of base spans. Null texts are empty (no spans; the hash of the empty
@@ -75,7 +75,24 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     each = rows.where("size(base) + size(bare) > 0").select("n", F.explode(F.concat("base", "bare")).alias("s")).select("n", "s", F.col("s.value").alias("value"))
     judged = each.join(spread, "value", "left").where(f"s.kind < 3 or owners <= {live_owners}")
     live = F.col("owners") <= live_owners
-    of_row = judged.groupBy("n").agg(F.array_sort(F.collect_list("s")).alias("spans"), F.count(F.when(live & (F.col("s.kind") < 3), 1)).alias("n_live"), F.count(F.when(~live, 1)).alias("n_example"))
-    out = rows.join(of_row, "n", "left")
+    place = F.struct(F.col("s.start"), F.col("s.end"), F.col("s.kind"))
+    of_row = judged.groupBy("n").agg(F.array_sort(F.collect_list("s")).alias("spans"), F.array_sort(F.collect_list(F.when(live, place))).alias("live"), F.count(F.when(live & (F.col("s.kind") < 3), 1)).alias("n_live"), F.count(F.when(~live, 1)).alias("n_example"))
+    some = F.size("base") + F.size("bare") > 0  # the others need no join
     zero = F.lit(0).cast("long")
-    return out.select(F.col("row.id").alias(id_col), *(f"n_{k}" for k in KINDS[:3]), F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), F.coalesce(joined(F.col("spans")), F.lit("")).alias("spans"), F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_example", zero).alias("n_example"), *(F.col(f"row.{c}").alias(c) for c in keep))
+    columns = lambda spans, places, n_live, n_example: [F.col("row.id").alias(id_col), *(f"n_{k}" for k in KINDS[:3]), F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), spans.alias("spans"), places.alias("live"), n_live.alias("n_live"), n_example.alias("n_example"), *(F.col(f"row.{c}").alias(c) for c in keep)]
+    empty = F.array().cast("array<struct<start:int,end:int,kind:int>>")
+    quiet = rows.where(~some).select(*columns(F.lit(""), empty, zero, zero))
+    noisy = rows.where(some).join(of_row, "n", "left")
+    return quiet.union(noisy.select(*columns(F.coalesce(joined(F.col("spans")), F.lit("")), F.coalesce("live", empty), F.coalesce("n_live", zero), F.coalesce("n_example", zero))))
+
+
+def masked(text: Column, live: Column, mask: str = "[secret]") -> Column:
+    """The text with each of the live places (start, end; sorted by start) replaced by the mask; overlapping ones merge."""
+
+    def step(acc: Column, x: Column) -> Column:
+        more = F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), more.alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    whole = F.aggregate(live, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return F.when(F.size(live) > 0, whole).otherwise(text)

@@ -167,11 +167,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null and empty texts have the fingerprint 0, which links like any other. Repeated rows stay, in one component; null
     ids count only where a component has no other (component_id null). An empty table gives an empty one.
     """
-    prints = materialize(with_fingerprints(docs, id_col, text_col, width, seed, keep), "prints")
-    lows = materialize(prints.groupBy("fp").agg(F.min("id").alias("low")), "lows")
+    prints, by_fp = grouped(docs, id_col, text_col, width, seed, radius, keep)
+    out = prints.join(by_fp, "fp")
+    return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first.id").alias("component_id"), *keep)
+
+
+def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, seed: int, radius: int, keep: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """The rows with fp and a row number n, and for each fp its component's first row: struct (id, n)."""
+    prints = with_fingerprints(docs, id_col, text_col, width, seed, keep)
+    prints = materialize(prints.withColumn("n", F.monotonically_increasing_id()), "prints")
+    low = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n"))
+    lows = materialize(prints.groupBy("fp").agg(low.alias("low")), "lows")
     star = stars(links(lows.select("fp"), radius))
     member = lows.join(star.toDF("fp", "root"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    least = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = member.join(least, "root").select("fp", "component_id")
-    out = prints.join(by_fp, "fp")
-    return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *keep)
+    least = member.groupBy("root").agg(F.min("low").alias("first"))
+    return prints, member.join(least, "root").select("fp", "first")
+
+
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, seed: int = 42, radius: int = RADIUS) -> DataFrame:
+    """docs with one row of each component: that of the least id (of repeated ids, one of them)."""
+    others = tuple(c for c in docs.columns if c != id_col)
+    prints, by_fp = grouped(docs, id_col, text_col, width, seed, radius, others)
+    first = by_fp.select("first.n").distinct()
+    return prints.join(first, "n", "left_semi").select(*(F.col("id").alias(c) if c == id_col else F.col(c) for c in docs.columns))
