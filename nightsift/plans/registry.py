@@ -1,4 +1,620 @@
-"""All queries over the driver's tables, with their DuckDB twins."""
+"""Queries over the driver's tables (through the derived inputs of nightsift.fixtures), and their DuckDB twins."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from nightsift import functions as fn
+from nightsift.fixtures import load, oracle
+from nightsift.operators import candidates as c
+from nightsift.operators import comets, coverage, lightcurve, reports, requests
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+BASE = "http://host/data"
+NOW = datetime(1998, 8, 2)
+
+
+def query(name: str, source: str, sql: str | None):
+    """Registers a function of one derived input (or of a loader, if source is empty)."""
+
+    def register(f):
+        if source:
+            QUERIES[name] = lambda spark, sf_dir: f(load(spark, sf_dir, source))
+        else:
+            QUERIES[name] = lambda spark, sf_dir: f(lambda x: load(spark, sf_dir, x))
+        if sql:
+            ORACLE_SQL[name] = oracle(sql)
+        return f
+
+    return register
+
+
+# Pieces of DuckDB SQL that several twins share.
+MEAN = r"^\s*(\d{4}\s+\d{1,2}\s+\d{1,2}\.\d+)\s+(\d+\.\d+)\s+(-?\d+\.\d+)\s+(\d{1,2}:\d{2}:\d{2}(?:\.\d+)?)\s+([+\-]\d{1,2}:\d{2}:\d{2}(?:\.\d+)?)"
+LINES = "string_split(pre, chr(10))"
+MEAN_LINE = f"list_filter({LINES}, lambda x: regexp_matches(x, '{MEAN}'))[1]"
+DEG = "(CAST(string_split({0},':')[1] AS INT) + CAST(string_split({0},':')[2] AS INT)/60.0::DOUBLE + CAST(string_split({0},':')[3] AS DOUBLE)/3600.0::DOUBLE)"
+AST = "contains(pre,'The object was found in astcheck')"
+NEXT_TOKEN = "replace(regexp_extract({lines}[list_position(list_transform({lines}, lambda x: contains(x,'{cat}')), true)+1], '^\\s*(\\S+)', 1), '\"', '')"
+NEVER = f"len(list_filter({LINES}, lambda x: contains(x,'galactic') AND contains(x,'Second-epoch detections are separated by') AND contains(x,'This object is listed in neverexclude_list.txt')))>0"
+LIST = r"regexp_extract(pre, 'This object is listed in (\S+\.txt)', 1)"
+KEY = f"CASE {LIST} WHEN '' THEN NULL " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in c.EXCLUSION_KEYS.items()) + rf" ELSE regexp_replace({LIST}, '\.[^.]*$', '') END"
+
+
+def variable(cat: str) -> str:
+    token = NEXT_TOKEN.format(lines=LINES, cat=cat)
+    return f"coalesce(contains(pre,'The object was found in {cat}') AND regexp_full_match({token}, '[+-]?\\d+') AND TRY_CAST({token} AS INT) <= 30, false)"
+
+
+CLASS = f"CASE WHEN {AST} THEN 'known_asteroid' WHEN ({variable('VSX')} OR {variable('ASASSN-V')}) AND NOT {NEVER} THEN 'known_variable' WHEN coalesce(({KEY}) IN ('tocp','asassn_transients','tns_transients'), false) THEN 'known_transient' ELSE 'new' END"
+
+
+@query("p2_p4_candidate_id_field", "fx_candidates", r"SELECT event_id, regexp_extract(concat('<a name=''', id, '''>'), '<a name=[''\"]([^''\"]+)', 1) AS id, nullif(regexp_extract(id, '^\d+_(?:fd_)?(.+?)_\d{4}-', 1), '') AS field FROM fx_candidates")
+def _(df):
+    return c.with_field(c.with_candidate_id(df.withColumn("html", F.concat(F.lit("<a name='"), "id", F.lit("'>"))))).select("event_id", "id", "field")
+
+
+@query("p5_p6_p18_mean", "fx_candidates", f"SELECT event_id, regexp_extract(l,'{MEAN}',1) AS date_frac, CAST(regexp_extract(l,'{MEAN}',2) AS DOUBLE) AS jd, CAST(regexp_extract(l,'{MEAN}',3) AS DOUBLE) AS mag, r AS ra_hms, d AS dec_dms, round({DEG.format('r')}*15.0, 6) AS ra_deg, round(CASE WHEN starts_with(d,'-') THEN -1 ELSE 1 END * {DEG.format('substr(d,2)')}, 6) AS dec_deg, CAST(regexp_extract(pre,'(-?\\d+\\.\\d+)\\s+(-?\\d+\\.\\d+)\\s+galactic',1) AS DOUBLE) AS gal_l, CAST(regexp_extract(pre,'(-?\\d+\\.\\d+)\\s+(-?\\d+\\.\\d+)\\s+galactic',2) AS DOUBLE) AS gal_b, regexp_extract(pre,'galactic\\s+([A-Za-z]{{3}})',1) AS constellation FROM (SELECT *, regexp_extract(l,'{MEAN}',4) AS r, regexp_extract(l,'{MEAN}',5) AS d FROM (SELECT event_id, pre, {MEAN_LINE} AS l FROM fx_candidates))")
+def _(df):
+    m = c.with_mean(df)
+    return m.select("event_id", F.col("mean.date_utc_dayfraction").alias("date_frac"), F.col("mean.jd_utc").alias("jd"), "mean.mag", "mean.ra_hms", "mean.dec_dms", F.round("mean.ra_deg", 6).alias("ra_deg"), F.round("mean.dec_deg", 6).alias("dec_deg"), F.col("mean.galactic_l_deg").alias("gal_l"), F.col("mean.galactic_b_deg").alias("gal_b"), "mean.constellation")
+
+
+@query("p17_jd_to_iso", "fx_candidates", f"SELECT event_id, strftime(make_timestamp(CAST(round((CAST(regexp_extract({MEAN_LINE},'{MEAN}',2) AS DOUBLE)-2440587.5::DOUBLE)*86400e6) AS BIGINT)), '%Y-%m-%dT%H:%M:%SZ') AS iso FROM fx_candidates")
+def _(df):
+    return c.with_mean(df).select("event_id", F.col("mean.date_utc_iso").alias("iso"))
+
+
+@query("p7_separation", "fx_candidates", r"""SELECT event_id, CAST(regexp_extract(pre,'separated by\s+(-?\d+\.?\d*)"',1) AS DOUBLE) AS arcsec, CAST(regexp_extract(pre,'" and (-?\d+\.?\d*)\s*pix',1) AS DOUBLE) AS pix FROM fx_candidates""")
+def _(df):
+    return c.with_separation(df).select("event_id", "second_epoch_separation.arcsec", "second_epoch_separation.pix")
+
+
+@query("p10_crossmatches", "fx_candidates", r"SELECT event_id, 'vsx' AS key, contains(pre,'was found in VSX') AS found FROM fx_candidates UNION ALL SELECT event_id, 'astcheck', contains(pre,'was found in astcheck') FROM fx_candidates")
+def _(df):
+    return df.select("event_id", F.explode(c.crossmatch_entries(F.col("pre"))).alias("e")).select("event_id", F.col("e.k").alias("key"), "e.found")
+
+
+@query("p11_exclusion_list", "fx_candidates", rf"SELECT event_id, {KEY} AS key, nullif(trim(regexp_extract(pre,'This object is listed in \S+\.txt(.*)',1)),'') AS raw FROM fx_candidates WHERE {LIST} <> ''")
+def _(df):
+    return df.select("event_id", c.exclusion_key(F.col("pre")).alias("key"), c.exclusion_details(F.col("pre")).alias("raw")).where("key is not null")
+
+
+@query("p12_forced_photometry", "fx_candidates", r"SELECT event_id, regexp_extract(pre,'Forced photometry on (\S+)',1) AS wcs_fits, regexp_extract(pre,'Forced photometry on \S+ at (\S+ [^:]+:[^:]+:[^:]+):',1) AS position_hms, CAST(regexp_extract(pre,':\s+(-?\d+\.\d+) \+/- ',1) AS DOUBLE) AS mag, CAST(regexp_extract(pre,'\+/- (\d+\.\d+)',1) AS DOUBLE) AS mag_err, regexp_extract(pre,'\+/- \S+\s+(\S+)$',1) AS flag FROM fx_candidates")
+def _(df):
+    return c.with_forced_photometry(df).select("event_id", F.explode("forced_photometry.per_image").alias("p")).select("event_id", "p.*")
+
+
+@query("p13_external_links", "fx_hrefs", "SELECT page_id, k AS service, u AS url FROM (SELECT page_id, k, list_filter(hrefs, lambda h: contains(h, n))[1] AS u FROM fx_hrefs, (VALUES ('net','example.net'),('org','example.org'),('com','example.com')) AS r(k, n)) WHERE u IS NOT NULL")
+def _(df):
+    rules = (("net", "example.net"), ("org", "example.org"), ("com", "example.com"))
+    every = F.explode(F.filter(F.array(*(F.struct(F.lit(k).alias("service"), F.get(F.filter("hrefs", lambda h, n=n: F.contains(h, F.lit(n))), 0).alias("url")) for k, n in rules)), lambda e: e["url"].isNotNull()))
+    return df.select("page_id", every.alias("e")).select("page_id", "e.*")
+
+
+@query("p15_absolute_urls", "fx_hrefs", f"SELECT page_id, pos, CASE WHEN trim(h)='' THEN NULL WHEN starts_with(trim(h),'http://') OR starts_with(trim(h),'https://') THEN trim(h) ELSE concat('{BASE}/', regexp_replace(regexp_replace(trim(h),'^\\./',''),'^/+','')) END AS url FROM (SELECT page_id, unnest(hrefs) AS h, CAST(generate_subscripts(hrefs,1)-1 AS INT) AS pos FROM fx_hrefs)")
+def _(df):
+    return df.select("page_id", F.posexplode("hrefs").alias("pos", "h")).select("page_id", "pos", fn.absolute_url(F.col("h"), BASE).alias("url"))
+
+
+@query("p16_warnings", "fx_candidates", f"SELECT event_id, concat_ws('|', CASE WHEN NOT contains(pre,'VSX') THEN 'no vsx' END, CASE WHEN {LIST}='' THEN 'no list' END, CASE WHEN contains(pre,'neverexclude') THEN 'kept' END) AS warnings FROM fx_candidates")
+def _(df):
+    out = c.with_warnings(df, [(~F.contains("pre", F.lit("VSX")), "no vsx"), (c.exclusion_key(F.col("pre")).isNull(), "no list"), (F.contains("pre", F.lit("neverexclude")), "kept")])
+    return out.select("event_id", F.array_join("parse_warnings", "|").alias("warnings"))
+
+
+for _name, _column, _sql in (
+    ("c1_is_asteroid", lambda: c.is_asteroid(F.col("pre")), AST),
+    ("c2_is_variable", lambda: c.is_variable(F.col("pre"), "VSX"), variable("VSX")),
+    ("c3_never_exclude", lambda: c.is_never_excluded(F.col("pre")), NEVER),
+    ("c4_known_transient", lambda: c.is_known_transient(F.col("pre")), f"coalesce(({KEY}) IN ('tocp','asassn_transients','tns_transients'), false)"),
+    ("c6_is_known", lambda: c.is_known(F.col("pre")), f"{AST} OR {variable('VSX')} OR {variable('ASASSN-V')}"),
+):
+    query(_name, "fx_candidates", f"SELECT event_id, {_sql} AS flag FROM fx_candidates")(lambda df, col=_column: df.select("event_id", col().alias("flag")))
+
+
+@query("c5_classification", "fx_candidates", f"SELECT event_id, {CLASS} AS classification FROM fx_candidates")
+def _(df):
+    return c.classify(df).select("event_id", "classification")
+
+
+@query("c14_bright_alerts", "fx_candidates", f"SELECT event_id, mag, CAST(missing AS INT) AS not_found FROM (SELECT event_id, CAST(regexp_extract({MEAN_LINE},'{MEAN}',3) AS DOUBLE) AS mag, len(list_filter({LINES}, lambda x: contains(x,'not found'))) AS missing, {LIST} AS l FROM fx_candidates) WHERE mag > -5 AND mag < 9.5 AND missing >= 2 AND l NOT IN ('planets.txt','comets.txt','moons.txt')")
+def _(df):
+    return c.bright_alerts(df, min_not_found=2).select("event_id", "mag", "not_found")
+
+
+@query("a1_session_totals", "fx_candidates", f"SELECT cam_no, count(*) AS candidates, count(*) FILTER (c='new') AS new, count(*) FILTER (c='known_asteroid') AS known_asteroid, count(*) FILTER (c='known_variable') AS known_variable, count(*) FILTER (c='known_transient') AS known_transient FROM (SELECT cam_no, {CLASS} AS c FROM fx_candidates) GROUP BY cam_no")
+def _(df):
+    return c.session_totals(c.classify(df), ["cam_no"])
+
+
+@query("a7_all_known", "fx_candidates", f"SELECT user_id, bool_and(c<>'new') AS all_known, CASE WHEN bool_and(c<>'new') THEN 'All candidates are known objects' END AS message FROM (SELECT user_id, {CLASS} AS c FROM fx_candidates) GROUP BY user_id")
+def _(df):
+    return c.all_known(c.classify(df), ["user_id"])
+
+
+@query("a12_report_errors", "fx_candidates", "SELECT user_id, bool_or(p IS NULL) AS broken, bool_or(p IS NULL) AS error, count(p) AS usable FROM (SELECT user_id, CASE WHEN event_id % 997 <> 0 THEN pre END AS p FROM fx_candidates) GROUP BY user_id")
+def _(df):
+    return c.report_errors(df.withColumn("pre", F.when(F.col("event_id") % 997 != 0, F.col("pre"))), ["user_id"])
+
+
+@query("a13_reference_average", "fx_candidates", r"SELECT event_id, CAST(NULL AS DOUBLE) AS stated_avg, round(CAST(regexp_extract(pre,':\s+(-?\d+\.\d+) \+/- ',1) AS DOUBLE),6) AS computed_avg FROM fx_candidates")
+def _(df):
+    return c.reference_average(c.with_forced_photometry(df)).select("event_id", "stated_avg", F.round("computed_avg", 6).alias("computed_avg"))
+
+
+@query("w8_last_by_key", "fx_candidates", "SELECT user_id, arg_max(id, event_id) AS id FROM fx_candidates GROUP BY user_id")
+def _(df):
+    return c.last_by_key(df, ["user_id"], "event_id", "id")
+
+
+@query("k1_document_counts", "fx_candidates", f"SELECT cam_no, CAST(len(list_sort(list(id))) AS INT) AS n, min(id) AS first_id, count(*) FILTER (c='new') AS new FROM (SELECT cam_no, id, {CLASS} AS c FROM fx_candidates) GROUP BY cam_no")
+def _(df):
+    from nightsift.sources.sinks import candidate_documents
+
+    docs = candidate_documents(c.classify(df).withColumn("report_id", F.col("cam_no").cast("string")).withColumn("pos", F.col("event_id")), None, "2026-01-01T00:00:00Z")
+    return docs.select(F.col("source_report").cast("int").alias("cam_no"), F.size("candidates").alias("n"), F.array_min(F.transform("candidates", lambda x: x["id"])).alias("first_id"), F.col("totals.new").alias("new"))
+
+
+@query("s2_session_name", "fx_candidates", "SELECT event_id, '2026-05-12' AS date_utc, CASE WHEN event_id % 2 = 0 THEN 'morning' ELSE 'evening' END AS session, concat('Cam', cam_no) AS camera FROM fx_candidates")
+def _(df):
+    named = df.withColumn("name", F.concat(F.lit("20260512_"), F.when(F.col("event_id") % 2 == 0, "Morning").otherwise("evening"), F.lit("_Cam"), "cam_no", F.when(F.col("event_id") % 3 == 0, "_filtered").otherwise(""), F.lit(".html")))
+    return reports.parse_session_name(named, "name").select("event_id", "date_utc", "session", "camera")
+
+
+REPORT = "report_id, cam, field, mtime, n_candidates, n_unidentified, complete, size_bytes"
+
+
+def _reports(df: DataFrame) -> DataFrame:
+    return df.withColumn("mtime", F.col("mtime").cast("timestamp"))
+
+
+@query("c7_recent_reports", "fx_field_reports", "SELECT report_id FROM fx_field_reports WHERE mtime >= TIMESTAMP '1998-08-02' - INTERVAL 100000 MINUTE")
+def _(df):
+    return reports.recent_reports(_reports(df), NOW, 100000).select("report_id")
+
+
+@query("c8_drop_tests", "fx_field_reports", "SELECT report_id FROM fx_field_reports WHERE NOT contains(report_id,'_test')")
+def _(df):
+    return reports.drop_tests(df).select("report_id")
+
+
+@query("c9_complete_reports", "fx_report_text", "SELECT report_id FROM fx_report_text WHERE contains(text,'Processing complete!')")
+def _(df):
+    return reports.complete_only(df).select("report_id")
+
+
+@query("c10_oversize", "fx_field_reports", "SELECT report_id, round_even(size_bytes/1048576.0::DOUBLE,0) > 1 AS large FROM fx_field_reports")
+def _(df):
+    ok, bad = reports.quarantine_oversize(df, 1)
+    return ok.select("report_id", F.lit(False).alias("large")).union(bad.select("report_id", F.lit(True)))
+
+
+GATE = "CASE WHEN (n_candidates < CASE WHEN coalesce(n_unidentified,99999)<=9 THEN 100 ELSE 60 END AND coalesce(n_unidentified,99999)<20) OR field IN ('Sco6','242') THEN 'OK' WHEN n_unidentified IS NULL THEN 'PARSE_ERROR' ELSE 'TOO_MANY' END"
+
+
+@query("c11_gate", "fx_field_reports", f"SELECT report_id, {GATE} AS verdict FROM fx_field_reports")
+def _(df):
+    return reports.gate_reports(df).select("report_id", "verdict")
+
+
+@query("j1_ledger_anti_join", "", "SELECT report_id FROM fx_field_reports WHERE report_id NOT IN (SELECT report_id FROM fx_field_reports WHERE n_candidates % 3 = 0)")
+def _(load):
+    r = load("fx_field_reports")
+    return reports.not_in_ledger(r, r.where("n_candidates % 3 = 0").select("report_id")).select("report_id")
+
+
+@query("j2_camera_assignment", "fx_field_reports", "SELECT report_id, CASE " + " ".join(f"WHEN contains(report_id,'{x}') THEN '{x}'" for x in reports.CAMERAS) + " END AS camera FROM fx_field_reports")
+def _(df):
+    return reports.assign_camera(df).select("report_id", "camera")
+
+
+@query("w1_sessions", "fx_field_reports", "SELECT report_id, strftime(mtime + INTERVAL 18 HOUR,'%Y%m%d') AS session_date, CASE WHEN hour(mtime + INTERVAL 18 HOUR) < 17 THEN 'morning' ELSE 'evening' END AS session FROM fx_field_reports")
+def _(df):
+    return reports.with_session(_reports(df).withColumn("mtime", F.col("mtime") + F.expr("INTERVAL 18 HOURS")), "mtime").select("report_id", "session_date", "session")
+
+
+@query("w7_first_claim", "fx_field_reports", "SELECT field, min(n_candidates) AS n_candidates, arg_min(report_id, (n_candidates, report_id)) AS report_id FROM fx_field_reports GROUP BY field")
+def _(df):
+    return reports.first_claim(df.select("field", "n_candidates", "report_id"), ["field"], "n_candidates")
+
+
+@query("t1_oldest_first", "fx_field_reports", "SELECT report_id, strftime(mtime,'%Y-%m-%d') AS day FROM fx_field_reports ORDER BY mtime, report_id")
+def _(df):
+    return reports.oldest_first(_reports(df)).select("report_id", F.date_format("mtime", "yyyy-MM-dd").alias("day"))
+
+
+@query("u1_combine_session", "", f"SELECT c.event_id, r.report_id FROM fx_candidates c JOIN fx_field_reports r ON c.event_id % 100 + 1 = CAST(regexp_extract(r.report_id,'(\\d+)$',1) AS BIGINT) WHERE ({GATE}) = 'OK'")
+def _(load):
+    r = reports.gate_reports(load("fx_field_reports"))
+    ids = r.select("report_id", F.regexp_extract("report_id", r"(\d+)$", 1).cast("long").alias("k"))
+    cands = load("fx_candidates").withColumn("k", F.col("event_id") % 100 + 1).join(ids, "k")
+    return reports.combine_session(cands, r).select("event_id", "report_id")
+
+
+@query("k2_summary_table", "fx_field_reports", f"SELECT cam, field, verdict, count(*) AS reports, CAST(sum(n_candidates) AS BIGINT) AS candidates FROM (SELECT *, {GATE} AS verdict FROM fx_field_reports) GROUP BY cam, field, verdict")
+def _(df):
+    return reports.gate_reports(df).groupBy("cam", "field", "verdict").agg(F.count("*").alias("reports"), F.sum("n_candidates").alias("candidates"))
+
+
+@query("k6_ledger", "fx_field_reports", "SELECT DISTINCT report_id FROM fx_field_reports WHERE complete")
+def _(df):
+    return df.where("complete").select("report_id").distinct()
+
+
+@query("k7_night_index", "fx_field_reports", "SELECT session_date, session, camera, p AS product, concat(session_date,'_',session,'_',camera,s,'.html') AS file, replace(concat(session_date,'_',session,'_',camera,s),'_',' ') AS display FROM (SELECT DISTINCT strftime(mtime,'%Y%m%d') AS session_date, 'morning' AS session, cam AS camera FROM fx_field_reports), (VALUES ('combined',''),('filtered','_filtered'),('summary','_summary')) AS v(p, s)")
+def _(df):
+    s = reports.with_session(_reports(df), "mtime").select("session_date", "session", F.col("cam").alias("camera")).distinct()
+    return reports.night_index(s)
+
+
+TEXT_LINES = "string_split(text, chr(10))"
+FIRST = "list_filter({0}, lambda x: contains(x,'{1}'))[1]"
+
+
+@query("a2_a3_counts", "fx_report_text", rf"SELECT report_id, len(list_filter({TEXT_LINES}, lambda x: contains(x,'script') AND contains(x,'printCandidateNameWithAbsLink'))) AS n_candidates, CAST(coalesce(TRY_CAST(nullif(regexp_extract(text,'Found (\d+) unidentified candidates',1),'') AS BIGINT), 99999) AS BIGINT) AS n_unidentified FROM fx_report_text")
+def _(df):
+    return reports.count_unidentified(reports.count_candidates(df)).select("report_id", "n_candidates", "n_unidentified")
+
+
+@query("a4_pointing_offset", "fx_report_text", r"SELECT report_id, list_max(list_transform(regexp_extract_all(text,'image centers ([0-9.]+) deg',1), lambda x: CAST(x AS DOUBLE))) AS offset_deg FROM fx_report_text")
+def _(df):
+    return reports.pointing_offset(df).select("report_id", "offset_deg")
+
+
+@query("a5_mag_limit", "fx_report_text", r"SELECT report_id, CAST(regexp_extract_all(text,'limiting magnitude estimate ([0-9.]+)',1)[-1] AS DOUBLE) AS mag_limit FROM fx_report_text")
+def _(df):
+    return reports.mag_limit(df).select("report_id", "mag_limit")
+
+
+@query("a6_obs_time", "fx_report_text", r"SELECT report_id, concat(regexp_extract(text,'UT (\S+ \d+:\d+:\d+)',1), ' UTC') AS obs_time FROM fx_report_text")
+def _(df):
+    return reports.last_image_time(df).select("report_id", "obs_time")
+
+
+@query("j10_max_fwhm", "fx_report_text", r"SELECT report_id, list_max(list_transform(regexp_extract_all(text, '(?m)^ ([0-9.]+) pix  fd_', 1), lambda x: CAST(x AS DOUBLE))) AS fwhm_pix FROM fx_report_text")
+def _(df):
+    return reports.max_fwhm(df).select("report_id", "fwhm_pix")
+
+
+WARN = f"coalesce(list_filter({TEXT_LINES}, lambda x: contains(x,'WARNING') AND contains(x,'low on disk space'))[-1], list_filter({TEXT_LINES}, lambda x: contains(x,'WARNING') AND NOT contains(x,'replace_file_with_symlink'))[-1], CASE WHEN NOT contains(text,'List of TOCP transients') THEN 'WARNING: corrupted log file' END)"
+
+
+@query("c13_warning", "fx_report_text", f"SELECT report_id, {WARN} AS warning FROM fx_report_text")
+def _(df):
+    return reports.with_warning(df).select("report_id", "warning")
+
+
+@query("c12_status", "fx_report_text", rf"SELECT report_id, CASE WHEN v <> 'OK' THEN 'ERROR' WHEN contains(text,'ERROR: the camera is stuck') THEN 'CAMERA STUCK' WHEN contains(text,'ERROR') THEN 'ERROR' ELSE 'OK' END AS status, CASE WHEN v <> 'OK' THEN v WHEN contains(text,'ERROR: the camera is stuck') THEN NULL WHEN contains(text,'ERROR') THEN {FIRST.format(TEXT_LINES, 'ERROR')} ELSE {WARN} END AS comment FROM (SELECT *, {GATE} AS v FROM (SELECT *, len(list_filter({TEXT_LINES}, lambda x: contains(x,'printCandidateNameWithAbsLink'))) AS n_candidates, TRY_CAST(nullif(regexp_extract(text,'Found (\d+) unidentified',1),'') AS BIGINT) AS n_unidentified, regexp_extract(text,'Processing fields (\S+)',1) AS field FROM fx_report_text))")
+def _(df):
+    return reports.field_runs(df).select("report_id", "status", "comment")
+
+
+BODY = "list_slice({L}, list_position(list_transform({L}, lambda x: contains(x,'Processing fields')), true)+1, list_position(list_transform({L}, lambda x: contains(x,'Processing complete!')), true)-1)".replace("{L}", TEXT_LINES)
+
+
+@query("p19_combined_body", "fx_report_text", f"SELECT report_id, count(*) AS n, min(line) AS line FROM (SELECT report_id, unnest({BODY}) AS line FROM fx_report_text WHERE contains(text,'Processing complete!')) GROUP BY report_id")
+def _(df):
+    return c.combined_body(df).groupBy("report_id").agg(F.count("*").alias("n"), F.min("line").alias("line"))
+
+
+@query("p20_link_rewrite", "fx_report_text", f"SELECT report_id, line, count(*) AS n FROM (SELECT report_id, replace(unnest({BODY}),'src=\"',concat('src=\"',report_id,'/')) AS line FROM fx_report_text WHERE contains(text,'Processing complete!')) GROUP BY report_id, line")
+def _(df):
+    return c.rewrite_links(c.combined_body(df)).groupBy("report_id", "line").agg(F.count("*").alias("n"))
+
+
+@query("w6_context", "fx_report_text", f"SELECT report_id, CAST(i-1 AS INT) AS line_no, array_to_string(l[greatest(i-2,1):i+1], '~') AS context FROM (SELECT report_id, {TEXT_LINES} AS l, unnest(range(1, least(len({TEXT_LINES}),8)+1)) AS i FROM fx_report_text) WHERE i < 8")
+def _(df):
+    lines = df.select("report_id", F.posexplode(F.slice(F.split("text", "\n"), 1, 8)).alias("line_no", "line"))
+    return reports.with_context(lines, 2, 1).where("line_no < 7").select("report_id", "line_no", F.array_join("context", "~").alias("context"))
+
+
+@query("s10_run_log", "fx_runs", r"SELECT run_id, CAST(regexp_extract(entry,'([0-9.]+) min  -- Total',1) AS DOUBLE) AS total_min, CAST(regexp_extract(entry,'([0-9.]+) min  -- VaST',1) AS DOUBLE) AS analysis_min, CAST(regexp_extract(entry,'([0-9.]+) min  -- wait',1) AS DOUBLE) AS wait_min, CAST(regexp_extract(entry,'exit code is (\d+)',1) AS INT) AS exit_code FROM fx_runs")
+def _(df):
+    return reports.parse_run_log(df).select("run_id", "total_min", "analysis_min", "wait_min", "exit_code")
+
+
+RUN_REPORTS = "SELECT run_id, CASE WHEN run_id % 7 = 0 THEN NULL WHEN run_id % 11 = 0 THEN 0 ELSE 1000 END AS size_bytes, run_id % 13 = 0 AS stuck, run_id % 17 = 0 AS has_error FROM fx_runs"
+
+
+@query("c15_run_outcome", "", f"SELECT r.run_id, CASE WHEN size_bytes IS NULL THEN 'MISSING_REPORT' WHEN size_bytes = 0 THEN 'EMPTY_REPORT' WHEN stuck THEN 'CAMERA_STUCK' WHEN has_error OR r.run_id % 19 = 0 THEN 'ERROR' ELSE 'OK' END AS outcome FROM fx_runs r JOIN ({RUN_REPORTS}) USING (run_id)")
+def _(load):
+    runs = reports.parse_run_log(load("fx_runs")).withColumn("report_id", F.col("run_id"))
+    made = runs.where("run_id % 7 <> 0").selectExpr("run_id AS report_id", "CASE WHEN run_id % 11 = 0 THEN 0 ELSE 1000 END AS size_bytes", "run_id % 13 = 0 AS stuck", "run_id % 17 = 0 AS has_error")
+    return reports.run_outcome(reports.runs_with_reports(runs, made)).select("run_id", "outcome")
+
+
+@query("j12_runs_with_reports", "", "SELECT run_id, CASE WHEN run_id % 7 <> 0 THEN concat('d', run_id) END AS directory FROM fx_runs")
+def _(load):
+    runs = load("fx_runs").withColumn("report_id", F.col("run_id"))
+    return reports.runs_with_reports(runs, runs.where("run_id % 7 <> 0").select("report_id", F.concat(F.lit("d"), "run_id").alias("directory"))).select("run_id", "directory")
+
+
+@query("a10_processing_times", "fx_runs", r"SELECT CAST(year(finished) AS INT) AS y, count(*) AS runs, min(t) AS min_total_min, round(avg(t),6) AS avg_total_min, max(t) AS max_total_min FROM (SELECT finished, CAST(regexp_extract(entry,'([0-9.]+) min  -- Total',1) AS DOUBLE) AS t FROM fx_runs) GROUP BY 1")
+def _(df):
+    out = reports.processing_times(reports.parse_run_log(df).withColumn("y", F.year("finished")), ["y"])
+    return out.select("y", "runs", "min_total_min", F.round("avg_total_min", 6).alias("avg_total_min"), "max_total_min")
+
+
+COS = "(sin(radians(dec0))*sin(radians(dec))+cos(radians(dec0))*cos(radians(dec))*cos(radians(ra-ra0)))"
+COVER = f"SELECT * FROM (SELECT *, nx/2.0::DOUBLE - degrees(cos(radians(dec))*sin(radians(ra-ra0))/{COS})*3600.0::DOUBLE/scale_x AS x, ny/2.0::DOUBLE + degrees((cos(radians(dec0))*sin(radians(dec))-sin(radians(dec0))*cos(radians(dec))*cos(radians(ra-ra0)))/{COS})*3600.0::DOUBLE/scale_y AS y FROM fx_targets, fx_ref_images WHERE {COS} > 0) WHERE x >= 0 AND x <= nx AND y >= 0 AND y <= ny"
+
+
+def _cover(load) -> DataFrame:
+    return coverage.coverage(load("fx_targets"), load("fx_ref_images"))
+
+
+@query("j4_coverage", "", f"SELECT target_id, path, round(x,6) AS x, round(y,6) AS y FROM ({COVER})")
+def _(load):
+    return _cover(load).select("target_id", "path", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+@query("g1_frame_distances", "", f"SELECT target_id, path, round_even(least(x,y,nx-x,ny-y),0) AS edge_px, round(sqrt((x-nx/2.0::DOUBLE)*(x-nx/2.0::DOUBLE)+(y-ny/2.0::DOUBLE)*(y-ny/2.0::DOUBLE)),6) AS centre_px FROM ({COVER})")
+def _(load):
+    return coverage.frame_distances(_cover(load)).select("target_id", "path", "edge_px", F.round("centre_px", 6).alias("centre_px"))
+
+
+@query("g2_angular_scale", "", f"SELECT target_id, path, (scale_x+scale_y)/2.0::DOUBLE AS scale, round(sqrt((x-nx/2.0::DOUBLE)*(x-nx/2.0::DOUBLE)+(y-ny/2.0::DOUBLE)*(y-ny/2.0::DOUBLE))*5.9::DOUBLE/60.0::DOUBLE,6) AS centre_arcmin FROM ({COVER})")
+def _(load):
+    return coverage.angular_scale(coverage.frame_distances(_cover(load))).select("target_id", "path", "scale", F.round("centre_arcmin", 6).alias("centre_arcmin"))
+
+
+@query("g3_image_field", "fx_images", r"SELECT event_id, split_part(regexp_replace(regexp_extract(path,'[^/]*$'),'^(wcs_fd_|wcs_|fd_)',''),'_',1) AS image_field FROM fx_images")
+def _(df):
+    return df.select("event_id", fn.field_of(F.col("path")).alias("image_field"))
+
+
+@query("t2_best_centred", "", f"SELECT target_id, path, row_number() OVER (PARTITION BY target_id ORDER BY round(sqrt((x-nx/2.0::DOUBLE)*(x-nx/2.0::DOUBLE)+(y-ny/2.0::DOUBLE)*(y-ny/2.0::DOUBLE)),6), path) AS n FROM ({COVER})")
+def _(load):
+    from pyspark.sql import Window
+
+    d = coverage.best_centred(coverage.frame_distances(_cover(load)).withColumn("centre_px", F.round("centre_px", 6)))
+    return d.select("target_id", "path", F.row_number().over(Window.partitionBy("target_id").orderBy("centre_px", "path")).cast("long").alias("n"))
+
+
+@query("t3_catalogue_listing", "fx_ref_images", "SELECT path, split_part(regexp_replace(path,'^(wcs_fd_|wcs_|fd_)',''),'_',1) AS field FROM (SELECT path FROM fx_ref_images ORDER BY path LIMIT 2000) ORDER BY field, path")
+def _(df):
+    return coverage.list_catalogue(df.select("path"), 2000).select("path", "field")
+
+
+@query("t4_capped_matches", "", f"SELECT target_id, path FROM (SELECT target_id, path, row_number() OVER (PARTITION BY target_id ORDER BY path) AS n FROM ({COVER})) WHERE n <= 200")
+def _(load):
+    return coverage.cap_matches(_cover(load)).select("target_id", "path")
+
+
+FIELDS = f"SELECT target_id, split_part(regexp_replace(path,'^(wcs_fd_|wcs_|fd_)',''),'_',1) AS field FROM ({COVER})"
+
+
+@query("a8_covering_fields", "", f"SELECT target_id, array_to_string(list_sort(list(DISTINCT field)),',') AS fields FROM ({FIELDS}) GROUP BY target_id")
+def _(load):
+    return coverage.covering_fields(_cover(load)).select("target_id", F.array_join("fields", ",").alias("fields"))
+
+
+@query("s5_reference_inventory", "fx_images", r"SELECT event_id, path FROM fx_images WHERE regexp_matches(lower(path),'\.(fits|fit|fts)$')")
+def _(df):
+    return coverage.reference_inventory(df).select("event_id", "path")
+
+
+@query("s4_image_inventory", "fx_images", r"SELECT event_id, strftime(dir_date,'%Y-%m-%d') AS img_date, regexp_extract(regexp_extract(path,'[^/]*$'),'(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})',1) AS file_ts, ends_with(path,'.fz') AS compressed FROM fx_images WHERE contains(path,'/wcs_fd_') AND regexp_matches(path,'\.(fits|fit|fts)(\.fz)?$')")
+def _(df):
+    return lightcurve.image_inventory(df).select("event_id", F.date_format("img_date", "yyyy-MM-dd").alias("img_date"), "file_ts", "compressed")
+
+
+@query("s13_j3_bands", "", "SELECT event_id, CASE WHEN contains(path,'TICA_TESS') THEN 'TICA_TESS' WHEN contains(path,'TTUQ1b1x1') THEN 'TTUQ1b1x1' END AS camera, CASE WHEN contains(path,'TICA_TESS') THEN 'I' ELSE 'V' END AS band FROM fx_images")
+def _(load):
+    return lightcurve.with_band(load("fx_images"), load("fx_camera_rules")).select("event_id", "camera", "band")
+
+
+@query("j5_target_images", "", f"SELECT target_id, event_id FROM (SELECT DISTINCT target_id, field FROM ({FIELDS}) WHERE target_id % 50 = 0) JOIN fx_images USING (field)")
+def _(load):
+    fields = coverage.with_image_field(_cover(load).where("target_id % 50 = 0"))
+    return lightcurve.images_for_targets(load("fx_images"), fields).select("target_id", "event_id")
+
+
+@query("c22_clamped_targets", "fx_targets", "SELECT target_id, CAST(least(greatest(window_days,1),30) AS INT) AS days, CAST(least(greatest(max_images,1),50) AS INT) AS images FROM fx_targets")
+def _(df):
+    return lightcurve.clamp_targets(df).select("target_id", "days", "images")
+
+
+PAIRED = "SELECT t.target_id, i.*, least(greatest(window_days,1),30) AS days, least(greatest(max_images,1),50) AS images FROM fx_targets t JOIN fx_images i ON i.field = concat('Fld', t.target_id % 20) WHERE t.target_id % 50 = 1"
+
+
+def _paired(load) -> DataFrame:
+    t = lightcurve.clamp_targets(load("fx_targets")).where("target_id % 50 = 1").withColumn("field", F.concat(F.lit("Fld"), F.col("target_id") % 20))
+    return t.join(load("fx_images"), "field")
+
+
+@query("w3_within_days", "", f"SELECT target_id, event_id FROM ({PAIRED}) WHERE dir_date >= (SELECT DATE '2024-01-20') - CAST(days-1 AS INT)")
+def _(load):
+    return lightcurve.within_days(_paired(load), date(2024, 1, 20)).select("target_id", "event_id")
+
+
+@query("w2_newest_images", "", rf"SELECT target_id, event_id, CAST(n AS INT) AS rank, total, total > images AS capped FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY regexp_extract(path,'(\d{{4}}-\d{{2}}-\d{{2}}_\d{{2}}-\d{{2}}-\d{{2}})',1) DESC, dir_date DESC, split_part(path,'/',1) DESC, split_part(path,'/',2)) AS n, count(*) OVER (PARTITION BY target_id) AS total FROM ({PAIRED})) WHERE n <= images")
+def _(load):
+    return lightcurve.newest_images(_paired(load)).select("target_id", "event_id", "rank", "total", "capped")
+
+
+@query("j6_attach_measurements", "", "SELECT i.event_id, coalesce(m.status,'skipped') AS status, m.mag FROM fx_images i LEFT JOIN fx_measurements m USING (event_id)")
+def _(load):
+    return lightcurve.attach_measurements(load("fx_images"), load("fx_measurements")).select("event_id", "status", "mag")
+
+
+@query("j7_dates", "", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN round(2460310.5::DOUBLE + event_id, 4) ELSE round_even(jd,4) END AS jd_shown, CASE WHEN event_id % 3 = 0 THEN concat('d', event_id) ELSE '-' END AS date_shown FROM fx_measurements")
+def _(load):
+    m = load("fx_measurements")
+    return lightcurve.with_dates(m, m.where("event_id % 3 = 0").select("event_id", (F.lit(2460310.5) + F.col("event_id")).alias("tool_jd"), F.concat(F.lit("d"), "event_id").alias("tool_date"))).select("event_id", "jd_shown", "date_shown")
+
+
+@query("j8_catalogue_reuse", "", "SELECT event_id, event_id % 6 IN (0, 3) AS hit, CASE WHEN event_id % 6 IN (0, 3) THEN concat(path,'.cat') END AS catalogue FROM fx_images")
+def _(load):
+    i = load("fx_images")
+    files = i.where("event_id % 3 = 0").select(F.explode(F.array(F.concat("path", F.lit(".cat")), F.concat("path", F.lit(".cat.aperture")))).alias("file")).union(i.where("event_id % 6 = 1").select(F.concat("path", F.lit(".cat"))))
+    return lightcurve.catalogue_reuse(i, files).select("event_id", "hit", "catalogue")
+
+
+@query("j9_fits_links", "fx_hrefs", r"SELECT page_id, pos, regexp_extract(h,'[^/]*$') AS name, list_filter(hrefs, lambda x: regexp_extract(x,'[^/]*$') = regexp_extract(h,'[^/]*$'))[1] AS url FROM (SELECT page_id, hrefs, unnest(hrefs) AS h, CAST(generate_subscripts(hrefs,1)-1 AS INT) AS pos FROM fx_hrefs)")
+def _(df):
+    each = df.select("page_id", "hrefs", F.posexplode("hrefs").alias("pos", "h")).withColumn("name", F.substring_index("h", "/", -1))
+    return each.select("page_id", "pos", "name", F.get(F.filter("hrefs", lambda x: F.substring_index(x, "/", -1) == F.col("name")), 0).alias("url"))
+
+
+@query("g4_lightcurve", "fx_measurements", "SELECT event_id, 'point' AS kind, CAST(mag AS DOUBLE) AS m, greatest(CAST(err AS DOUBLE), 0.001::DOUBLE) AS e FROM fx_measurements WHERE status <> 'upperlimit' UNION ALL SELECT event_id, 'limit', CAST(replace(mag,'>','') AS DOUBLE), NULL FROM fx_measurements WHERE status = 'upperlimit'")
+def _(df):
+    points, limits = lightcurve.split_lightcurve(df)
+    return points.select("event_id", F.lit("point").alias("kind"), "m", "e").union(limits.select("event_id", F.lit("limit"), "m", F.lit(None).cast("double")))
+
+
+@query("g5_shown_magnitudes", "fx_measurements", "SELECT event_id, CASE WHEN status='upperlimit' THEN concat('>', CAST(CAST(round_even(CAST(replace(mag,'>','') AS DECIMAL(18,6)),2) AS DECIMAL(18,2)) AS VARCHAR)) ELSE CAST(CAST(round_even(CAST(mag AS DECIMAL(18,6)),2) AS DECIMAL(18,2)) AS VARCHAR) END AS mag_shown FROM fx_measurements")
+def _(df):
+    return lightcurve.format_magnitudes(df).select("event_id", "mag_shown")
+
+
+@query("a9_lightcurve_stats", "fx_measurements", "SELECT field_no, count(*) AS processed, count(*) FILTER (status<>'upperlimit') AS solved, count(*) FILTER (event_id % 3 = 0) AS hits, count(*) FILTER (event_id % 3 <> 0) AS misses, count(*) FILTER (event_id % 5 = 0) AS decompressed, round(avg(CAST(event_id % 60 AS DOUBLE)),6) AS mean_seconds FROM fx_measurements GROUP BY field_no")
+def _(df):
+    rows = df.selectExpr("field_no", "status <> 'upperlimit' AS solved", "event_id % 3 = 0 AS hit", "event_id % 5 = 0 AS compressed", "CAST(event_id % 60 AS DOUBLE) AS seconds")
+    return lightcurve.lightcurve_stats(rows, ["field_no"]).withColumn("mean_seconds", F.round("mean_seconds", 6))
+
+
+@query("k4_lightcurve_lines", "fx_measurements", "SELECT printf('%.5f %.3f', CAST(jd AS DECIMAL(18,5)), CAST(replace(mag,'>','') AS DECIMAL(18,3))) AS line FROM fx_measurements WHERE status='upperlimit'")
+def _(df):
+    return lightcurve.lightcurve_lines(df)[1]
+
+
+@query("k5_text_table", "fx_measurements", "SELECT rtrim(concat(rpad(CAST(event_id AS VARCHAR), CAST((SELECT max(len(CAST(event_id AS VARCHAR))) FROM fx_measurements) AS INT), ' '), '  ', rpad(mag, CAST((SELECT max(len(mag)) FROM fx_measurements) AS INT), ' '), '  ', status)) AS line FROM fx_measurements")
+def _(df):
+    return lightcurve.text_table(df, ["event_id", "mag", "status"])
+
+
+@query("k8_skip_log", "fx_measurements", "SELECT event_id, 'timeout' AS reason, CAST(event_id % 4 AS INT) AS return_code, array_to_string(list_transform(range(greatest(0, event_id % 40 - 20), event_id % 40), lambda i: concat('line ', i)), chr(10)) AS stderr_tail FROM fx_measurements WHERE event_id % 6 = 0 AND event_id % 40 > 0")
+def _(df):
+    rows = df.where("event_id % 40 > 0").selectExpr("event_id", "CASE WHEN event_id % 6 = 0 THEN 'timeout' END AS reason", "CAST(event_id % 4 AS INT) AS return_code", "array_join(transform(sequence(0L, event_id % 40 - 1), i -> concat('line ', i)), '\n') AS stderr")
+    return lightcurve.skip_log(rows)
+
+
+@query("g8_served_url", "fx_images", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN concat('http://host/data/', path) END AS url FROM fx_images")
+def _(df):
+    rooted = df.withColumn("path", F.concat(F.when(F.col("event_id") % 2 == 0, "/srv/uploads/").otherwise("/tmp/"), "path"))
+    return lightcurve.served_url(rooted, "/srv/uploads", BASE).select("event_id", "url")
+
+
+@query("s6_image_metadata", "fx_tool_text", r"""SELECT image_id, CAST(regexp_extract(metadata_text,'(\d+) x (\d+) pix',1) AS INT) AS nx, CAST(regexp_extract(metadata_text,'(\d+) x (\d+) pix',2) AS INT) AS ny, regexp_extract(metadata_text,'center: (\S+) (\S+)',1) AS centre_ra, regexp_extract(metadata_text,'center: (\S+) (\S+)',2) AS centre_dec, CAST(regexp_extract(metadata_text,'([0-9.]+)"/pix along the X',1) AS DOUBLE) AS scale_x, 941.5::DOUBLE AS width_arcmin, 10.4::DOUBLE AS height_deg FROM fx_tool_text WHERE contains(metadata_text,' pix')""")
+def _(df):
+    return coverage.parse_image_metadata(df).select("image_id", "nx", "ny", "centre_ra", "centre_dec", "scale_x", "width_arcmin", "height_deg")
+
+
+@query("s7_projection_lines", "fx_tool_text", r"SELECT image_id, split_part(projection_line, chr(9), 1) AS path, CAST(regexp_extract(projection_line,'-> (\S+) (\S+)$',1) AS DOUBLE) AS x, CAST(regexp_extract(projection_line,'-> (\S+) (\S+)$',2) AS DOUBLE) AS y FROM fx_tool_text WHERE image_id % 9 NOT IN (0, 1)")
+def _(df):
+    return coverage.parse_projection_lines(df).select("image_id", "path", "x", "y")
+
+
+@query("s8_measurements", "fx_tool_text", r"SELECT image_id, CASE WHEN image_id % 10 <> 0 THEN CAST(regexp_extract(measurement_text,'diameter_pix: (\S+)',1) AS DOUBLE) END AS aperture, CASE WHEN image_id % 15 <> 1 THEN regexp_extract(measurement_text,'C implementation:\s+\S+ (\S+)',1) END AS mag, image_id % 15 <> 1 AS ok FROM fx_tool_text")
+def _(df):
+    return lightcurve.parse_measurements(df).select("image_id", "aperture", "mag", "ok")
+
+
+@query("s9_dates", "fx_tool_text", r"SELECT image_id, CAST(round_even(CAST(regexp_extract(date_text,'JD ([0-9.]+)',1) AS DECIMAL(20,8)),4) AS DOUBLE) AS tool_jd, regexp_extract(date_text,'ATel style (\d{4}-\d{2}-\d{2}\.\d{1,4})',1) AS tool_date FROM fx_tool_text")
+def _(df):
+    return lightcurve.parse_date_lines(df).select("image_id", "tool_jd", "tool_date")
+
+
+@query("g6_round_sexagesimal", "fx_tool_text", r"SELECT image_id, printf('%02d:%02d:%02d.%d', t//36000, t//600 % 60, t//10 % 60, t % 10) AS centre_ra_rounded FROM (SELECT image_id, (CAST(split_part(r,':',1) AS BIGINT)*3600 + CAST(split_part(r,':',2) AS BIGINT)*60)*10 + CAST(round_even(CAST(split_part(r,':',3) AS DECIMAL(18,6))*10,0) AS BIGINT) AS t FROM (SELECT image_id, regexp_extract(metadata_text,'center: (\S+)',1) AS r FROM fx_tool_text WHERE contains(metadata_text,' pix')))")
+def _(df):
+    return lightcurve.round_sexagesimal(coverage.parse_image_metadata(df), "centre_ra").select("image_id", "centre_ra_rounded")
+
+
+@query("c16_unsafe_names", "fx_archive_entries", r"SELECT archive_id, pos, NOT regexp_full_match(n,'[A-Za-z0-9_.-]+') OR contains(n,'..') OR starts_with(n,'.') AS unsafe FROM (SELECT *, regexp_extract(entry,'[^/]*$') AS n FROM fx_archive_entries)")
+def _(df):
+    return df.select("archive_id", "pos", requests.unsafe_name(F.col("entry")).alias("unsafe"))
+
+
+ARCHIVES = "SELECT archive_id, CAST(sum(size_bytes) AS BIGINT) AS size_bytes FROM fx_archive_entries GROUP BY archive_id"
+
+
+@query("c17_archive_size", "fx_archive_entries", f"SELECT archive_id, size_bytes BETWEEN 8000000 AND 9000000 AS ok FROM ({ARCHIVES})")
+def _(df):
+    return df.groupBy("archive_id").agg(F.sum("size_bytes").alias("s")).select("archive_id", requests.size_ok(F.col("s"), 8_000_000, 9_000_000).alias("ok"))
+
+
+@query("a11_archive_verdict", "fx_archive_entries", r"SELECT archive_id, images, coalesce(b, CASE WHEN images < 2 THEN 'too few images' END) AS message, coalesce(b, CASE WHEN images < 2 THEN 'x' END) IS NULL AS ok FROM (SELECT archive_id, count(*) FILTER (regexp_matches(lower(n),'\.(fits|fit|fts)$')) AS images, arg_min(bad, pos) FILTER (bad IS NOT NULL) AS b FROM (SELECT *, CASE WHEN NOT regexp_full_match(n,'[A-Za-z0-9_.-]+') OR starts_with(n,'.') THEN concat('unsafe name: ', n) WHEN NOT regexp_matches(lower(n),'\.(fits|fit|fts)$') THEN concat('not an image: ', n) END AS bad FROM (SELECT *, regexp_extract(entry,'[^/]*$') AS n FROM fx_archive_entries)) GROUP BY archive_id)")
+def _(df):
+    return requests.archive_verdict(df).select("archive_id", "images", "message", "ok")
+
+
+@query("u2_rejection_reasons", "fx_archive_entries", f"SELECT archive_id, CASE WHEN archive_id % 31 = 0 THEN 'name' WHEN archive_id % 7 = 0 THEN 'type' WHEN NOT size_bytes BETWEEN 8000000 AND 9000000 THEN 'size' WHEN archive_id % 5 = 0 THEN 'contents' END AS reason FROM ({ARCHIVES})")
+def _(df):
+    a = df.groupBy("archive_id").agg(F.sum("size_bytes").alias("s")).select("archive_id", (F.col("archive_id") % 31 == 0).alias("bad_name"), (F.col("archive_id") % 7 != 0).alias("type_ok"), requests.size_ok(F.col("s"), 8_000_000, 9_000_000).alias("size_ok"), (F.col("archive_id") % 5 != 0).alias("contents_ok"))
+    return requests.rejection_reasons(a).select("archive_id", "reason")
+
+
+@query("c19_dataset_plan", "fx_images", r"SELECT event_id, split_part(path,'/',2) AS new_name, CASE WHEN starts_with(split_part(path,'/',2),'fd_') THEN 'drop' ELSE 'keep' END AS action, CASE min(CASE WHEN ends_with(path,'.fts') THEN 1 WHEN ends_with(path,'.fits') THEN 2 END) OVER (PARTITION BY split_part(path,'/',1)) WHEN 2 THEN 'fits' ELSE 'fts' END AS dataset_ext FROM fx_images")
+def _(df):
+    d = df.select("event_id", F.split_part("path", F.lit("/"), F.lit(1)).alias("dataset"), F.split_part("path", F.lit("/"), F.lit(2)).alias("name"))
+    return requests.plan_dataset(d).select("event_id", "new_name", "action", "dataset_ext")
+
+
+@query("c20_requests", "fx_requests", "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'no candidate id' WHEN event_id % 5 = 2 THEN 'parent directory' WHEN event_id % 5 = 3 THEN 'bad path' END AS reject_reason, CASE WHEN event_id % 7 <> 0 AND event_id % 5 NOT IN (2, 3) THEN concat('http://host/data/uploads/results_', limit_key, '/index.html#c', event_id % 50) END AS safe_url FROM fx_requests")
+def _(df):
+    return requests.normalize_requests(df, BASE).select("event_id", "reject_reason", "safe_url")
+
+
+@query("c21_targets", "fx_targets", "SELECT target_id, CASE WHEN target_id % 5 = 0 THEN 'bad character' END AS reason, CASE WHEN target_id % 5 <> 0 THEN concat(CAST(CAST(ra AS DECIMAL(10,2)) AS VARCHAR), ' ', CAST(CAST(dec AS DECIMAL(10,2)) AS VARCHAR)) END AS coords FROM fx_targets")
+def _(df):
+    text = F.concat(F.col("ra").cast("decimal(10,2)").cast("string"), F.when(F.col("target_id") % 2 == 0, ",").otherwise("  "), F.col("dec").cast("decimal(10,2)").cast("string"), F.when(F.col("target_id") % 5 == 0, ";x").otherwise(""))
+    return requests.normalize_targets(df.withColumn("text", text)).select("target_id", "reason", "coords")
+
+
+@query("w4_rolling_count", "fx_requests", "SELECT event_id, count(*) OVER (PARTITION BY limit_key ORDER BY ts RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW) AS in_window FROM fx_requests")
+def _(df):
+    return requests.rolling_count(df, "limit_key", "ts", 6 * 3600).select("event_id", "in_window")
+
+
+@query("w5_admission", "fx_requests", "WITH r AS (SELECT event_id, limit_key, epoch_us(ts) AS t, row_number() OVER (PARTITION BY limit_key ORDER BY ts, event_id) AS n FROM fx_requests), f AS (SELECT limit_key, n, event_id, true AS ok, [t] AS held FROM r WHERE n = 1 UNION ALL SELECT r.limit_key, r.n, r.event_id, len(list_filter(f.held, lambda h: h > r.t - 86400000000)) < 2, CASE WHEN len(list_filter(f.held, lambda h: h > r.t - 86400000000)) < 2 THEN list_append(list_filter(f.held, lambda h: h > r.t - 86400000000), r.t) ELSE list_filter(f.held, lambda h: h > r.t - 86400000000) END FROM f JOIN r ON r.limit_key = f.limit_key AND r.n = f.n + 1) SELECT event_id, ok AS accepted FROM f")
+def _(df):
+    return requests.admit(df, "limit_key", "ts", "event_id", 2, 86400).select("event_id", "accepted")
+
+
+@query("j11_cached_archive", "", "SELECT event_id, CASE WHEN event_id % 50 % 3 = 0 THEN concat('fastplot__a__c', event_id % 50, '.tar.gz') WHEN event_id % 50 % 3 = 1 THEN concat('fastplot__a__c', event_id % 50, '.tar.bz2') END AS archive FROM fx_requests")
+def _(load):
+    r = load("fx_requests").withColumn("candidate_id", F.concat(F.lit("c"), F.col("event_id") % 50))
+    k = r.selectExpr("event_id % 50 AS k").distinct()
+    files = k.where("k % 3 < 2").selectExpr("concat('fastplot__a__c', k, '.tar.bz2') AS file").union(k.where("k % 3 = 0").selectExpr("concat('fastplot__a__c', k, '.tar.gz')"))
+    return requests.cached_archive(r, files).select("event_id", "archive")
+
+
+def _comet_lines(df: DataFrame) -> DataFrame:
+    return df.select(F.col("event_id").alias("report_id"), F.posexplode(F.split("block", "\n")).alias("line_no", "line"))
+
+
+@query("j13_comet_pairs", "fx_comet_lines", "SELECT event_id AS report_id, split_part(block, chr(10), 1) AS measurement, split_part(block, chr(10), 2) AS comet_line FROM fx_comet_lines")
+def _(df):
+    return comets.pair_comet_lines(_comet_lines(df))
+
+
+COMETS = r"SELECT event_id AS report_id, regexp_extract(block,'(\d{4} \d\d \d\d\.\d+)',1) AS date_frac, regexp_extract(block,'(24603\d+\.\d+)',1) AS jd, regexp_extract(block,'24603\S+  (\S+)',1) AS mag, CAST(regexp_extract(block,'comets\.txt ([0-9.]+)',1) AS DOUBLE) AS dist, regexp_extract(block,'([0-9.]+)mag',1) AS pred_mag, trim(regexp_extract(block,'mag (.*)',1)) AS name FROM fx_comet_lines"
+
+
+@query("g7_comet_observations", "fx_comet_lines", f"SELECT * FROM ({COMETS}) WHERE dist <= 60")
+def _(df):
+    return comets.comet_observations(comets.pair_comet_lines(_comet_lines(df))).drop("ra_hms", "dec_dms")
+
+
+@query("t5_sorted_comets", "fx_comet_lines", f"SELECT name, date_frac, jd, mag FROM ({COMETS}) WHERE dist <= 60 ORDER BY ALL")
+def _(df):
+    return comets.sort_comets(comets.comet_observations(comets.pair_comet_lines(_comet_lines(df)))).select("name", "date_frac", "jd", "mag")
+
+
+@query("k3_s11_comet_table", "fx_comet_lines", f"SELECT date_frac, CAST(jd AS DOUBLE) AS jd, CAST(mag AS DOUBLE) AS mag, CAST(pred_mag AS DOUBLE) AS pred_mag, name FROM ({COMETS}) WHERE dist <= 60")
+def _(df):
+    lines = comets.comet_lines(comets.comet_observations(comets.pair_comet_lines(_comet_lines(df))))
+    return comets.parse_comet_table(lines.select(F.col("line").alias("value"))).select("date_frac", "jd", "mag", "pred_mag", "name")
+
+
+@query("u3_comet_inputs", "fx_field_reports", "SELECT report_id FROM fx_field_reports WHERE year(mtime) >= 1995 AND NOT contains(cam,'Stas')")
+def _(df):
+    files = df.withColumn("file", F.concat(F.date_format(F.col("mtime").cast("timestamp"), "yyyyMMdd"), F.lit("_evening_"), "cam", F.when(F.col("cam") == "Stas", "_filtered").otherwise(""), F.lit(".html")))
+    return comets.comet_inputs(files, 1995).select("report_id")
