@@ -1,3 +1,43 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express. The others are tested against brute-force versions (tests/llm)."""
 
-ORACLE_SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from . import merkle
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+MIXING = rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text,''), '{WORD}'))::BIGINT AS size, length(coalesce(text,'')) - length(translate(coalesce(text,''), '#*$%&|<>', '')) AS symbols,
+ (('0x' || substr(md5(coalesce(doc_id::VARCHAR,'')),1,13))::BIGINT::DOUBLE + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+r AS (SELECT *, ([5,2,1])[((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3)::INT + 1]::DOUBLE AS w, 2.0::DOUBLE * source_size AS cap, 1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE AS budget FROM s),
+c AS (SELECT *, (budget - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * w >= cap * sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS capped FROM r WINDOW o AS (ORDER BY cap / w, encode(source) NULLS LAST)),
+t AS (SELECT source, source_size, CASE WHEN capped THEN cap ELSE (budget - coalesce(sum(cap) FILTER (capped) OVER (), 0)) / sum(w) FILTER (NOT capped) OVER () * w END AS target FROM c),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS epochs FROM t),
+k AS (SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs, floor(e.target)::BIGINT - e.epochs * e.source_size AS rest,
+ coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY -ln(u) / ((d.size + 1.0::DOUBLE) / (d.size + 1.0::DOUBLE + symbols)), d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM k"""
+
+PARAGRAPH = merkle.PARAGRAPH.replace(r"\z", "$")
+LEAVES = f"list_transform(list_filter(regexp_extract_all({{0}}, '{PARAGRAPH.replace('{','{{').replace('}','}}')}'), lambda x: x <> ''), lambda x: substr(md5(x),1,16))"
+PRINT = f"concat(substr(sha256(array_to_string(list_transform(regexp_extract_all(array_to_string({{0}},''), '{merkle.SECTION.replace('{','{{').replace('}','}}')}'), lambda x: md5(x)),'')),1,32), coalesce(array_to_string(list_transform({{0}}, lambda x: concat(' ', substr(x,1,8))),''),''))"
+LIKE = "CASE WHEN {0} = {1} THEN 1.0::DOUBLE ELSE greatest(2.0::DOUBLE * len(list_intersect({2}, {3})) / greatest(len(list_distinct({2})) + len(list_distinct({3})), 1), 2.0::DOUBLE * {4} / greatest(len({2}) + len({3}), 1)) END"
+SAME = "coalesce(list_position(list_transform(range(1, greatest(len({0}), len({1})) + 1), lambda i: {0}[i] IS DISTINCT FROM {1}[i]), true) - 1, 0)"
+
+FINGERPRINTS = f"""
+WITH d AS (SELECT doc_id, coalesce(text,'') AS t FROM documents),
+n AS (SELECT doc_id, t, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS nt FROM d),
+e AS (SELECT doc_id, t, nt, concat(left(t, (length(t) - length(t) // 3)::INT), left(nt, (length(t) // 3)::INT)) AS x FROM n),
+l AS (SELECT doc_id, t, x, {LEAVES.format('t')} AS a, {LEAVES.format('x')} AS b, {LEAVES.format('nt')} AS c FROM e),
+p AS (SELECT *, {PRINT.format('a')} AS fa, {PRINT.format('b')} AS fb, {PRINT.format('c')} AS fc, list_transform(a, lambda x: substr(x,1,8)) AS la, list_transform(b, lambda x: substr(x,1,8)) AS lb, list_transform(c, lambda x: substr(x,1,8)) AS lc FROM l)
+SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(x) AS edited_sha256, fa AS fingerprint, fb AS edited_fingerprint,
+ {LIKE.format('fa', 'fb', 'la', 'lb', SAME.format('la', 'lb'))} AS near_edited, {LIKE.format('fa', 'fc', 'la', 'lc', SAME.format('la', 'lc'))} AS near_next,
+ (CASE WHEN fa <> fb THEN {SAME.format('la', 'lb')} END)::BIGINT AS same_paragraphs FROM p"""
+
+WARC = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html,''))) AS n, sha1(coalesce(html,'')) AS digest FROM pages),
+m AS (SELECT digest, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY digest)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest, CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN top <> page_id THEN top END AS refers_to, true AS intact
+FROM p LEFT JOIN m USING (digest)"""
+
+ORACLE_SQL: dict[str, str] = {"op2_source_mixing": MIXING, "op5_warc": WARC, "op8_fingerprints": FINGERPRINTS}
