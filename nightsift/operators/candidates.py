@@ -178,7 +178,8 @@ def link_key(href: Column, rules: tuple[tuple[str, str], ...] = LINK_RULES) -> C
 
 def first_links(hrefs: Column, base_url: str, rules: tuple[tuple[str, str], ...] = LINK_RULES) -> Column:
     """Array of (k, v): the first link of each service."""
-    every = [F.struct(F.lit(k).alias("k"), absolute_url(F.get(F.filter(hrefs, lambda h, k=k: link_key(h, rules) == k), 0), base_url).alias("v")) for k, _ in rules]
+    first = lambda key: F.get(F.filter(hrefs, lambda h: link_key(h, rules) == F.lit(key)), 0)
+    every = [F.struct(F.lit(k).alias("k"), absolute_url(first(k), base_url).alias("v")) for k, _ in rules]
     return F.filter(F.array(*every), lambda e: e["v"].isNotNull())
 
 

@@ -90,11 +90,13 @@ def _(df):
     return c.with_forced_photometry(df).select("event_id", F.explode("forced_photometry.per_image").alias("p")).select("event_id", "p.*")
 
 
-@query("p13_external_links", "fx_hrefs", "SELECT page_id, k AS service, u AS url FROM (SELECT page_id, k, list_filter(hrefs, lambda h: contains(h, n))[1] AS u FROM fx_hrefs, (VALUES ('net','example.net'),('org','example.org'),('com','example.com')) AS r(k, n)) WHERE u IS NOT NULL")
+LINK_RULES = (("articles", "/a"), ("english", "/th"), ("german", "/ein"), ("french", "/le"))
+LINK_CASE = "CASE " + " ".join(f"WHEN contains(h,'{n}') THEN '{k}'" for k, n in LINK_RULES) + " END"
+
+
+@query("p13_external_links", "fx_hrefs", f"SELECT page_id, service, concat('{BASE}', arg_min(h, pos)) AS url FROM (SELECT page_id, h, pos, {LINK_CASE} AS service FROM (SELECT page_id, unnest(hrefs) AS h, generate_subscripts(hrefs,1) AS pos FROM fx_hrefs)) WHERE service IS NOT NULL GROUP BY page_id, service")
 def _(df):
-    rules = (("net", "example.net"), ("org", "example.org"), ("com", "example.com"))
-    every = F.explode(F.filter(F.array(*(F.struct(F.lit(k).alias("service"), F.get(F.filter("hrefs", lambda h, n=n: F.contains(h, F.lit(n))), 0).alias("url")) for k, n in rules)), lambda e: e["url"].isNotNull()))
-    return df.select("page_id", every.alias("e")).select("page_id", "e.*")
+    return df.select("page_id", F.explode(c.first_links(F.col("hrefs"), BASE, LINK_RULES)).alias("e")).select("page_id", F.col("e.k").alias("service"), F.col("e.v").alias("url"))
 
 
 @query("p15_absolute_urls", "fx_hrefs", f"SELECT page_id, pos, CASE WHEN trim(h)='' THEN NULL WHEN starts_with(trim(h),'http://') OR starts_with(trim(h),'https://') THEN trim(h) ELSE concat('{BASE}/', regexp_replace(regexp_replace(trim(h),'^\\./',''),'^/+','')) END AS url FROM (SELECT page_id, unnest(hrefs) AS h, CAST(generate_subscripts(hrefs,1)-1 AS INT) AS pos FROM fx_hrefs)")

@@ -19,7 +19,8 @@ def candidate_documents(cands: DataFrame, reports: DataFrame | None, generated_a
     have = [x for x in PARTS if x in cands.columns]
     kind = lambda k: F.count_if(F.col("classification") == k).alias(k)
     broken = F.bool_or(F.col("pre").isNull()) if "pre" in cands.columns else F.lit(False)
-    rows = F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("pos", F.struct(*have).alias("c")))))
+    by_pos = lambda a, b: F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0)
+    rows = F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("pos", F.struct(*have).alias("c")))), by_pos)
     docs = cands.groupBy("report_id").agg(F.count("*").alias("candidates"), kind("new"), kind("known_asteroid"), kind("known_variable"), kind("known_transient"), rows.alias("rows"), broken.alias("broken"))
     if reports is not None:
         docs = reports.join(docs, "report_id", "left")
