@@ -23,8 +23,7 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    return judge(docs, table(spark, sf_dir, "labels"), keep=others).where("kept").select(docs.columns)
+    return judge(docs, table(spark, sf_dir, "labels"), keep=True).where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +33,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets that look live masked (and n_chars counted anew where they were)."""
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    found = scan(docs, keep=others).withColumn("text", masked(F.col("text"), F.col("live")))
-    counted = F.when(F.size("live") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumn("n_chars", counted).select(docs.columns)
+    found = scan(docs, keep=True).withColumn("masked", masked(F.col("row.text"), F.col("live")))
+    counted = F.when(F.size("live") > 0, F.length("masked").cast("long")).otherwise(F.col("row.n_chars"))
+    new = {"text": F.col("masked").alias("text"), "n_chars": counted.alias("n_chars")}
+    return found.select(*(new.get(c, F.col(f"row.`{c}`")) for c in docs.columns))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

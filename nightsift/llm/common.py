@@ -58,6 +58,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def whole_row(docs: DataFrame, keep: bool) -> Column:
+    """All columns of a row in one struct, where they clash with no name; a stub if they are not to be kept."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if keep else F.struct(F.lit(0).alias("_"))
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Arrow batches of at most so many rows, so that Python objects are made for few texts at a time."""
     for batch in batches:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialize, word_count
+from .common import SPACE, materialize, whole_row, word_count
 
 #: Characters whose share lowers a document's quality weight.
 SYMBOLS = "#*$%&|<>"
@@ -52,16 +52,16 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
     return rows.select("source", "source_size", F.when(F.col("capped"), F.col("cap")).otherwise(level * F.col("w")).alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: tuple[str, ...] = (), weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, buckets: int = 4096) -> DataFrame:
-    """Per row: the id, size (words), source_size, target (of its source), taken (words, repeats counted), and `keep`.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: bool = False, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, buckets: int = 4096) -> DataFrame:
+    """Per row: the id, size (words), source_size, target (of its source), taken (words, repeats counted); with keep also row, a struct of all columns.
 
     Null texts have size 0 and are taken 0 times; null sources are one source, the last. Rows with one id tie in their
     key and are ordered by size; repeated rows count each. An empty table gives an empty one. Reruns agree.
     The words taken of a source are its target, rounded down.
     """
     text = F.col(text_col)
-    rows = docs.select(F.struct(F.col(id_col).alias("id"), *keep).alias("row"), F.col(source_col).alias("source"), word_count(text).alias("size"), quality_weight(text, word_count(text)).alias("quality"), uniform(id_col).alias("u"))
-    rows = rows.select("row", "source", "size", (-F.log("u") / F.col("quality")).alias("key"))
+    rows = docs.select(F.col(id_col).alias("id"), whole_row(docs, keep).alias("row"), F.col(source_col).alias("source"), word_count(text).alias("size"), quality_weight(text, word_count(text)).alias("quality"), uniform(id_col).alias("u"))
+    rows = rows.select("id", "row", "source", "size", (-F.log("u") / F.col("quality")).alias("key"))
     rows = rows.withColumn("bucket", F.floor(buckets * F.col("key") / (1 + F.col("key"))).cast("int"))
     if not keep:
         rows = materialize(rows, "mix")
@@ -76,22 +76,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     d, b = rows.alias("d"), b.alias("b")
     joined = d.join(b, F.col("d.source").eqNullSafe(F.col("b.source")) & (F.col("d.bucket") == F.col("b.bucket")))
-    order = Window.partitionBy("b.source", "b.bucket").orderBy("key", "row.id", "size")
+    order = Window.partitionBy("b.source", "b.bucket").orderBy("key", "d.id", "size")
     within = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before") - within))
     taken = (F.col("epochs") * F.col("size") + part).cast("long").alias("taken")
-    return joined.select(F.col("row.id").alias(id_col), "size", F.col("source_size").cast("long").alias("source_size"), "target", taken, *(F.col(f"row.{c}").alias(c) for c in keep))
+    return joined.select(F.col("d.id").alias(id_col), "size", F.col("source_size").cast("long").alias("source_size"), "target", taken, *["row"] * keep)
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself, with the columns of docs: a row for each time a document is taken; in part: its first words, space-joined."""
-    others = tuple(c for c in docs.columns if c != id_col)
-    rows = mix(docs, id_col, text_col, source_col, others, **options).where("taken > 0")
-    words = F.filter(F.split(text_col, rf"[{SPACE}]+"), lambda w: w != "")
+    rows = mix(docs, id_col, text_col, source_col, True, **options).where("taken > 0").select("row", "size", "taken")
+    text = F.col(f"row.`{text_col}`")
+    words = F.filter(F.split(text, rf"[{SPACE}]+"), lambda w: w != "")
     part = F.col("taken") % F.col("size")
     cut = F.array_join(F.slice(words, F.lit(1), part.cast("int")), " ")
     whole = F.floor(F.col("taken") / F.col("size")).cast("int")
-    copies = F.when(part == 0, F.array_repeat(F.col(text_col), whole)).otherwise(F.concat(F.array_repeat(F.col(text_col), whole), F.array(cut)))
-    kept = [c for c in others if c != text_col]
-    out = rows.select(id_col, *(F.struct(*kept).alias("kept") for _ in [0] if kept), F.explode(copies).alias("_text"))
-    return out.select(*(F.col(id_col) if c == id_col else F.col("_text").alias(c) if c == text_col else F.col(f"kept.{c}").alias(c) for c in docs.columns))
+    copies = F.when(part == 0, F.array_repeat(text, whole)).otherwise(F.concat(F.array_repeat(text, whole), F.array(cut)))
+    out = rows.select("row", F.explode(copies).alias("text"))
+    return out.select(*(F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns))

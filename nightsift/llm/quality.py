@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, slices
+from .common import crc_mod, slices, whole_row
 from .linear import BITS, byte_ngrams, logistic, platt, sample_of, sparse_sample, unit, word_ngrams
 
 #: Fixed values.
@@ -64,8 +64,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, bound:
     return slope * w, slope * b + add
 
 
-def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 3000, reject: float = 0.7, least_words: int = 50, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, p_low, and `keep`.
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 3000, reject: float = 0.7, least_words: int = 50, keep: bool = False) -> DataFrame:
+    """Per row: the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, p_low; with keep also row, a struct of all columns.
 
     labels (id_col, quality): 1 good, 0 low; about `bound` labelled rows at most are used for training, chosen by a hash
     of the id. base_failed: under least_words words, or over half of them in repeated windows. kept: not base_failed and
@@ -75,7 +75,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     w, b = train(docs, labels, id_col, text_col, bound)
     sent = docs.sparkSession.sparkContext.broadcast((w.astype(np.float32), b))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    names = ["id", *counts, "p_low", "kept_cols"]
+    names = ["id", *counts, "p_low", "row"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, add = sent.value
@@ -85,9 +85,9 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             cols = np.array([rules(x) for x in texts], np.int64).reshape(-1, 5).T
             yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, cols), pa.array((1 / (1 + np.exp(-np.clip(z, -30, 30)))).astype(float)), part.column(2)], names)
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"), F.struct(F.lit(0).alias("_"), *keep).alias("kept_cols"))
-    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("id", "kept_cols")}
-    out = rows.mapInArrow(run, f"id {kinds['id']}, {', '.join(f'{c} long' for c in counts)}, p_low double, kept_cols {kinds['kept_cols']}")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"), whole_row(docs, keep).alias("row"))
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("id", "row")}
+    out = rows.mapInArrow(run, f"id {kinds['id']}, {', '.join(f'{c} long' for c in counts)}, p_low double, row {kinds['row']}")
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("p_low") < reject))
-    return out.select(F.col("id").alias(id_col), *counts, "base_failed", "kept", "p_low", *(F.col(f"kept_cols.{c}").alias(c) for c in keep))
+    return out.select(F.col("id").alias(id_col), *counts, "base_failed", "kept", "p_low", *["row"] * keep)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, whole_row
 
 #: The kinds in their order, their patterns, the group that holds the value, and the least length of it.
 KINDS = ("assign", "access", "hex", "bare")
@@ -54,18 +54,18 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", live_owners: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: the id, n_assign, n_access, n_hex, base_sha256, spans, live (places), n_live, n_example, and `keep`.
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", live_owners: int = 2, keep: bool = False) -> DataFrame:
+    """Per row: the id, n_assign, n_access, n_hex, base_sha256, spans, live (places), n_live, n_example; with keep also row, a struct of all columns.
 
     A base candidate counts as live if at most `live_owners` distinct owners hold its value, else as an example. Added
     spans (kind bare) repeat a live value outside of base spans. Null texts are empty (no spans; the hash of the empty
     string); a null owner is one owner. Repeated rows stay and count as documents each. An empty table gives an empty one.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.struct(F.col(id_col).alias("id"), *keep).alias("row"), F.coalesce(F.col(owner_col), F.lit("")).alias("owner"), text.alias("t"))
-    rows = rows.select("row", "owner", *(found(F.col("t"), k).alias(name) for k, name in enumerate(KINDS)))
+    rows = docs.select(F.col(id_col).alias("id"), whole_row(docs, keep).alias("row"), F.coalesce(F.col(owner_col), F.lit("")).alias("owner"), text.alias("t"))
+    rows = rows.select("id", "row", "owner", *(found(F.col("t"), k).alias(name) for k, name in enumerate(KINDS)))
     base = F.array_sort(F.concat("assign", "access", "hex"))
-    rows = rows.select("row", "owner", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]), base.alias("base"), F.expr("filter(bare, x -> not exists(concat(assign, access, hex), y -> x.start < y.end and y.start < x.end))").alias("bare"))
+    rows = rows.select("id", "row", "owner", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]), base.alias("base"), F.expr("filter(bare, x -> not exists(concat(assign, access, hex), y -> x.start < y.end and y.start < x.end))").alias("bare"))
     rows = materialize(rows.withColumn("n", F.monotonically_increasing_id()), "secrets")
 
     held = rows.where("size(base) > 0").select("owner", F.explode(F.array_distinct(F.transform("base", lambda x: x["value"]))).alias("value"))
@@ -79,7 +79,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     of_row = judged.groupBy("n").agg(F.array_sort(F.collect_list("s")).alias("spans"), F.array_sort(F.collect_list(F.when(live, place))).alias("live"), F.count(F.when(live & (F.col("s.kind") < 3), 1)).alias("n_live"), F.count(F.when(~live, 1)).alias("n_example"))
     some = F.size("base") + F.size("bare") > 0  # the others need no join
     zero = F.lit(0).cast("long")
-    columns = lambda spans, places, n_live, n_example: [F.col("row.id").alias(id_col), *(f"n_{k}" for k in KINDS[:3]), F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), spans.alias("spans"), places.alias("live"), n_live.alias("n_live"), n_example.alias("n_example"), *(F.col(f"row.{c}").alias(c) for c in keep)]
+    columns = lambda spans, places, n_live, n_example: [F.col("id").alias(id_col), *(f"n_{k}" for k in KINDS[:3]), F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), spans.alias("spans"), places.alias("live"), n_live.alias("n_live"), n_example.alias("n_example"), *["row"] * keep]
     empty = F.array().cast("array<struct<start:int,end:int,kind:int>>")
     quiet = rows.where(~some).select(*columns(F.lit(""), empty, zero, zero))
     noisy = rows.where(some).join(of_row, "n", "left")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import materialize, slices, whole_row
 from .components import stars
 
 RADIUS = 2
@@ -40,17 +40,16 @@ def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, seed: int, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: id, fp (signed long), and `keep`."""
-    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"), F.struct(F.lit(0).alias("_"), *keep).alias("kept"))
+def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, seed: int, keep: bool) -> DataFrame:
+    """Per row: id, fp (signed long), row (a struct of all columns, or a stub)."""
+    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"), whole_row(docs, keep).alias("row"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fps = np.array([fingerprint(x or b"", width, seed) for x in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2)], ["id", "fp", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2)], ["id", "fp", "row"])
 
-    out = kept.mapInArrow(run, f"id {kept.schema['id'].dataType.simpleString()}, fp long, kept {kept.schema['kept'].dataType.simpleString()}")
-    return out.select("id", "fp", *(F.col(f"kept.{c}").alias(c) for c in keep))
+    return kept.mapInArrow(run, f"id {kept.schema['id'].dataType.simpleString()}, fp long, row {kept.schema['row'].dataType.simpleString()}")
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
@@ -161,18 +160,18 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = 512) -> DataFrame:
     return ordered.mapInArrow(compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, seed: int = 42, radius: int = RADIUS, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: the id, fingerprint (16 hexadecimal digits), component_id (least id that links reach), and `keep`.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, seed: int = 42, radius: int = RADIUS, keep: bool = False) -> DataFrame:
+    """Per row: the id, fingerprint (16 hexadecimal digits), component_id (least id that links reach); with keep also row, a struct of all columns.
 
     Null and empty texts have the fingerprint 0, which links like any other. Repeated rows stay, in one component; null
     ids count only where a component has no other (component_id null). An empty table gives an empty one.
     """
     prints, by_fp = grouped(docs, id_col, text_col, width, seed, radius, keep)
     out = prints.join(by_fp, "fp")
-    return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first.id").alias("component_id"), *keep)
+    return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first.id").alias("component_id"), *["row"] * keep)
 
 
-def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, seed: int, radius: int, keep: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, seed: int, radius: int, keep: bool) -> tuple[DataFrame, DataFrame]:
     """The rows with fp and a row number n, and for each fp its component's first row: struct (id, n)."""
     prints = with_fingerprints(docs, id_col, text_col, width, seed, keep)
     prints = materialize(prints.withColumn("n", F.monotonically_increasing_id()), "prints")
@@ -186,7 +185,6 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, seed: int,
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, seed: int = 42, radius: int = RADIUS) -> DataFrame:
     """docs with one row of each component: that of the least id (of repeated ids, one of them)."""
-    others = tuple(c for c in docs.columns if c != id_col)
-    prints, by_fp = grouped(docs, id_col, text_col, width, seed, radius, others)
+    prints, by_fp = grouped(docs, id_col, text_col, width, seed, radius, True)
     first = by_fp.select("first.n").distinct()
-    return prints.join(first, "n", "left_semi").select(*(F.col("id").alias(c) if c == id_col else F.col(c) for c in docs.columns))
+    return prints.join(first, "n", "left_semi").select("row.*")

@@ -77,7 +77,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     others revisit it. The largest ids are pre-aggregated and joined back by digest, so no group of copies is gathered.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload")).withColumn("row", F.monotonically_increasing_id())
-    rows = rows.withColumn("digest", F.sha1("payload"))
+    rows = materialize(rows.withColumn("digest", F.sha1("payload")), "pages")  # fixes the row numbers
     first = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max(F.struct("id", "row")).alias("first"))
     joined = rows.join(first, "digest", "left").select("id", "row", "url", "payload", "digest", F.when(F.col("first.row") != F.col("row"), F.concat(F.lit("urn:x-page:"), F.coalesce(F.col("first.id").cast("string"), F.lit("")), F.lit(":"), F.col("first.row").cast("string"))).alias("refers"))
 
