@@ -620,3 +620,126 @@ def _(df):
 def _(df):
     files = df.withColumn("file", F.concat(F.date_format(F.col("mtime").cast("timestamp"), "yyyyMMdd"), F.lit("_evening_"), "cam", F.when(F.col("cam") == "Stas", "_filtered").otherwise(""), F.lit(".html")))
     return comets.comet_inputs(files, 1995).select("report_id")
+
+
+def _html(df: DataFrame) -> DataFrame:
+    """Reports of two candidates each, made of the derived candidates' texts."""
+    e = F.col("event_id")
+    one = F.concat(F.lit("<a name='"), "id", F.lit("'><pre class='x'>"), F.replace("pre", F.lit("VSX"), F.lit("<b>VSX</b> &lt;ok&gt;")), F.lit("</pre><img src='./a_"), "id", F.lit("_reference.png'><img src=\"b_"), "id", F.lit("_discovery1.png\"><img src='full.png'><table><tr><th>h</th></tr><tr><td>Discovery image 1&nbsp;</td><td>d</td><td>"), (F.lit(2461160) + e % 28).cast("string"), F.lit(".5</td><td>"), F.when(e % 4 == 0, "bad").otherwise("11.25"), F.lit("</td><td>01:02:03.4 -05:06:07.8</td><td>10.5 20</td><td>/d/i"), e.cast("string"), F.lit(".fts</td></tr><tr><td>short</td></tr></table><div id='fullframepreview_1'><a href='p/i"), e.cast("string"), F.lit(".fts'>i"), e.cast("string"), F.lit(".fts</a></div><div id='mpcstub_"), "id", F.lit("'><pre> mean "), e.cast("string"), F.lit("</pre><pre>l1\n\nl2</pre></div><div id='varstarstub_"), "id", F.lit("'><pre>aavso **** VSNET file format **** vsnet "), e.cast("string"), F.lit("</pre></div>"))
+    return df.select(e.alias("report_id"), F.concat(F.lit("head"), one, F.lit("<HR><a name='second'> no block <HR>tail")).alias("text"))
+
+
+def _pieces(df: DataFrame) -> DataFrame:
+    return c.with_candidate_id(c.split_candidates(_html(df)))
+
+
+@query("p1_split_candidates", "fx_candidates", "SELECT event_id AS report_id, CAST(p AS INT) AS pos, CASE p WHEN 0 THEN id ELSE 'second' END AS id FROM fx_candidates, (VALUES (0), (1)) AS v(p)")
+def _(df):
+    return _pieces(df).select("report_id", "pos", "id")
+
+
+@query("p3_pre_text", "fx_candidates", "SELECT event_id AS report_id, CAST(p AS INT) AS pos, CASE p WHEN 0 THEN replace(pre,'VSX','VSX <ok>') END AS pre FROM fx_candidates, (VALUES (0), (1)) AS v(p)")
+def _(df):
+    return c.with_pre_text(_pieces(df)).select("report_id", "pos", "pre")
+
+
+@query("p8_cutouts", "fx_candidates", f"SELECT event_id AS report_id, concat('{BASE}/a_', id, '_reference.png') AS reference, concat('{BASE}/b_', id, '_discovery1.png') AS discovery1 FROM fx_candidates")
+def _(df):
+    return c.with_cutouts(_pieces(df), BASE).where("pos = 0").select("report_id", F.col("cutouts")["reference"].alias("reference"), F.col("cutouts")["discovery1"].alias("discovery1"))
+
+
+@query("p9_discovery_images", "fx_candidates", f"SELECT event_id AS report_id, 'Discovery image 1' AS label, CAST(2461160 + event_id % 28 AS DOUBLE) + 0.5::DOUBLE AS jd_utc, CASE WHEN event_id % 4 <> 0 THEN 11.25::DOUBLE END AS mag, '01:02:03.4' AS ra_hms, '-05:06:07.8' AS dec_dms, 10.5::DOUBLE AS x_pix, 20.0::DOUBLE AS y_pix, concat('{BASE}/p/i', event_id, '.fts') AS fits_url FROM fx_candidates")
+def _(df):
+    found = c.with_discovery_images(_pieces(df), BASE).select("report_id", F.explode("discovery_images").alias("d"))
+    return found.select("report_id", *(f"d.{x}" for x in ("label", "jd_utc", "mag", "ra_hms", "dec_dms", "x_pix", "y_pix", "fits_url")))
+
+
+@query("p14_report_stubs", "fx_candidates", "SELECT event_id AS report_id, concat('mean ', event_id) AS mpc_mean, 'l1|l2' AS mpc_per_image, CAST(NULL AS VARCHAR) AS tocp, 'aavso' AS aavso, concat('vsnet ', event_id) AS vsnet FROM fx_candidates")
+def _(df):
+    s = c.with_report_stubs(_pieces(df)).where("pos = 0")
+    return s.select("report_id", "report_stubs.mpc_mean", F.array_join("report_stubs.mpc_per_image", "|").alias("mpc_per_image"), "report_stubs.tocp", "report_stubs.aavso", "report_stubs.vsnet")
+
+
+@query("c18_archive_type", "fx_archive_entries", "SELECT archive_id, pos, (ext = '.zip' AND pos % 3 = 0) OR (ext = '.rar' AND pos % 3 = 1) AS ok FROM fx_archive_entries")
+def _(df):
+    content = F.when(F.col("pos") % 3 == 0, F.unhex(F.lit("504B030400"))).when(F.col("pos") % 3 == 1, F.unhex(F.lit("526172211A"))).otherwise(F.lit(b"x"))
+    return df.select("archive_id", "pos", requests.type_ok(F.col("ext"), content).alias("ok"))
+
+
+def _streamed(spark: SparkSession, sf_dir: str, job: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
+    """Runs a streaming job over the events table to its end and reads what it wrote."""
+    import uuid
+
+    base = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/nightsift-streams").rstrip("/") + f"/streams/{uuid.uuid4().hex}"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*").withColumn("mtime", F.col("ts").cast("timestamp"))
+    writer = job(events).writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+    if mode == "complete":
+        q = writer.foreachBatch(lambda d, _: d.write.mode("overwrite").parquet(f"{base}/out")).start()
+    else:
+        q = writer.format("parquet").option("path", f"{base}/out").start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def stream_query(name: str, sql: str | None, mode: str = "append"):
+    def register(job):
+        QUERIES[name] = lambda spark, sf_dir: _streamed(spark, sf_dir, job, mode)
+        if sql:
+            ORACLE_SQL[name] = sql
+        return job
+
+    return register
+
+
+@stream_query("r2_stream_dedup", "SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id FROM events) GROUP BY user_id")
+def _(events):
+    from nightsift.streaming import jobs
+
+    return jobs.dedup_reports(events, "user_id", "100000 minutes").select("user_id", F.lit(1).cast("long").alias("n"))
+
+
+@stream_query("r4_stream_admission", ORACLE_SQL["w5_admission"])
+def _(events):
+    from nightsift.streaming import jobs
+
+    return jobs.stream_admit(events.withColumn("limit_key", F.col("user_id")), "limit_key", "ts", 2, 86400)
+
+
+@stream_query("r5_stream_totals", "SELECT epoch(date_trunc('hour', ts))::BIGINT AS hour, (user_id % 6)::VARCHAR AS camera, event_type AS classification, count(*) AS n FROM events GROUP BY ALL", "complete")
+def _(events):
+    from nightsift.streaming import jobs
+
+    totals = jobs.stream_session_totals(events.withColumn("camera", (F.col("user_id") % 6).cast("string")).withColumnRenamed("event_type", "classification"))
+    return totals.select(F.unix_timestamp("window.start").alias("hour"), "camera", "classification", "n")
+
+
+@stream_query("r6_stream_notices", "SELECT DISTINCT user_id, event_type FROM events")
+def _(events):
+    from nightsift.streaming import jobs
+
+    return jobs.dedup_reports(events.withColumn("k", F.concat_ws("|", "user_id", "event_type")), "k", "100000 minutes").select("user_id", "event_type")
+
+
+@stream_query("r1_stream_candidates", "SELECT event_id AS report_id, CAST(p AS INT) AS pos, CASE p WHEN 0 THEN concat('c', event_id) ELSE 'second' END AS id, CASE WHEN p = 0 AND event_id % 5 = 0 THEN 'known_asteroid' ELSE 'new' END AS classification FROM events, (VALUES (0), (1)) AS v(p)")
+def _(events):
+    from nightsift.streaming import jobs
+
+    text = F.concat(F.lit("<a name='c"), F.col("event_id").cast("string"), F.lit("'><pre>The object was "), F.when(F.col("event_id") % 5 == 0, "found").otherwise("not found"), F.lit(" in astcheck</pre><HR><a name='second'><pre>x</pre><HR>tail"))
+    return jobs.stream_candidates(events.select(F.col("event_id").alias("report_id"), text.alias("text")), BASE).select("report_id", "pos", "id", "classification")
+
+
+@stream_query("r3_stream_completion", "SELECT user_id AS report_id, count(*) AS n FROM (SELECT user_id, bool_or(event_type = 'purchase') AS done FROM events GROUP BY user_id) WHERE done GROUP BY user_id")
+def _(events):
+    from nightsift.streaming import jobs
+
+    text = F.when(F.col("event_type") == "purchase", "Processing complete!").otherwise("running")
+    revisions = events.select(F.col("user_id").cast("string").alias("report_id"), "mtime", text.alias("text"))
+    return jobs.completion_gate(revisions).select(F.col("report_id").cast("long").alias("report_id"), F.lit(1).cast("long").alias("n"))
+
+
+@query("r8_late_rows", "fx_field_reports", "SELECT report_id, mtime < TIMESTAMP '1998-08-02' - INTERVAL 100000 MINUTE AS late FROM fx_field_reports")
+def _(df):
+    in_time, late = reports.split_late(_reports(df), NOW, 100000)
+    return in_time.select("report_id", F.lit(False).alias("late")).union(late.select("report_id", F.lit(True)))
