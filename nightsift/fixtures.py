@@ -55,7 +55,7 @@ SELECT event_id, ts, user_id AS limit_key, concat('http://h/x/uploads/results_',
 SELECT p_partkey % 400 AS archive_id, CASE WHEN p_partkey % 800 < 400 THEN '.zip' ELSE '.rar' END AS ext, p_partkey AS pos, concat('sub/', CASE p_partkey % 97 WHEN 0 THEN '.hidden' WHEN 1 THEN 'a;b.fits' WHEN 2 THEN 'x.exe' ELSE concat('img_', CAST(p_partkey AS STRING), CASE p_partkey % 3 WHEN 0 THEN '.fits' WHEN 1 THEN '.fts' ELSE '.FIT' END) END) AS entry, CAST(p_size AS BIGINT) * 60000 AS size_bytes FROM part
 """,
     "fx_runs": r"""
-SELECT o_orderkey AS run_id, o_orderdate AS finished, concat(' 12.', lpad(CAST(o_orderkey % 100 AS STRING),2,'0'), ' min  -- Total', chr(10), '  9.', lpad(CAST(o_orderkey * 3 % 100 AS STRING),2,'0'), ' min  -- VaST', chr(10), '  1.00 min  -- wait due to high server load', chr(10), 'The script exit code is ', CAST(CASE WHEN o_orderkey % 19 = 0 THEN 1 ELSE 0 END AS STRING)) AS entry FROM orders
+SELECT o_orderkey AS run_id, o_orderdate AS finished, concat(' 12.', lpad(CAST(o_orderkey % 100 AS STRING),2,'0'), ' min  -- Total', chr(10), '  9.', lpad(CAST(o_orderkey * 3 % 100 AS STRING),2,'0'), ' min  -- analysis', chr(10), '  1.00 min  -- wait due to high server load', chr(10), 'The script exit code is ', CAST(CASE WHEN o_orderkey % 19 = 0 THEN 1 ELSE 0 END AS STRING)) AS entry FROM orders
 """,
     "fx_comet_lines": r"""
 SELECT event_id, concat(' 2024 01 ', lpad(CAST(1 + event_id % 28 AS STRING),2,'0'), '.6422  2460311.1422  12.', lpad(CAST(event_id % 100 AS STRING),2,'0'), '  19:38:41.84 +37:43:59.1', chr(10), 'This object is listed in comets.txt ', CAST(event_id % 120 AS STRING), '.5"  ', CAST(8 + event_id % 6 AS STRING), '.2mag ', CAST(event_id % 12 AS STRING), 'P/Name') AS block FROM events WHERE event_type = 'signup'

@@ -183,7 +183,7 @@ def first_links(hrefs: Column, base_url: str, rules: tuple[tuple[str, str], ...]
     return F.filter(F.array(*every), lambda e: e["v"].isNotNull())
 
 
-def with_external_links(df: DataFrame, base_url: str) -> DataFrame:
+def with_external_links(df: DataFrame, base_url: str, archive_key: str = "sky_archive") -> DataFrame:
     """Services by link, and two archives by form (hidden values become a query string)."""
     hrefs = F.regexp_extract_all("html", F.lit(r"""(?is)<a[^>]*?\shref=['"]([^'"]*)['"]"""), F.lit(1))
     asas = extracted(F.col("html"), r"""(?is)<form[^>]*action=['"]([^'"]*astrouw\.edu\.pl[^'"]*)['"]""")
@@ -193,8 +193,8 @@ def with_external_links(df: DataFrame, base_url: str) -> DataFrame:
     inputs = F.filter(inputs, lambda p: p["k"].isNotNull() & p["v"].isNotNull())
     names = F.transform(inputs, lambda p: p["k"])
     query = F.array_join(F.transform(F.filter(inputs, lambda p: p["k"] != "submit"), lambda p: F.concat(p["k"], F.lit("="), F.replace(F.url_encode(p["v"]), F.lit("+"), F.lit("%20")))), "&")
-    nmw = F.when(F.array_contains(names, "ra") & F.array_contains(names, "dec"), F.concat(action, F.lit("?"), query))
-    more = F.array(F.struct(F.lit("asas3").alias("k"), absolute_url(asas, base_url).alias("v")), F.struct(F.lit("nmw_archive").alias("k"), nmw.alias("v")))
+    archive = F.when(F.array_contains(names, "ra") & F.array_contains(names, "dec"), F.concat(action, F.lit("?"), query))
+    more = F.array(F.struct(F.lit("asas3").alias("k"), absolute_url(asas, base_url).alias("v")), F.struct(F.lit(archive_key).alias("k"), archive.alias("v")))
     pairs = F.concat(first_links(hrefs, base_url), F.filter(more, lambda e: e["v"].isNotNull()))
     return df.withColumn("external_links", F.when(F.size(pairs) > 0, F.map_from_entries(pairs)))
 

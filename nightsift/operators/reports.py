@@ -186,7 +186,7 @@ def parse_session_name(df: DataFrame, name_col: str) -> DataFrame:
 def parse_run_log(df: DataFrame, entry_col: str = "entry") -> DataFrame:
     """The four durations in minutes and the exit code of a run's log entry."""
     minutes = lambda label: number(extracted(F.col(entry_col), rf"(?m)^\s*([0-9.]+) min  -- {label}"))
-    return df.select("*", minutes("Total").alias("total_min"), minutes("VaST").alias("analysis_min"), minutes("wait").alias("wait_min"), minutes("unpack").alias("unpack_min"), extracted(F.col(entry_col), r"The script exit code is (\d+)").try_cast("int").alias("exit_code"))
+    return df.select("*", minutes("Total").alias("total_min"), minutes("(?!Total|wait|unpack)").alias("analysis_min"), minutes("wait").alias("wait_min"), minutes("unpack").alias("unpack_min"), extracted(F.col(entry_col), r"The script exit code is (\d+)").try_cast("int").alias("exit_code"))
 
 
 def runs_with_reports(runs: DataFrame, reports: DataFrame) -> DataFrame:

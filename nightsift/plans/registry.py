@@ -316,7 +316,7 @@ def _(df):
     return reports.with_context(lines, 2, 1).where("line_no < 7").select("report_id", "line_no", F.array_join("context", "~").alias("context"))
 
 
-@query("s10_run_log", "fx_runs", r"SELECT run_id, CAST(regexp_extract(entry,'([0-9.]+) min  -- Total',1) AS DOUBLE) AS total_min, CAST(regexp_extract(entry,'([0-9.]+) min  -- VaST',1) AS DOUBLE) AS analysis_min, CAST(regexp_extract(entry,'([0-9.]+) min  -- wait',1) AS DOUBLE) AS wait_min, CAST(regexp_extract(entry,'exit code is (\d+)',1) AS INT) AS exit_code FROM fx_runs")
+@query("s10_run_log", "fx_runs", r"SELECT run_id, CAST(regexp_extract(entry,'([0-9.]+) min  -- Total',1) AS DOUBLE) AS total_min, CAST(regexp_extract(entry,'([0-9.]+) min  -- analysis',1) AS DOUBLE) AS analysis_min, CAST(regexp_extract(entry,'([0-9.]+) min  -- wait',1) AS DOUBLE) AS wait_min, CAST(regexp_extract(entry,'exit code is (\d+)',1) AS INT) AS exit_code FROM fx_runs")
 def _(df):
     return reports.parse_run_log(df).select("run_id", "total_min", "analysis_min", "wait_min", "exit_code")
 

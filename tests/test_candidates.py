@@ -62,7 +62,7 @@ def test_full_candidate(rows):
     assert r.crossmatches["vsx"].raw == ' 15" V1 & more\nMira' and not r.crossmatches["asassn_v"].found
     assert r.crossmatches["astcheck"].raw == " ast line" and r.crossmatches["tocp"].raw == '7"  Nova (8.7mag)'
     assert r.forced_photometry.per_image[0].flag == "detection" and r.forced_photometry.reference_weighted_avg.mag == 13.1
-    assert r.external_links == {"tns": "https://www.wis-tns.org/a", "simbad": "http://simbad.u-strasbg.fr/x", "nmw_archive": "http://h/sky_archive/q?ra=1%202&dec=%2B3"}
+    assert r.external_links == {"tns": "https://www.wis-tns.org/a", "simbad": "http://simbad.u-strasbg.fr/x", "sky_archive": "http://h/sky_archive/q?ra=1%202&dec=%2B3"}
     assert (r.report_stubs.mpc_mean, r.report_stubs.mpc_per_image, r.report_stubs.tocp) == ("mean line", ["one", " two"], "tocp")
     assert (r.report_stubs.aavso, r.report_stubs.vsnet) == ("aavso text", "vsnet text") and r.parse_warnings == []
 

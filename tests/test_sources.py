@@ -61,7 +61,7 @@ def test_inventories(spark, tmp_path):
 
 
 def test_text_sinks(spark, tmp_path):
-    (tmp_path / "log.txt").write_text(" 12.5 min  -- Total\n 9.0 min  -- VaST\nThe script exit code is 0\n######## date ####\n 1.5 min  -- Total\nThe script exit code is 2\n####")
+    (tmp_path / "log.txt").write_text(" 12.5 min  -- Total\n 9.0 min  -- analysis\nThe script exit code is 0\n######## date ####\n 1.5 min  -- Total\nThe script exit code is 2\n####")
     assert sorted((r.total_min, r.exit_code) for r in readers.read_run_log(spark, str(tmp_path / "log.txt")).collect()) == [(1.5, 2), (12.5, 0)]
     obs = spark.createDataFrame([("2024 01 02.5", "2460311.1", "12.0", "1:2:3", "+1:2:3", "9.2", "B/b c"), ("2024 01 02.5", "2460311.1", "12.0", "1:2:3", "+1:2:3", "9.2", "A/a")], "date_frac string, jd string, mag string, ra_hms string, dec_dms string, pred_mag string, name string")
     sinks.write_comets(comets.comet_lines(obs), str(tmp_path / "comets"))
