@@ -27,6 +27,7 @@ LINK_RULES = (
     ("aladin_lite", "aladin.u-strasbg.fr"),
     ("snad_ztf", "ztf.snad.space"),
 )
+CATALOGUES = (("vsx", "vsx"), ("asassn_v", "asassn_v"), ("astcheck", "astcheck"))
 PAYLOAD_ENDS = ("Forced photometry", "online_id", "Check this position in", "Online MPChecker")
 MEAN_LINE = r"^\s*(\d{4}\s+\d{1,2}\s+\d{1,2}\.\d+)\s+(\d+\.\d+)\s+(-?\d+\.\d+)\s+(\d{1,2}:\d{2}:\d{2}(?:\.\d+)?)\s+([+\-]\d{1,2}:\d{2}:\d{2}(?:\.\d+)?)"
 GALACTIC_LINE = r"(?m)^\s*(-?\d+\.\d+)\s+(-?\d+\.\d+)\s+galactic\s+([A-Za-z]{3})"
@@ -82,11 +83,12 @@ def mean_line(pre: Column) -> Column:
 
 def with_mean(df: DataFrame) -> DataFrame:
     """Date, JD, magnitude, position, galactic position and constellation."""
-    line = mean_line(F.col("pre"))
-    part = lambda n: extracted(line, MEAN_LINE, n)
-    sky = lambda n: F.when(line.isNotNull(), extracted(F.col("pre"), GALACTIC_LINE, n))
+    df = df.withColumn("_line", mean_line(F.col("pre")))  # columns of their own are evaluated once
+    df = df.withColumn("_sky", F.when(F.col("_line").isNotNull(), F.regexp_extract("pre", GALACTIC_LINE, 0)))
+    part = lambda n: extracted(F.col("_line"), MEAN_LINE, n)
+    sky = lambda n: extracted(F.col("_sky"), GALACTIC_LINE, n)
     jd = number(part(2))
-    return df.withColumn("mean", F.struct(jd_to_iso(jd).alias("date_utc_iso"), part(1).alias("date_utc_dayfraction"), jd.alias("jd_utc"), number(part(3)).alias("mag"), part(4).alias("ra_hms"), part(5).alias("dec_dms"), hms_to_deg(part(4)).alias("ra_deg"), dms_to_deg(part(5)).alias("dec_deg"), number(sky(1)).alias("galactic_l_deg"), number(sky(2)).alias("galactic_b_deg"), sky(3).alias("constellation")))
+    return df.withColumn("mean", F.struct(jd_to_iso(jd).alias("date_utc_iso"), part(1).alias("date_utc_dayfraction"), jd.alias("jd_utc"), number(part(3)).alias("mag"), part(4).alias("ra_hms"), part(5).alias("dec_dms"), hms_to_deg(part(4)).alias("ra_deg"), dms_to_deg(part(5)).alias("dec_deg"), number(sky(1)).alias("galactic_l_deg"), number(sky(2)).alias("galactic_b_deg"), sky(3).alias("constellation"))).drop("_line", "_sky")
 
 
 def with_separation(df: DataFrame) -> DataFrame:
@@ -126,19 +128,28 @@ def with_discovery_images(df: DataFrame, base_url: str) -> DataFrame:
     return df.withColumn("discovery_images", F.when(F.size(found) > 0, found))
 
 
-def crossmatch_entries(pre: Column) -> Column:
-    """P10: array of (k, found, raw) for the three catalogues; the last sentinel of a name wins."""
-    lines = lines_of(pre)
-    marks = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), F.regexp_extract(x, SENTINEL, 1).alias("s"), F.lower(F.replace(F.regexp_extract(x, SENTINEL, 2), F.lit("-"), F.lit("_"))).alias("n"))), lambda m: m["s"] != "")
-    ends = F.transform(lines, lambda x, i: F.when(F.trim(x).rlike("^(" + "|".join(PAYLOAD_ENDS) + ")"), i))
+def with_crossmatch_entries(df: DataFrame) -> DataFrame:
+    """P10: entries: array of (k, found, raw) for the three catalogues; the last sentinel of a name wins."""
+    df = df.withColumn("_lines", lines_of(F.col("pre")))
+    lines = F.col("_lines")
+    df = df.withColumn("_marks", F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), F.regexp_extract(x, SENTINEL, 1).alias("s"), F.lower(F.replace(F.regexp_extract(x, SENTINEL, 2), F.lit("-"), F.lit("_"))).alias("n"))), lambda m: m["s"] != ""))
+    df = df.withColumn("_ends", F.transform(lines, lambda x, i: F.when(F.trim(x).rlike("^(" + "|".join(PAYLOAD_ENDS) + ")"), i)))
+    marks, ends = F.col("_marks"), F.col("_ends")
+    for _, n in CATALOGUES:
+        df = df.withColumn(f"_{n}", last_mark(marks, n))
 
     def entry(key: str, name: str) -> Column:
-        mark = F.try_element_at(F.filter(marks, lambda m: m["n"] == name), F.lit(-1))
+        mark = F.col(f"_{name}")
         stop = F.array_min(F.concat(F.filter(F.transform(marks, lambda m: m["i"]), lambda i: i > mark["i"]), F.filter(ends, lambda i: i > mark["i"]), F.array(F.size(lines))))
         raw = F.rtrim(F.array_join(F.slice(lines, mark["i"] + 2, stop - mark["i"] - 1), "\n"), F.lit(" \n\t"))
         return F.when(mark.isNotNull(), F.struct(F.lit(key).alias("k"), (mark["s"] == "found").alias("found"), F.when(mark["s"] == "found", F.nullif(raw, F.lit(""))).alias("raw")))
 
-    return F.filter(F.array(entry("vsx", "vsx"), entry("asassn_v", "asassn_v"), entry("astcheck", "astcheck")), lambda e: e.isNotNull())
+    entries = F.filter(F.array(*(entry(k, n) for k, n in CATALOGUES)), lambda e: e.isNotNull())
+    return df.withColumn("entries", entries).drop("_lines", "_marks", "_ends", *(f"_{n}" for _, n in CATALOGUES))
+
+
+def last_mark(marks: Column, name: str) -> Column:
+    return F.try_element_at(F.filter(marks, lambda m: m["n"] == name), F.lit(-1))
 
 
 def exclusion_key(pre: Column, keys: dict[str, str] = EXCLUSION_KEYS) -> Column:
@@ -155,9 +166,11 @@ def exclusion_details(pre: Column) -> Column:
 def with_crossmatches(df: DataFrame) -> DataFrame:
     """Key -> (found, raw); null if nothing is named."""
     listed = F.struct(exclusion_key(F.col("pre")).alias("k"), F.lit(True).alias("found"), exclusion_details(F.col("pre")).alias("raw"))
-    all_ = F.concat(crossmatch_entries(F.col("pre")), F.filter(F.array(listed), lambda e: e["k"].isNotNull()))
+    df = with_crossmatch_entries(df)
+    all_ = F.concat("entries", F.filter(F.array(listed), lambda e: e["k"].isNotNull()))
     pairs = F.transform(all_, lambda e: F.struct(e["k"].alias("k"), F.struct(e["found"].alias("found"), e["raw"].alias("raw")).alias("v")))
-    return df.withColumn("crossmatches", F.when(F.size(pairs) > 0, last_map(pairs)))
+    df = df.withColumn("_pairs", pairs)
+    return df.withColumn("crossmatches", F.when(F.size("_pairs") > 0, last_map(F.col("_pairs")))).drop("entries", "_pairs")
 
 
 def with_forced_photometry(df: DataFrame) -> DataFrame:

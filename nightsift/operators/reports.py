@@ -106,12 +106,14 @@ def last_image_time(df: DataFrame) -> DataFrame:
 
 def max_fwhm(df: DataFrame) -> DataFrame:
     """The largest first field, if a number, of the lines 'pix ... name' of the two second-epoch images."""
-    lines = lines_of(F.col("text"))
-    name = lambda k: F.regexp_replace(F.substring_index(first_line(lines, k), "/", -1), "<.*", "")
-    of = lambda n: F.filter(lines, lambda x: F.coalesce((n != "") & (F.locate("pix", x) > 0) & F.contains(F.regexp_replace(x, "^.*?pix", ""), n), F.lit(False)))
-    hits = F.concat(F.coalesce(of(name("SECOND_EPOCH__FIRST_IMAGE=")), F.array()), F.coalesce(of(name("SECOND_EPOCH__SECOND_IMAGE=")), F.array()))
+    df = df.withColumn("_lines", lines_of(F.col("text")))
+    for column, key in (("_first", "SECOND_EPOCH__FIRST_IMAGE="), ("_second", "SECOND_EPOCH__SECOND_IMAGE=")):
+        df = df.withColumn(column, F.nullif(F.regexp_replace(F.substring_index(first_line(F.col("_lines"), key), "/", -1), "<.*", ""), F.lit("")))
+    df = df.withColumn("_pix", F.filter("_lines", lambda x: F.contains(x, F.lit("pix"))))
+    names = lambda x: F.regexp_replace(x, "^.*?pix", "")
+    hits = F.filter("_pix", lambda x: F.coalesce(F.contains(names(x), F.col("_first")), F.lit(False)) | F.coalesce(F.contains(names(x), F.col("_second")), F.lit(False)))
     values = F.filter(F.transform(hits, lambda x: F.get(tokens(x), 0)), lambda v: v.rlike(r"^[0-9.]+$"))
-    return df.withColumn("fwhm_pix", F.array_max(F.transform(values, number)))
+    return df.withColumn("fwhm_pix", F.array_max(F.transform(values, number))).drop("_lines", "_first", "_second", "_pix")
 
 
 def with_warning(df: DataFrame) -> DataFrame:
