@@ -10,8 +10,8 @@ from __future__ import annotations
 import json
 import os
 import unicodedata
+from array import array
 
-import numpy as np
 import regex
 
 from .token_counts import UNSURE, byte_alphabet
@@ -23,9 +23,9 @@ END_BYTE = b"\xff"
 
 
 class WordIds(dict):
-    """Chunk (UTF-8, no white space) -> its ids as little-endian unsigned 32-bit numbers."""
+    """Chunk (UTF-8, no white space) -> its ids as unsigned 32-bit numbers in the machine's (little-endian) order."""
 
-    def __init__(self, tokenizer_json: str, most: int = 500_000):
+    def __init__(self, tokenizer_json: str, most: int = 1_000_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
@@ -46,16 +46,25 @@ class WordIds(dict):
     def encode(self, text: str) -> list[int]:
         if self.unsure(text) or any(s in text for s in self.special):
             return self.library.encode(text, add_special_tokens=False).ids
-        text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
-        return [i for word in self.split(text) for i in self.merge(word.encode() + END_BYTE)]
+        text = unicodedata.normalize("NFC", text)
+        text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()  # the library knows no final form
+        return [i for word in ([text] if text.isalpha() else self.split(text)) for i in self.merge(word.encode() + END_BYTE)]
 
     def __missing__(self, chunk: bytes) -> bytes:
-        ids = np.array(self.encode(chunk.decode()), "<u4").tobytes()
+        if chunk.isalpha():  # ASCII letters alone, the most frequent kind
+            ids = array("I", self.merge(chunk.lower() + END_BYTE)).tobytes()
+        elif (core := chunk[:-1]).isalpha() and chunk[-1] in b".,:;!?":
+            ids = self[core] + self[chunk[-1:]]
+        else:
+            ids = array("I", self.encode(chunk.decode())).tobytes()
         if len(self) >= self.most:
             self.clear()
         self[chunk] = ids
         return ids
 
     def text_ids(self, text: bytes) -> bytes:
-        """The ids of a whole UTF-8 text. bytes.split cuts at the six ASCII white-space characters alone."""
-        return b"".join(map(self.__getitem__, text.split()))
+        """The ids of a whole UTF-8 text. bytes.split cuts at the six ASCII white-space characters alone.
+
+        Lower-casing A-Z first makes chunks fewer; special tokens, which begin with <|, must be seen as they are.
+        """
+        return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
