@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,8 +135,11 @@ def with_crossmatch_entries(df: DataFrame) -> DataFrame:
     """P10: entries: array of (k, found, raw) for the three catalogues; the last sentinel of a name wins."""
     df = df.withColumn("_lines", lines_of(F.col("pre")))
     lines = F.col("_lines")
-    df = df.withColumn("_marks", F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), F.regexp_extract(x, SENTINEL, 1).alias("s"), F.lower(F.replace(F.regexp_extract(x, SENTINEL, 2), F.lit("-"), F.lit("_"))).alias("n"))), lambda m: m["s"] != ""))
-    df = df.withColumn("_ends", F.transform(lines, lambda x, i: F.when(F.trim(x).rlike("^(" + "|".join(PAYLOAD_ENDS) + ")"), i)))
+    # most lines are no sentinels: a substring test keeps the pattern for those that may be
+    maybe = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda p: F.contains(p["x"], F.lit("The object was")))
+    df = df.withColumn("_marks", F.filter(F.transform(maybe, lambda p: F.struct(p["i"].alias("i"), F.regexp_extract(p["x"], SENTINEL, 1).alias("s"), F.lower(F.replace(F.regexp_extract(p["x"], SENTINEL, 2), F.lit("-"), F.lit("_"))).alias("n"))), lambda m: m["s"] != ""))
+    begins = lambda x: reduce(or_, (F.startswith(F.ltrim(x), F.lit(e)) for e in PAYLOAD_ENDS))
+    df = df.withColumn("_ends", F.transform(lines, lambda x, i: F.when(begins(x), i)))
     marks, ends = F.col("_marks"), F.col("_ends")
     for _, n in CATALOGUES:
         df = df.withColumn(f"_{n}", last_mark(marks, n))

@@ -77,7 +77,7 @@ def _(df):
 
 @query("p10_crossmatches", "fx_candidates", r"SELECT event_id, 'vsx' AS key, contains(pre,'was found in VSX') AS found FROM fx_candidates UNION ALL SELECT event_id, 'astcheck', contains(pre,'was found in astcheck') FROM fx_candidates")
 def _(df):
-    return c.with_crossmatch_entries(df).select("event_id", F.explode("entries").alias("e")).select("event_id", F.col("e.k").alias("key"), "e.found")
+    return c.with_crossmatch_entries(df).select("event_id", F.explode(F.transform("entries", lambda e: F.struct(e["k"].alias("key"), e["found"].alias("found")))).alias("e")).select("event_id", "e.*")
 
 
 @query("p11_exclusion_list", "fx_candidates", rf"SELECT event_id, {KEY} AS key, nullif(trim(regexp_extract(pre,'This object is listed in \S+\.txt(.*)',1)),'') AS raw FROM fx_candidates WHERE {LIST} <> ''")
