@@ -31,19 +31,24 @@ def quality_weight(text: Column, size: Column) -> Column:
     return (size + 1.0) / (size + 1.0 + symbols)
 
 
+def source_key(source_col: str) -> Column:
+    """A key that is never null and sorts as sources do: by code point, null last."""
+    return F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string")))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """sizes (source, source_size; one row each) with target.
+    """sizes (source, a source_key; source_size; one row each) with target.
 
-    Sources by code point, null last, have the weights in turn and share `share` of all sizes; a target stops at `most`
+    Sources in their order have the weights in turn and share `share` of all sizes; a target stops at `most`
     times its source's size and the excess is reshared by weight. In order of size by weight, a source is capped if its
     share of what the earlier ones left is not less than its cap; after the first that is not, none is.
     The windows see one row per source.
     """
     everywhere = Window.partitionBy()
-    turn = (F.row_number().over(everywhere.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
+    turn = (F.row_number().over(everywhere.orderBy(F.col("source").asc())) - 1) % len(weights)
     rows = sizes.select("source", "source_size", F.element_at(F.array(*map(F.lit, weights)), turn + 1).cast("double").alias("w"))
     rows = rows.withColumn("cap", most * F.col("source_size")).withColumn("budget", share * F.sum("source_size").over(everywhere))
-    up = everywhere.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
+    up = everywhere.orderBy(F.col("cap") / F.col("w"), F.col("source"))
     earlier = F.coalesce(F.sum("cap").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     later = F.sum("w").over(up.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     rows = rows.withColumn("capped", (F.col("budget") - earlier) * F.col("w") >= F.col("cap") * later)
@@ -60,7 +65,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     The words taken of a source are its target, rounded down.
     """
     text = F.col(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), whole_row(docs, keep).alias("row"), F.col(source_col).alias("source"), word_count(text).alias("size"), quality_weight(text, word_count(text)).alias("quality"), uniform(id_col).alias("u"))
+    rows = docs.select(F.col(id_col).alias("id"), whole_row(docs, keep).alias("row"), source_key(source_col).alias("source"), word_count(text).alias("size"), quality_weight(text, word_count(text)).alias("quality"), uniform(id_col).alias("u"))
     rows = rows.select("id", "row", "source", "size", (-F.log("u") / F.col("quality")).alias("key"))
     rows = rows.withColumn("bucket", F.floor(buckets * F.col("key") / (1 + F.col("key"))).cast("int"))
     if not keep:
@@ -69,18 +74,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     by_bucket = materialize(rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")), "mix-buckets")
     targets = source_targets(by_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, share, most)
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    b = by_bucket.withColumn("before", F.coalesce(F.sum("bucket_size").over(before), F.lit(0))).alias("b")
-    b = b.join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source"))).select("b.*", "source_size", "target")
+    b = by_bucket.withColumn("before", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)))
+    b = b.join(targets, "source")
     whole = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(0)
     b = b.withColumn("epochs", whole).withColumn("rest", F.floor("target") - F.col("epochs") * F.col("source_size"))
 
-    d, b = rows.alias("d"), b.alias("b")
-    joined = d.join(b, F.col("d.source").eqNullSafe(F.col("b.source")) & (F.col("d.bucket") == F.col("b.bucket")))
-    order = Window.partitionBy("b.source", "b.bucket").orderBy("key", "d.id", "size")
+    joined = rows.join(b, ["source", "bucket"])  # the window needs the same partitioning, so rows move once
+    order = Window.partitionBy("source", "bucket").orderBy("key", "id", "size")
     within = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before") - within))
     taken = (F.col("epochs") * F.col("size") + part).cast("long").alias("taken")
-    return joined.select(F.col("d.id").alias(id_col), "size", F.col("source_size").cast("long").alias("source_size"), "target", taken, *["row"] * keep)
+    return joined.select(F.col("id").alias(id_col), "size", F.col("source_size").cast("long").alias("source_size"), "target", taken, *["row"] * keep)
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
