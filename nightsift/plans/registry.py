@@ -414,7 +414,7 @@ def _(load):
 
 @query("j5_target_images", "", f"SELECT target_id, event_id FROM (SELECT DISTINCT target_id, field FROM ({FIELDS}) WHERE target_id % 50 = 0) JOIN fx_images USING (field)")
 def _(load):
-    fields = coverage.with_image_field(_cover(load).where("target_id % 50 = 0"))
+    fields = coverage.with_image_field(_cover(load))
     return lightcurve.images_for_targets(load("fx_images"), fields).select("target_id", "event_id")
 
 
