@@ -53,20 +53,32 @@ def within_days(df: DataFrame, today: date, days: str = "days") -> DataFrame:
     return df.where(F.col("dir_date") >= F.date_sub(F.lit(today), F.col(days) - 1))
 
 
+def _newest(key: str) -> Column:
+    """Rank of an image among those of the key: by the time in the name, newest first, then directory date and names."""
+    name = F.substring_index("path", "/", -1)
+    stamp = extracted(name, r"(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})")
+    return F.row_number().over(Window.partitionBy(key).orderBy(stamp.desc_nulls_last(), F.col("dir_date").desc(), F.substring_index("path", "/", 1).desc(), name))
+
+
 def newest_images(df: DataFrame, limit: str = "images") -> DataFrame:
     """The newest images of each target by the time in the name, with the number there were and whether it was capped.
 
     Images without a time come last. The count is joined as an aggregate; the ranked window keeps only the first ranks
     of each task before its shuffle.
     """
-    name = F.substring_index("path", "/", -1)
-    stamp = extracted(name, r"(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})")
-    order = Window.partitionBy("target_id").orderBy(stamp.desc_nulls_last(), F.col("dir_date").desc(), F.substring_index("path", "/", 1).desc(), name)
     total = df.groupBy("target_id").agg(F.count("*").alias("total"))
-    ranked = df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= 50).where(F.col("rank") <= F.col(limit))
+    ranked = df.withColumn("rank", _newest("target_id")).where(F.col("rank") <= 50).where(F.col("rank") <= F.col(limit))
     return ranked.join(total, "target_id").withColumn("capped", F.col("total") > F.col(limit))
 
 
+def newest_of_fields(targets: DataFrame, images: DataFrame, limit: str = "images") -> DataFrame:
+    """W2 where each target has one field: images are ranked and counted once per field (limits are clamped to 50), then joined to its targets."""
+    total = images.groupBy("field").agg(F.count("*").alias("total"))
+    first = images.withColumn("rank", _newest("field")).where(F.col("rank") <= 50)
+    out = targets.join(first.join(total, "field"), "field").where(F.col("rank") <= F.col(limit))
+    return out.withColumn("capped", F.col("total") > F.col(limit))
+
+
 def attach_measurements(selected: DataFrame, measurements: DataFrame, on: str = "event_id") -> DataFrame:
     """Every selected image has a row; without a measurement its status is skipped."""
     return selected.join(measurements, on, "left").withColumn("status", F.coalesce("status", F.lit("skipped")))

@@ -426,19 +426,18 @@ def _(df):
 PAIRED = "SELECT t.target_id, i.*, least(greatest(window_days,1),30) AS days, least(greatest(max_images,1),50) AS images FROM fx_targets t JOIN fx_images i ON i.field = concat('Fld', t.target_id % 20) WHERE t.target_id % 50 = 1"
 
 
-def _paired(load) -> DataFrame:
-    t = lightcurve.clamp_targets(load("fx_targets")).where("target_id % 50 = 1").withColumn("field", F.concat(F.lit("Fld"), F.col("target_id") % 20))
-    return t.join(load("fx_images"), "field")
+def _targets(load) -> DataFrame:
+    return lightcurve.clamp_targets(load("fx_targets")).withColumn("field", F.concat(F.lit("Fld"), F.col("target_id") % 20))
 
 
 @query("w3_within_days", "", f"SELECT target_id, event_id FROM ({PAIRED}) WHERE dir_date >= (SELECT DATE '2024-01-20') - CAST(days-1 AS INT)")
 def _(load):
-    return lightcurve.within_days(_paired(load), date(2024, 1, 20)).select("target_id", "event_id")
+    return lightcurve.within_days(_targets(load).join(load("fx_images"), "field"), date(2024, 1, 20)).select("target_id", "event_id")
 
 
 @query("w2_newest_images", "", rf"SELECT target_id, event_id, CAST(n AS INT) AS rank, total, total > images AS capped FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY regexp_extract(path,'(\d{{4}}-\d{{2}}-\d{{2}}_\d{{2}}-\d{{2}}-\d{{2}})',1) DESC, dir_date DESC, split_part(path,'/',1) DESC, split_part(path,'/',2)) AS n, count(*) OVER (PARTITION BY target_id) AS total FROM ({PAIRED})) WHERE n <= images")
 def _(load):
-    return lightcurve.newest_images(_paired(load)).select("target_id", "event_id", "rank", "total", "capped")
+    return lightcurve.newest_of_fields(_targets(load), load("fx_images")).select("target_id", "event_id", "rank", "total", "capped")
 
 
 @query("j6_attach_measurements", "", "SELECT i.event_id, coalesce(m.status,'skipped') AS status, m.mag FROM fx_images i LEFT JOIN fx_measurements m USING (event_id)")

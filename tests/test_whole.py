@@ -25,3 +25,19 @@ def test_j5_all_targets(spark, con):
     want = con.execute(oracle(f"SELECT target_id, event_id FROM (SELECT DISTINCT target_id, field FROM ({registry.FIELDS})) JOIN fx_images USING (field)")).fetchall()
     got = rows(spark, "j5_target_images", ["target_id", "event_id"])
     assert got == sorted(want) and len({t % 50 for t, _ in got}) > 1
+
+
+PAIRED = "SELECT t.target_id, i.*, least(greatest(window_days,1),30) AS days, least(greatest(max_images,1),50) AS images FROM fx_targets t JOIN fx_images i ON i.field = concat('Fld', t.target_id % 20)"
+
+
+def test_w2_all_targets(spark, con):
+    stamp = r"regexp_extract(path,'(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})',1)"
+    want = con.execute(oracle(f"SELECT target_id, event_id, CAST(n AS INT), total, total > images FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY {stamp} DESC, dir_date DESC, split_part(path,'/',1) DESC, split_part(path,'/',2)) AS n, count(*) OVER (PARTITION BY target_id) AS total FROM ({PAIRED})) WHERE n <= images")).fetchall()
+    got = rows(spark, "w2_newest_images", ["target_id", "event_id", "rank", "total", "capped"])
+    assert got == sorted(want) and len({t[0] % 50 for t in got}) == 50
+
+
+def test_w3_all_targets(spark, con):
+    want = con.execute(oracle(f"SELECT target_id, event_id FROM ({PAIRED}) WHERE dir_date >= (SELECT DATE '2024-01-20') - CAST(days-1 AS INT)")).fetchall()
+    got = rows(spark, "w3_within_days", ["target_id", "event_id"])
+    assert got == sorted(want) and len({t % 50 for t, _ in got}) == 50
