@@ -312,8 +312,8 @@ def _(df):
 
 @query("w6_context", "fx_report_text", f"SELECT report_id, CAST(i-1 AS INT) AS line_no, array_to_string(l[greatest(i-2,1):i+1], '~') AS context FROM (SELECT report_id, {TEXT_LINES} AS l, unnest(range(1, least(len({TEXT_LINES}),8)+1)) AS i FROM fx_report_text) WHERE i < 8")
 def _(df):
-    lines = df.select("report_id", F.posexplode(F.slice(F.split("text", "\n"), 1, 8)).alias("line_no", "line"))
-    return reports.with_context(lines, 2, 1).where("line_no < 7").select("report_id", "line_no", F.array_join("context", "~").alias("context"))
+    lines = df.select("report_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return reports.with_context(lines, 2, 1).select("report_id", "line_no", F.array_join("context", "~").alias("context"))
 
 
 @query("s10_run_log", "fx_runs", r"SELECT run_id, CAST(regexp_extract(entry,'([0-9.]+) min  -- Total',1) AS DOUBLE) AS total_min, CAST(regexp_extract(entry,'([0-9.]+) min  -- analysis',1) AS DOUBLE) AS analysis_min, CAST(regexp_extract(entry,'([0-9.]+) min  -- wait',1) AS DOUBLE) AS wait_min, CAST(regexp_extract(entry,'exit code is (\d+)',1) AS INT) AS exit_code FROM fx_runs")

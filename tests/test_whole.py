@@ -41,3 +41,11 @@ def test_w3_all_targets(spark, con):
     want = con.execute(oracle(f"SELECT target_id, event_id FROM ({PAIRED}) WHERE dir_date >= (SELECT DATE '2024-01-20') - CAST(days-1 AS INT)")).fetchall()
     got = rows(spark, "w3_within_days", ["target_id", "event_id"])
     assert got == sorted(want) and len({t % 50 for t, _ in got}) == 50
+
+
+def test_w6_all_lines(spark):
+    want = []
+    for report, text in registry.load(spark, SF, "fx_report_text").select("report_id", "text").collect():
+        lines = text.split("\n")
+        want += [(report, i, "~".join(lines[max(0, i - 2) : i + 2])) for i in range(len(lines))]
+    assert rows(spark, "w6_context", ["report_id", "line_no", "context"]) == sorted(want)
