@@ -30,9 +30,11 @@ SYMBOLS = 64
 
 #: Costs (natural logarithms) of the channel: a stand-in, a dropped stand-in, a letter written more often than meant.
 STAND_IN, DROPPED, REPEATED = -1.0, -4.0, -0.5
+#: Cost of one certain digit of ten (they share the number 0), where a token is scored as written.
+WRITTEN = -2.3
 
 NUMBER = {c: i for i, c in enumerate(LETTERS, 1)}
-DISGUISED = re.compile(r"(?=.*[^\W\d_])(?=.*[0-9@$!|+€£])[^\W_@$!|+€£]*[\w@$!|+€£.*-]+$")
+DISGUISED = re.compile(r"(?=.*[^\W\d_])(?=.*[0-9@$!|+€£])[\w@$!|+€£.*-]+$")
 TRIPLE = re.compile(r"([^\W\d_])\1\1")
 DOTTED = re.compile(r"[\w@$!|+](?:[.\-_*~/][\w@$!|+]){2,}$")
 SPACED = re.compile(r"(?<!\S)[\w@$!|+](?: [\w@$!|+]){2,}(?!\S)")
@@ -84,22 +86,48 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def viterbi(token: str, model: list[float]) -> str:
-    """The likeliest letters behind a token: best path of its lattice under the trigram model, word edges included."""
-    best = {(0, 0): (0.0, "")}
-    for options in lattice(token):
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (p, q), (score, text) in best.items():
-            for letters, cost in options:
-                a, b, s = p, q, score + cost
+def with_breaks(options: list[list[tuple[str, float]]]) -> list[list[tuple[str, float]]]:
+    """The options of a spelled-out run, where a word may end between any two characters."""
+    out = []
+    for i, step in enumerate(options):
+        inner = [*step, *((s[0] + " " + s[1:], c) for s, c in step if len(s) == 2)]
+        out.append(inner + [(" " + s, c) for s, c in inner if s] * (i > 0))
+    return out
+
+
+def best_path(options: list[list[tuple[str, float]]], model: list[float]) -> tuple[float, str]:
+    """Score and letters of the likeliest path of a lattice under the trigram model, word edges included."""
+    best, back = {(0, 0): 0.0}, []
+    for step in options:
+        new: dict[tuple[int, int], float] = {}
+        came: dict[tuple[int, int], tuple[tuple[int, int], str]] = {}
+        for state, score in best.items():
+            for letters, cost in step:
+                (a, b), s = state, score + cost
                 for c in letters:
-                    k = NUMBER[c]
+                    k = NUMBER.get(c, 0)
                     s += model[(a * SYMBOLS + b) * SYMBOLS + k]
                     a, b = b, k
-                if (a, b) not in new or new[a, b][0] < s:
-                    new[a, b] = (s, text + letters)
+                if (a, b) not in new or new[a, b] < s:
+                    new[a, b], came[a, b] = s, (state, letters)
         best = new
-    return max((s + model[(a * SYMBOLS + b) * SYMBOLS], t) for (a, b), (s, t) in best.items())[1]
+        back.append(came)
+    score, state = max((s + model[(a * SYMBOLS + b) * SYMBOLS], (a, b)) for (a, b), s in best.items())
+    out = []
+    for came in reversed(back):
+        state, letters = came[state]
+        out.append(letters)
+    return score, "".join(reversed(out))
+
+
+def viterbi(token: str, model: list[float]) -> str:
+    """The likeliest letters behind a token."""
+    return best_path(lattice(token), model)[1]
+
+
+def literal(token: str, model: list[float]) -> float:
+    """Score of a token as it is written."""
+    return best_path([[(c, 0.0 if c in NUMBER else WRITTEN)] for c in token], model)[0]
 
 
 def parts_of(word: str) -> list[str]:
@@ -117,16 +145,22 @@ class Restorer:
     def token(self, token: str) -> str:
         word = token.strip(MARKS)
         if word.isalpha():
-            if len(word) <= self.longest and (TRIPLE.search(word) or self.single and DOUBLE.search(word) and DOUBLE.sub(r"\1", word) in self.single):
+            if TRIPLE.search(word) or self.single and DOUBLE.search(word) and DOUBLE.sub(r"\1", word) in self.single:
                 return viterbi(word, self.model)
             return word
-        if 2 < len(word) <= self.longest and (DOTTED.match(word) or DISGUISED.match(word)) and 2 * sum(map(str.isdigit, word)) <= len(word):
-            return viterbi(re.sub(r"[.\-_*~/]", "", word), self.model)
+        if len(word) > 2 and (DOTTED.match(word) or DISGUISED.match(word)):
+            bare = re.sub(r"[.\-_*~/]", "", word)
+            score, text = best_path(lattice(bare), self.model)
+            if 2 * sum(map(str.isdigit, word)) <= len(word) or score > literal(bare, self.model):
+                return text
         return word
 
     def spaced(self, run: str) -> str:
-        """Single characters with a space between each: decoded together."""
-        return viterbi(run.replace(" ", ""), self.model) if len(run) < 2 * self.longest and any(map(str.isalpha, run)) else run
+        """Single characters with a space between each: decoded together; in runs longer than a word, words may end anywhere."""
+        if not any(map(str.isalpha, run)):
+            return run
+        options = lattice(run.replace(" ", ""))
+        return best_path(options if len(run) < 2 * self.longest else with_breaks(options), self.model)[1]
 
     def text(self, text: str) -> list[str]:
         """The words of the restored text."""
