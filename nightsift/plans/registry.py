@@ -159,8 +159,10 @@ def _(df):
 def _(df):
     from nightsift.sources.sinks import candidate_documents
 
-    docs = candidate_documents(c.classify(df).withColumn("report_id", F.col("cam_no").cast("string")).withColumn("pos", F.col("event_id")), None, "2026-01-01T00:00:00Z")
-    return docs.select(F.col("source_report").cast("int").alias("cam_no"), F.size("candidates").alias("n"), F.array_min(F.transform("candidates", lambda x: x["id"])).alias("first_id"), F.col("totals.new").alias("new"))
+    report = F.concat_ws("_", "cam_no", F.floor(F.col("event_id") / 50))  # reports of at most 50 candidates each, so no document grows with the table
+    docs = candidate_documents(c.classify(df).withColumn("report_id", report).withColumn("pos", F.col("event_id")), None, "2026-01-01T00:00:00Z")
+    each = docs.select(F.split_part("source_report", F.lit("_"), F.lit(1)).cast("int").alias("cam_no"), F.explode("candidates").alias("c"))
+    return each.groupBy("cam_no").agg(F.count("*").cast("int").alias("n"), F.min("c.id").alias("first_id"), F.count_if(F.col("c.classification") == "new").alias("new"))
 
 
 @query("s2_session_name", "fx_candidates", "SELECT event_id, '2026-05-12' AS date_utc, CASE WHEN event_id % 2 = 0 THEN 'morning' ELSE 'evening' END AS session, concat('Cam', cam_no) AS camera FROM fx_candidates")

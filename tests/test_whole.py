@@ -49,3 +49,13 @@ def test_w6_all_lines(spark):
         lines = text.split("\n")
         want += [(report, i, "~".join(lines[max(0, i - 2) : i + 2])) for i in range(len(lines))]
     assert rows(spark, "w6_context", ["report_id", "line_no", "context"]) == sorted(want)
+
+
+def test_k1_documents_are_bounded(spark, monkeypatch):
+    from nightsift.sources import sinks
+
+    made, build = [], sinks.candidate_documents
+    monkeypatch.setattr(sinks, "candidate_documents", lambda *a: made.append(build(*a)) or made[0])
+    got = registry.QUERIES["k1_document_counts"](spark, SF).collect()
+    sizes = [len(r.candidates) for r in made[0].select("candidates").collect()]
+    assert max(sizes) <= 100 and sum(sizes) == sum(r.n for r in got) == spark.read.parquet(f"{SF}/events.parquet").count()
