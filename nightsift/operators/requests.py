@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 #: Fixed values.
 MIN_BYTES, MAX_BYTES = 2 * 1024 * 1024, 2 * 1024 * 1024 * 1024
@@ -88,24 +93,31 @@ def rolling_count(df: DataFrame, key: str, ts: str, seconds: int = 3600) -> Data
 def admit(df: DataFrame, key: str, ts: str, order: str, limit: int = 5, seconds: int = 3600) -> DataFrame:
     """Greedy admission: accepted if fewer than `limit` of the key's requests were accepted in the seconds before.
 
-    A refused request does not count, so each decision needs those before it. Requests are cut where a key was idle for
-    the window or longer (nothing before can matter), so a fold handles one busy stretch of one key, not a key's history.
+    A refused request does not count, so each decision needs those before it. Rows are sorted within partitions by key, time
+    and order, and decided as they stream by; only the times of at most `limit` accepted requests are held.
     """
     span = seconds * 1_000_000
-    rows = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
-    by_key = Window.partitionBy(key).orderBy("_t", order)
-    rows = rows.withColumn("_new", F.coalesce((F.col("_t") - F.lag("_t").over(by_key) >= span).cast("int"), F.lit(1))).withColumn("_run", F.sum("_new").over(by_key))
-    runs = rows.groupBy(key, "_run").agg(F.array_sort(F.collect_list(F.struct("_t", order))).alias("r"))
-
-    def step(acc: Column, x: Column) -> Column:
-        held = F.filter(acc["held"], lambda t: t > x["_t"] - span)
-        ok = F.size(held) < limit
-        return F.struct(F.when(ok, F.concat(held, F.array(x["_t"]))).otherwise(held).alias("held"), F.concat(acc["out"], F.array(F.struct(x[order].alias("o"), ok.alias("ok")))).alias("out"))
-
-    order_type = df.schema[order].dataType.simpleString()
-    start = F.struct(F.array().cast("array<bigint>").alias("held"), F.array().cast(f"array<struct<o:{order_type},ok:boolean>>").alias("out"))
-    decided = runs.select(F.explode(F.aggregate("r", start, step, lambda a: a["out"])).alias("d")).select(F.col("d.o").alias(order), F.col("d.ok").alias("accepted"))
-    return df.join(decided, order)
+    names = [order, *(c for c in df.columns if c != order)]
+    rows = df.select(*names, F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"))
+    key_at, type_of = names.index(key), {f.name: f for f in df.schema}
+    schema = StructType([*(type_of[n] for n in names), StructField("accepted", BooleanType())])
+
+    def decide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = object(), deque()
+        for b in batches:
+            out = []
+            for k, t in zip(b.column(key_at).to_pylist(), b.column(len(names)).to_pylist(), strict=True):
+                if k != last:
+                    last = k
+                    held.clear()
+                while t is not None and held and held[0] <= t - span:
+                    held.popleft()
+                out.append(len(held) < limit)
+                if out[-1] and t is not None:
+                    held.append(t)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.bool_())], [*names, "accepted"])
+
+    return rows.repartition(key).sortWithinPartitions(key, "_t", order).mapInArrow(decide, schema)
 
 
 def cached_archive(requests: DataFrame, inventory: DataFrame) -> DataFrame:

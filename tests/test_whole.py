@@ -1,10 +1,16 @@
 """Queries that answer for all of their input, held against DuckDB or plain Python on the smallest tables."""
 
+import weakref
+
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 from nightsift.fixtures import TABLES, oracle
+from nightsift.operators import requests
 from nightsift.plans import registry
+from nightsift.streaming import jobs
 
 SF = "/root/testdata/sf0.001"
 
@@ -59,3 +65,54 @@ def test_k1_documents_are_bounded(spark, monkeypatch):
     got = registry.QUERIES["k1_document_counts"](spark, SF).collect()
     sizes = [len(r.candidates) for r in made[0].select("candidates").collect()]
     assert max(sizes) <= 100 and sum(sizes) == sum(r.n for r in got) == spark.read.parquet(f"{SF}/events.parquet").count()
+
+
+def test_admission_holds_no_stretch(spark):
+    """A key that is never idle is decided as its rows stream by, with no array of them in the plan."""
+    n = 30_000
+    df = spark.range(n).selectExpr("id AS event_id", "CASE WHEN id % 3 > 0 THEN id % 3 END AS k", "timestamp_seconds(1700000000 + id DIV 2) AS ts").repartition(5)
+    out = requests.admit(df, "k", "ts", "event_id", 2, 600)
+    plan = out._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "aggregate(" not in plan
+    got = {r.event_id: r.accepted for r in out.collect()}
+    held, want = {}, {}
+    for i in range(n):
+        k, t = (i % 3 or None), i // 2
+        held[k] = [x for x in held.get(k, []) if x > t - 600]
+        want[i] = len(held[k]) < 2
+        held[k] += [t] * want[i]
+    assert got == want
+
+
+def test_sorted_parts_spill():
+    rng = np.random.default_rng(1)
+    all_ = pd.DataFrame({"t": rng.integers(0, 500, 5000), "event_id": rng.permutation(5000)})
+    parts = list(jobs.sorted_parts((all_[i : i + 300] for i in range(0, 5000, 300)), ["t", "event_id"], most=1000, slice_rows=100))
+    assert max(map(len, parts)) <= 100
+    assert pd.concat(parts, ignore_index=True).equals(all_.sort_values(["t", "event_id"], ignore_index=True))
+
+
+def test_gate_reads_revisions_one_part_at_a_time():
+    live = []
+
+    def parts():
+        for i in range(20):
+            p = pd.DataFrame({"report_id": "a", "mtime": [pd.Timestamp(2026, 1, 1) + pd.Timedelta(minutes=30 - i)], "text": ["Processing complete!" if i in (3, 12) else "running"]})
+            live.append(weakref.ref(p))
+            assert sum(r() is not None for r in live) <= 3
+            yield p
+
+    class State:
+        def exists(self):
+            return False
+
+        def update(self, _):
+            pass
+
+        def registerTimer(self, _):
+            pass
+
+    gate = jobs._Gate(1000)
+    gate.done = gate.handle = State()
+    (out,) = gate.handleInputRows(("a",), parts(), None)
+    assert out["mtime"].tolist() == [pd.Timestamp(2026, 1, 1, 0, 18)]
