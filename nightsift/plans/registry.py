@@ -495,7 +495,7 @@ def _(df):
 
 @query("k8_skip_log", "fx_measurements", "SELECT event_id, 'timeout' AS reason, CAST(event_id % 4 AS INT) AS return_code, array_to_string(list_transform(range(greatest(0, event_id % 40 - 20), event_id % 40), lambda i: concat('line ', i)), chr(10)) AS stderr_tail FROM fx_measurements WHERE event_id % 6 = 0 AND event_id % 40 > 0")
 def _(df):
-    rows = df.where("event_id % 40 > 0").selectExpr("event_id", "CASE WHEN event_id % 6 = 0 THEN 'timeout' END AS reason", "CAST(event_id % 4 AS INT) AS return_code", "array_join(transform(sequence(0L, event_id % 40 - 1), i -> concat('line ', i)), '\n') AS stderr")
+    rows = df.selectExpr("event_id", "CASE WHEN event_id % 6 = 0 THEN 'timeout' END AS reason", "CAST(event_id % 4 AS INT) AS return_code", "CASE WHEN event_id % 40 > 0 THEN array_join(transform(sequence(0L, event_id % 40 - 1), i -> concat('line ', i)), '\n') ELSE '' END AS stderr")
     return lightcurve.skip_log(rows)
 
 

@@ -116,3 +116,11 @@ def test_gate_reads_revisions_one_part_at_a_time():
     gate.done = gate.handle = State()
     (out,) = gate.handleInputRows(("a",), parts(), None)
     assert out["mtime"].tolist() == [pd.Timestamp(2026, 1, 1, 0, 18)]
+
+
+def test_k8_empty_stderr(spark):
+    want = []
+    for (i,) in registry.load(spark, SF, "fx_measurements").where("event_id % 6 = 0").select("event_id").collect():
+        want.append((i, "timeout", i % 4, "\n".join(f"line {k}" for k in range(max(0, i % 40 - 20), i % 40))))
+    assert rows(spark, "k8_skip_log", ["event_id", "reason", "return_code", "stderr_tail"]) == sorted(want)
+    assert any(i % 40 == 0 for i, *_ in want)
