@@ -5,6 +5,9 @@ Records whose block is longer than `segment` bytes are cut into continuation rec
 by Content-Length (their size is bounded by records a file and bytes a segment); segments are grouped by the record they
 began with, ordered by number, checked against the total length, and their chunked framing is decoded. Revisits take
 length and digest from the response that they refer to.
+
+Which of equal payloads is the response is decided on digests and ids alone. Where the digests that occur more than once
+are few enough for a broadcast (Spark checks the size of their table), payloads are never shuffled; else they move once.
 """
 
 from __future__ import annotations
@@ -13,10 +16,12 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from .common import materialize, scratch, slices
 
@@ -67,29 +72,60 @@ def records(page_id: object, row: int, url: str | None, payload: bytes, digest:
 
 
 def record_id(page_id: object, row: int) -> str:
-    return f"urn:x-page:{'' if page_id is None else page_id}:{row}"
+    """The id percent-encoded (so it cannot break a header), with a letter that tells null from empty text."""
+    return f"urn:x-page:{'n' if page_id is None else 'v' + quote(str(page_id), safe='')}:{row}"
+
+
+def page_of(record: Column, kind: DataType) -> Column:
+    """The page id in a record id."""
+    return F.when(record.startswith("urn:x-page:v"), F.url_decode(F.regexp_extract(record, r"^urn:x-page:v(.*):\d+$", 1)).cast(kind))
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 1000, date: str = "2026-01-01T00:00:00Z", segment: int = 16384, records_per_file: int = 4000) -> None:
     """Writes a record per row of pages to gzipped WARC files under path.
 
     Of rows with equal payloads of at least `least` bytes that with the largest id (then the last row) is a response, the
-    others revisit it. The largest ids are pre-aggregated and joined back by digest, so no group of copies is gathered.
+    others revisit it. Null ids come before all others. pages is read twice and must give its rows in the same tasks both
+    times, as tables in files do; write any other to a table first.
     """
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload")).withColumn("row", F.monotonically_increasing_id())
-    rows = materialize(rows.withColumn("digest", F.sha1("payload")), "pages")  # fixes the row numbers
-    first = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max(F.struct("id", "row")).alias("first"))
-    joined = rows.join(first, "digest", "left").select("id", "row", "url", "payload", "digest", F.when(F.col("first.row") != F.col("row"), F.concat(F.lit("urn:x-page:"), F.coalesce(F.col("first.id").cast("string"), F.lit("")), F.lit(":"), F.col("first.row").cast("string"))).alias("refers"))
+    payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.monotonically_increasing_id().alias("row"))
+    large = F.octet_length("payload") >= least
+    digests = rows.where(large).groupBy(F.sha1("payload").alias("digest")).agg(F.max(F.struct("id", "row")).alias("first"), F.count("*").alias("n"))
+    first = materialize(digests.where("n > 1").select("digest", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row")), "copies")
+    joined = rows.withColumn("digest", F.sha1("payload")).join(first, "digest", "left")  # a broadcast if the table of copies is small
+    revisit = large & F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row"))
+    joined = joined.select("id", "row", "url", F.when(~revisit, F.col("payload")).alias("payload"), "digest", F.when(revisit, F.col("first_id")).alias("refers"), F.when(revisit, F.col("first_row")).alias("refers_row"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 128):
-            out = [r for x in zip(*(c.to_pylist() for c in b.columns), strict=True) for r in records(*x, date, segment)]
+            out = []
+            for page_id, row, url, payload, digest, refers, refers_row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                out += records(page_id, row, url, payload, digest, None if refers_row is None else record_id(refers, refers_row), date, segment)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
     out = joined.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
     out.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
+def unpacked(data: bytes) -> bytes:
+    """The content of a file: all members of a gzip file (most archives have one for each record), or the file itself."""
+    if data[:2] != b"\x1f\x8b":
+        return data
+    out, at = [], 0
+    while at < len(data):
+        member = zlib.decompressobj(31)
+        while not member.eof and at < len(data):
+            part = data[at : at + (1 << 16)]
+            out.append(member.decompress(part))
+            at += len(part) - len(member.unused_data)
+        if not member.eof:
+            raise ValueError("the archive ends within a gzip member")
+        while data[at : at + 1] == b"\0":  # padding between members
+            at += 1
+    return b"".join(out)
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """The records of an archive: header fields (names in lower case) and block."""
     at = 0
@@ -123,7 +159,7 @@ def parsed_records(spark: SparkSession, path: str) -> DataFrame:
         for b in slices(batches, 1):
             data = b.column(0)[0].as_py()
             rows, held = [], 0
-            for f, block in parse(zlib.decompress(data, 47) if data[:2] == b"\x1f\x8b" else data):
+            for f, block in parse(unpacked(data)):
                 bare = lambda k: f[k].strip("<>") if k in f else None  # noqa: B023, E731
                 kind, segment = f["warc-type"], f.get("warc-segment-number")
                 name = bare("warc-segment-origin-id") if kind == "continuation" else bare("warc-record-id")
@@ -180,11 +216,11 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """Writes pages to archives in the shared folder and reads them back: the id, payload_bytes, payload_digest, record_type, refers_to, intact.
 
     Null payloads are empty, null urls about:blank, null ids come before all others. Rows that repeat an id get a record
-    each. An empty table gives an empty one. Other columns of pages are not used.
+    each, whose WARC ids also hold the row's number. An empty table gives an empty one. Other columns of pages, whatever
+    their names, are not used. pages is a table in files (write_archives).
     """
     path = scratch(pages.sparkSession, "warc")
     write_archives(pages, path, id_col, url_col, payload_col, least, segment=segment)
     kind = pages.schema[id_col].dataType
-    page = lambda c: F.nullif(F.regexp_extract(c, r"^urn:x-page:(.*):\d+$", 1), F.lit("")).cast(kind)
     got = read_archives(pages.sparkSession, path)
-    return got.select(page("record").alias(id_col), F.col("bytes").alias("payload_bytes"), F.col("sha1").alias("payload_digest"), "record_type", page("refers").alias("refers_to"), "intact")
+    return got.select(page_of(F.col("record"), kind).alias(id_col), F.col("bytes").alias("payload_bytes"), F.col("sha1").alias("payload_digest"), "record_type", page_of(F.col("refers"), kind).alias("refers_to"), "intact")
