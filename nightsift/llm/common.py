@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir.
 
-    Only where the session names none (local mode, tests) a temporary folder of this machine is set for it.
+    Only where the session names none and Spark is local (tests) a temporary folder of this machine is set for it; on a
+    cluster, whose executors would not see such a folder, that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -63,8 +68,18 @@ def whole_row(docs: DataFrame, keep: bool) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if keep else F.struct(F.lit(0).alias("_"))
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of at most so many rows, so that Python objects are made for few texts at a time."""
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to at most so many rows and bytes of text (a longer text alone), so that Python objects and
+    features are made for few texts at a time. Only string and binary columns of their own count, not those in structs."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        size = np.zeros(batch.num_rows, np.int64)
+        for c in batch.columns:
+            if pa.types.is_string(c.type) or pa.types.is_binary(c.type) or pa.types.is_large_string(c.type) or pa.types.is_large_binary(c.type):
+                size += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(size)
+        at = 0
+        while at < batch.num_rows:
+            fit = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most_bytes, "right"))
+            end = min(max(fit, at + 1), at + rows, batch.num_rows)
+            yield batch.slice(at, end - at)
+            at = end

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices
-from .linear import BITS, byte_ngrams, hashed, logistic, sparse_sample, unit
+from .linear import BITS, byte_ngrams, hashed, logistics, sparse_sample, unit
 
 UNKNOWN = "und"
 
@@ -55,13 +55,12 @@ def train(docs: DataFrame, trainable: Column, id_col: str, text_col: str, lang_c
     code = codewords(len(langs))
     share_of = 1 / np.maximum(np.bincount(of, minlength=len(langs)), 1)
     test = np.arange(len(of)) % 5 == 0
-    w, b, trust = np.zeros((1 << BITS, code.shape[1])), np.zeros(code.shape[1]), np.ones(code.shape[1])
-    for k in range(code.shape[1] if len(of) else 0):
-        y = (code[of, k] > 0).astype(float)
-        w[:, k], b[k] = logistic(row, col, x, y, np.where(test, 0, share_of[of]), 1 << BITS, steps=80, rate=8)
-        right = ((np.bincount(row, x * w[col, k], minlength=len(of)) + b[k] > 0) == (y > 0))[test]
-        rate = (right.sum() + 1) / (len(right) + 2)
-        trust[k] = max(0.0, np.log(rate / (1 - rate)))
+    y = (code[of] > 0).astype(np.float32)
+    w, b = logistics(row, col, x, y, np.where(test, 0, share_of[of]), 1 << BITS, steps=80, rate=8)
+    z = np.stack([np.bincount(row, x * w[col, k], minlength=len(of)) for k in range(code.shape[1])], 1) + b
+    right = ((z > 0) == (y > 0))[test]
+    held = (right.sum(0) + 1) / (len(right) + 2)  # held-out accuracy of each bit
+    trust = np.maximum(0.0, np.log(held / (1 - held)))
     return langs, code, w, b, trust / max(trust.sum(), 1e-9)
 
 

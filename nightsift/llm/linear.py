@@ -18,30 +18,44 @@ from .common import slices
 BITS = 14
 
 
-def byte_ngrams(texts: list[bytes], sizes: tuple[int, ...], bits: int = BITS) -> np.ndarray:
-    """(texts, 2**bits) counts of hashed byte n-grams; none reaches over the end of a text."""
+def codes_ngrams(texts: list[np.ndarray], sizes: tuple[int, ...], bits: int = BITS, block: int = 1 << 19) -> np.ndarray:
+    """(texts, 2**bits) counts of hashed n-grams of numbers (bytes, or code points); none reaches over the end of a text.
+
+    `block` numbers are hashed at a time, so memory does not grow with the texts' length.
+    """
     out = np.zeros(len(texts) << bits, np.float32)
-    ends = np.cumsum([len(x) + 1 for x in texts])
-    data = np.frombuffer(b"\0".join([*texts, b""]), np.uint8).astype(np.uint32)
-    row = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
-    for n in sizes:
-        if len(data) < n:
-            continue
-        h = np.full(len(data) - n + 1, n, np.uint32)
-        for i in range(n):
-            h = (h ^ data[i : len(data) - n + 1 + i]) * np.uint32(0x01000193)
-            h ^= h >> np.uint32(15)
-        at = row[: len(h)]
-        inside = np.arange(len(h)) + n < ends[at]
-        cell = (at[inside] << bits) + (h[inside] >> np.uint32(32 - bits)).astype(np.int64)
-        out += np.bincount(cell, minlength=len(out)).astype(np.float32)
+    ends = np.cumsum([len(x) for x in texts])
+    data = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
+    for at in range(0, len(data), block):
+        for n in sizes:
+            part = data[at : at + block + n - 1].astype(np.uint32)
+            if len(part) < n:
+                continue
+            h = np.full(len(part) - n + 1, n, np.uint32)
+            for i in range(n):
+                h = (h ^ part[i : len(h) + i]) * np.uint32(0x01000193)
+                h ^= h >> np.uint32(15)
+            first = at + np.arange(len(h))
+            row = np.searchsorted(ends, first, "right")
+            inside = first + n <= ends[row]
+            cell = (row[inside] << bits) + (h[inside] >> np.uint32(32 - bits)).astype(np.int64)
+            out += np.bincount(cell, minlength=len(out)).astype(np.float32)
     return out.reshape(len(texts), -1)
 
 
-def word_ngrams(words: list[bytes], bits: int = BITS) -> np.ndarray:
-    """2**bits counts of hashed words of a text."""
-    h = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
-    return np.bincount(h >> np.uint32(32 - bits), minlength=1 << bits).astype(np.float32)
+def byte_ngrams(texts: list[bytes], sizes: tuple[int, ...], bits: int = BITS) -> np.ndarray:
+    """Counts of hashed byte n-grams."""
+    return codes_ngrams([np.frombuffer(x, np.uint8) for x in texts], sizes, bits)
+
+
+def character_ngrams(texts: list[bytes], sizes: tuple[int, ...], bits: int = BITS) -> np.ndarray:
+    """Counts of hashed n-grams of the code points of UTF-8 texts."""
+    return codes_ngrams([np.frombuffer(x.decode("utf-8", "replace").encode("utf-32-le"), "<u4") for x in texts], sizes, bits)
+
+
+def word_ngrams(words: list[list[bytes]], sizes: tuple[int, ...] = (1, 2), bits: int = BITS) -> np.ndarray:
+    """Counts of hashed n-grams of the words of texts."""
+    return codes_ngrams([np.fromiter(map(zlib.crc32, x), np.uint32, len(x)) for x in words], sizes, bits)
 
 
 def unit(counts: np.ndarray) -> np.ndarray:
@@ -84,10 +98,12 @@ def logistic(row: np.ndarray, col: np.ndarray, x: np.ndarray, y: np.ndarray, wei
     w, b = np.zeros(width), 0.0
     vw, vb, t = w.copy(), b, 1.0
     share = weight / max(weight.sum(), 1e-12)
+    col, x = col.astype(np.int64), x.astype(float)
+    ends = np.searchsorted(row, np.arange(len(y) + 1))  # rows are in order
     for _ in range(steps):
-        z = np.bincount(row, x * vw[col], minlength=len(y)) + vb
+        z = np.diff(np.r_[0.0, np.cumsum(x * vw[col])][ends]) + vb
         g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
-        new = vw - rate * (np.bincount(col, x * g[row], minlength=width) + decay * vw)
+        new = vw - rate * (np.bincount(col, x * np.repeat(g, np.diff(ends)), minlength=width) + decay * vw)
         newb = vb - rate * g.sum()
         t, last = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
         vw, vb = new + (last - 1) / t * (new - w), newb + (last - 1) / t * (newb - b)
@@ -95,6 +111,30 @@ def logistic(row: np.ndarray, col: np.ndarray, x: np.ndarray, y: np.ndarray, wei
     return w, float(b)
 
 
+def logistics(row: np.ndarray, col: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray, width: int, steps: int = 150, rate: float = 4.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+    """The same for several outputs at once, y (rows, outputs): weights (width, outputs) and intercepts.
+
+    Rows become one dense matrix over the columns that occur (rows times columns numbers of 4 bytes), so that a step is two
+    matrix products for all outputs.
+    """
+    used, at = np.unique(col, return_inverse=True)
+    dense = np.zeros((len(y), len(used)), np.float32)
+    dense[row, at] = x
+    share = (weight / max(weight.sum(), 1e-12)).astype(np.float32)[:, None]
+    w, b = np.zeros((len(used), y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
+    vw, vb, t = w, b, 1.0
+    for _ in range(steps):
+        g = (1 / (1 + np.exp(-np.clip(dense @ vw + vb, -30, 30))) - y).astype(np.float32) * share
+        new, newb = vw - np.float32(rate) * (dense.T @ g + np.float32(decay) * vw), vb - np.float32(rate) * g.sum(0)
+        t, last = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
+        more = np.float32((last - 1) / t)
+        vw, vb = new + more * (new - w), newb + more * (newb - b)
+        w, b = new, newb
+    out = np.zeros((width, y.shape[1]))
+    out[used] = w
+    return out, b.astype(float)
+
+
 def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and intercept that make sigmoid(slope * z + intercept) a probability of y (with Platt's soft targets)."""
     if not len(z):

@@ -277,6 +277,35 @@ def test_warc(spark, empty):
     assert warc.round_trip(df.where("false")).count() == 0
 
 
+def test_warc_copies_ids_and_columns(spark):
+    """10,000 copies of a page; ids that are text, with line breaks, empty or null; extra columns with clashing names."""
+    big = "x" * 3000
+    df = spark.range(10_000).selectExpr("CAST(id AS STRING) AS page_id", f"'{big}' AS html", "'u' AS url")
+    odd = spark.createDataFrame([("a\r\nWARC-Type: x: y", "odd" * 900, "u"), ("", "e", None), (None, "f", ""), ("ü:1", "odd" * 900, "v\n")], "page_id string, html string, url string")
+    df = df.union(odd).selectExpr("*", "'c' AS row", "1 AS digest", "2 AS first", "3 AS payload", "4 AS id", "5 AS n", "6 AS refers")
+    path = warc.scratch(spark, "odd")
+    df.write.parquet(path)
+    got = {r.page_id: r for r in warc.round_trip(spark.read.parquet(path)).collect()}
+    assert len(got) == 10_004 and all(r.intact for r in got.values())
+    assert sum(r.refers_to == "9999" for r in got.values()) == 9999 and got["9999"].record_type == "response"
+    assert got["a\r\nWARC-Type: x: y"].refers_to == "ü:1" and got["ü:1"].refers_to is None
+    assert got[""].payload_bytes == got[None].payload_bytes == 1
+
+
+def test_multi_member_archives(spark, tmp_path):
+    """The usual form of .warc.gz: a gzip member for each record."""
+    import gzip
+
+    blocks = [list(warc.records(i, 0, "u", p, hashlib.sha1(p).hexdigest(), None, "d", 1000)) for i, p in enumerate((b"a" * 10, b"b" * 5000, b"", b"c" * 200_000))]
+    members = [gzip.compress(r + warc.END) for rs in blocks for r in rs]
+    (tmp_path / "m.warc.gz").write_bytes(b"".join(members) + b"\0\0")
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted(r.bytes for r in got) == [0, 10, 5000, 200_000] and all(r.intact for r in got)
+    with pytest.raises(ValueError):
+        warc.unpacked(members[0][:-4])
+    assert warc.unpacked(b"plain") == b"plain"
+
+
 def test_broken_segments(spark, tmp_path):
     """A missing segment, or a wrong total length, is seen."""
     whole = list(warc.records(1, 0, "u", b"p" * 3000, hashlib.sha1(b"p" * 3000).hexdigest(), None, "d", 1000))
@@ -401,6 +430,34 @@ def test_learning_pieces():
     assert linear.byte_ngrams([b"", b"ab", b"abc"], (3,)).sum(1).tolist() == [0, 0, 1]
     x = linear.byte_ngrams([b"hello", b"hello world"], (2,))
     assert x[0].sum() == 4 and (x[1] >= x[0]).all()
+    long = [b"abcdefg" * 50, b"", b"xy", b"hello world" * 9]
+    for f in (linear.byte_ngrams, linear.character_ngrams):
+        assert (f(long, (1, 2, 3)) == np.concatenate([f([t], (1, 2, 3)) for t in long])).all()
+    codes = [np.frombuffer(t, np.uint8) for t in long]
+    assert (linear.codes_ngrams(codes, (1, 2, 3), block=16) == linear.codes_ngrams(codes, (1, 2, 3))).all()
+    assert linear.character_ngrams(["日本語".encode()], (3,)).sum() == 1
+    assert linear.word_ngrams([b"a b c".split()]).sum() == 5
+    r = np.random.default_rng(0)
+    dense = (r.random((60, 40)) < 0.2).astype(np.float32)
+    at = np.nonzero(dense)
+    labels = (r.random((60, 3)) < 0.5).astype(np.float32)
+    w, b = linear.logistics(*at, dense[at], labels, np.ones(60), 40, steps=60)
+    for k in range(3):
+        one, add = linear.logistic(*at, dense[at], labels[:, k].astype(float), np.ones(60), 40, steps=60)
+        assert np.allclose(w[:, k], one, atol=1e-3) and abs(b[k] - add) < 1e-3
     z = np.linspace(-3, 3, 400)
     slope, add = linear.platt(z, (np.random.default_rng(0).random(400) < 1 / (1 + np.exp(-2 * z))).astype(float))
     assert 1 < slope < 4 and abs(add) < 1
+
+
+@pytest.mark.parametrize("rows", [64])
+def test_slices_by_bytes(rows):
+    import pyarrow as pa
+
+    from nightsift.llm.common import slices
+
+    texts = ["x" * n for n in (10, 0, 5000, 3, 900, 900, 900, 2)] + [None] * 3 + ["y"] * 200
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["i", "t"])
+    parts = list(slices([batch], rows, 1000))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(len(texts)))
+    assert all(p.num_rows <= rows and (p.num_rows == 1 or sum(len(t or "") for t in p.column(1).to_pylist()) <= 1000) for p in parts)
