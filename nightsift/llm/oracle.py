@@ -40,4 +40,23 @@ m AS (SELECT digest, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY digest)
 SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest, CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN top <> page_id THEN top END AS refers_to, true AS intact
 FROM p LEFT JOIN m USING (digest)"""
 
-ORACLE_SQL: dict[str, str] = {"op2_source_mixing": MIXING, "op5_warc": WARC, "op8_fingerprints": FINGERPRINTS}
+#: Kinds in order, with their patterns and the group of the value; runs of access, hex and bare keys are long enough by their pattern.
+ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+SECRET_KINDS = (("assign", ASSIGN, 2), ("access", "AKIA[A-Z0-9]{12,}", 0), ("hex", "[0-9a-f]{32,}", 0), ("bare", "[A-Za-z0-9+/_.=-]{8,}", 0))
+MATCHES = " UNION ALL ".join(f"SELECT k, {n} AS kind, '{name}' AS name, unnest(regexp_extract_all(t, '{p}', 0)) AS m, unnest(regexp_extract_all(t, '{p}', {g})) AS v, unnest(string_split_regex(t, '{p}')) AS g, unnest(range(len(string_split_regex(t, '{p}')))) AS i FROM u" for n, (name, p, g) in enumerate(SECRET_KINDS))
+
+SECRETS = f"""
+WITH d AS (SELECT doc_id, source, lang, coalesce(text,'') AS t, md5(coalesce(text,'')) AS k FROM documents),
+u AS (SELECT DISTINCT k, t FROM d),
+placed AS (SELECT k, kind, name, length(m) AS n, rtrim(v, '.=-') AS v, length(v) AS long, sum(length(g) + coalesce(length(m), 0)) OVER (PARTITION BY k, kind ORDER BY i) AS e FROM ({MATCHES})),
+found AS (SELECT k, kind, name, (e - n)::BIGINT AS s, e::BIGINT AS e, v FROM placed WHERE n > 0 AND long >= 8),
+held AS (SELECT v, count(DISTINCT coalesce('x' || source, '')) AS owners, count(DISTINCT (coalesce('x' || source, ''), coalesce('x' || lang, ''))) AS repos FROM found JOIN d USING (k) WHERE kind < 3 GROUP BY v),
+judged AS (SELECT f.*, owners, repos, owners <= 2 AND repos <= 4 AS live FROM found f JOIN held USING (v)),
+kept AS (SELECT * FROM judged j WHERE kind < 3 OR (live AND NOT EXISTS (SELECT 1 FROM found b WHERE b.k = j.k AND b.kind < 3 AND b.s < j.e AND b.e > j.s))),
+spans AS (SELECT k, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+ coalesce(string_agg(concat(name,':',s,':',e), ',' ORDER BY s, kind) FILTER (kind < 3), '') AS base, string_agg(concat(name,':',s,':',e), ',' ORDER BY s, kind) AS spans,
+ count(*) FILTER (live AND kind < 3) AS n_live, count(*) FILTER (NOT live) AS n_example, max(owners) FILTER (kind < 3) AS owners, max(repos) FILTER (kind < 3) AS repos FROM kept GROUP BY k)
+SELECT doc_id, coalesce(n_assign,0) AS n_assign, coalesce(n_access,0) AS n_access, coalesce(n_hex,0) AS n_hex, sha256(coalesce(base,'')) AS base_sha256, coalesce(spans,'') AS spans,
+ coalesce(n_live,0) AS n_live, coalesce(n_example,0) AS n_example, coalesce(owners,0) AS owners, coalesce(repos,0) AS repos FROM d LEFT JOIN spans USING (k)"""
+
+ORACLE_SQL: dict[str, str] = {"op2_source_mixing": MIXING, "op3_secret_scans": SECRETS, "op5_warc": WARC, "op8_fingerprints": FINGERPRINTS}

@@ -29,7 +29,8 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"))
+    """A source is an owner, its documents in one language a repository."""
+    return scan(table(spark, sf_dir, "documents"), repo_col="lang").drop("live")
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

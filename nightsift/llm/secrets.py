@@ -1,46 +1,86 @@
 """Secret scans with corpus-wide ownership frequency (operator 3, native).
 
 Base spans come from fixed patterns; places are counted in code points from the matches and the gaps between them. Each
-candidate is then judged by how many documents and how many owners in the whole corpus hold its value (kept as a hash):
-values of many owners are widely copied examples, values of few look live. Bare runs elsewhere that repeat a value which
-looks live are added to the spans. Frequencies are pre-aggregated by (value, owner) and joined back; candidates of a
-document, never those of a value, meet in a group.
+candidate is then judged by how many repositories and how many owners in the whole corpus hold its value (kept as a hash):
+values of many are widely copied examples, values of few look live. Runs elsewhere that repeat a value which looks live
+are added to the spans.
+
+Spans depend on the text alone, so they are found once for each distinct text and joined to the rows by the text's MD5:
+copies never meet in a group. Frequencies are pre-aggregated by (value, owner, repository). All work in a text is linear in
+its length.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, whole_row
 
-#: The kinds in their order, their patterns, the group that holds the value, and the least length of it.
+#: The kinds in their order, the words of assignments, the patterns, and the least length of a value.
 KINDS = ("assign", "access", "hex", "bare")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-PATTERNS = ((ASSIGN, 2, 8), (r"AKIA[A-Z0-9]{12,}", 0, 16), (r"[0-9a-f]{32,}", 0, 32), (r"[A-Za-z0-9+/_.=-]{16,}", 0, 16))
+WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
+PATTERNS = (ASSIGN, r"AKIA[A-Z0-9]{12,}", r"[0-9a-f]{32,}", r"[A-Za-z0-9+/_.=-]{8,}")
+LEAST = 8
+BARE = len(KINDS) - 1
+
+
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is evaluated once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def before(numbers: Column, op: Callable[[Column, Column], Column], block: int = 64) -> Column:
+    """For each of an array of non-negative integers: op over all that come before it (0 for the first).
+
+    Appending to an array copies it, so the running result is built in blocks: copies stay short in texts with very many.
+    """
+
+    def running(start: Column, part: Column) -> Column:
+        first = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(part, first, lambda acc, x: F.struct(op(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    def whole(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: op(a, x)))
+        return F.flatten(F.zip_with(running(F.lit(0), totals), blocks, running))
+
+    def cut(x: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(x) / block).cast("int") - 1, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(x, b * block + 1, F.lit(block)))
+
+    return once(once(numbers, cut), whole)
 
 
 def found(text: Column, kind: int) -> Column:
-    """array<struct<start, end, kind, value>>: the kind's matches, leftmost and not overlapping, whose value is long enough.
+    """array<struct<start, kind, end, value>>: the kind's matches, leftmost and not overlapping, whose value is long enough.
 
-    For access and hex keys the least length is part of the pattern: their runs are maximal, so the matches are the same.
+    For all but assignments the least length is part of the pattern: their runs are maximal, so the matches are the same.
     """
-    pattern, group, least = PATTERNS[kind]
-    matches, values, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.split(text, pattern, -1)
-    parts = F.arrays_zip(matches.alias("m"), values.alias("v"), F.slice(gaps, 1, F.size(matches)).alias("g"))
-    none = F.array().cast("array<struct<start:int,end:int,kind:int,value:bigint>>")
+    pattern = PATTERNS[kind]
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:bigint>>")
+    matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+
+    def place(p: Column) -> Column:
+        lengths = F.transform(p, lambda x: F.length(x["g"]) + F.length(x["m"]))
+        return F.zip_with(p, before(lengths, lambda a, b: a + b), one)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["g"])
-        end = start + F.length(x["m"])
-        span = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), hashed(x["v"]).alias("value"))
-        fits = F.length(x["v"]) >= least
-        if kind == 3:
-            fits = x["v"].rlike("[0-9]")
-        return F.struct(end.alias("at"), F.when(fits, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+    def one(x: Column, at: Column) -> Column:
+        start = at + F.length(x["g"])
+        value = F.regexp_extract(x["m"], pattern, 2) if kind == 0 else x["m"]
+        span = lambda v: F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + F.length(x["m"])).alias("end"), hashed(v).alias("value"))
+        return once(value, lambda v: F.when(F.length(v) >= LEAST, span(v)))
 
-    spans = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    parts = once(matches, lambda m: F.arrays_zip(m.alias("m"), F.slice(gaps, F.lit(1), F.size(m)).alias("g")))
+    holds = text.rlike(pattern)
+    if kind == 0:  # a plain search is many times faster than a pattern without regard to case
+        lower = F.lower(text)
+        holds = reduce(or_, (F.contains(lower, F.lit(w)) for w in WORDS)) & holds
+    return F.when(holds, F.filter(once(parts, place), lambda x: x.isNotNull())).otherwise(none)
 
 
 def hashed(value: Column) -> Column:
@@ -54,45 +94,90 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", live_owners: int = 2, keep: bool = False) -> DataFrame:
-    """Per row: the id, n_assign, n_access, n_hex, base_sha256, spans, live (places), n_live, n_example; with keep also row, a struct of all columns.
+def ownership(held: DataFrame, live_owners: int, live_repos: int) -> DataFrame:
+    """held (value, owner, repo; a row for each document that holds the value) -> value, owners, repos, docs, live.
 
-    A base candidate counts as live if at most `live_owners` distinct owners hold its value, else as an example. Added
-    spans (kind bare) repeat a live value outside of base spans. Null texts are empty (no spans; the hash of the empty
-    string); a null owner is one owner. Repeated rows stay and count as documents each. An empty table gives an empty one.
+    A repository is one of its owner's, so its name counts with the owner's. Null owners and repositories are ones of their
+    own. Each step is combined before its shuffle.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), whole_row(docs, keep).alias("row"), F.coalesce(F.col(owner_col), F.lit("")).alias("owner"), text.alias("t"))
-    rows = rows.select("id", "row", "owner", *(found(F.col("t"), k).alias(name) for k, name in enumerate(KINDS)))
-    base = F.array_sort(F.concat("assign", "access", "hex"))
-    rows = rows.select("id", "row", "owner", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]), base.alias("base"), F.expr("filter(bare, x -> not exists(concat(assign, access, hex), y -> x.start < y.end and y.start < x.end))").alias("bare"))
-    rows = materialize(rows.withColumn("n", F.monotonically_increasing_id()), "secrets")
-
-    held = rows.where("size(base) > 0").select("owner", F.explode(F.array_distinct(F.transform("base", lambda x: x["value"]))).alias("value"))
-    by_owner = held.groupBy("value", "owner").agg(F.count("*").alias("docs"))
-    spread = by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("docs").alias("docs"))
-
-    each = rows.where("size(base) + size(bare) > 0").select("n", F.explode(F.concat("base", "bare")).alias("s")).select("n", "s", F.col("s.value").alias("value"))
-    judged = each.join(spread, "value", "left").where(f"s.kind < 3 or owners <= {live_owners}")
-    live = F.col("owners") <= live_owners
-    place = F.struct(F.col("s.start"), F.col("s.end"), F.col("s.kind"))
-    of_row = judged.groupBy("n").agg(F.array_sort(F.collect_list("s")).alias("spans"), F.array_sort(F.collect_list(F.when(live, place))).alias("live"), F.count(F.when(live & (F.col("s.kind") < 3), 1)).alias("n_live"), F.count(F.when(~live, 1)).alias("n_example"))
-    some = F.size("base") + F.size("bare") > 0  # the others need no join
-    zero = F.lit(0).cast("long")
-    columns = lambda spans, places, n_live, n_example: [F.col("id").alias(id_col), *(f"n_{k}" for k in KINDS[:3]), F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), spans.alias("spans"), places.alias("live"), n_live.alias("n_live"), n_example.alias("n_example"), *["row"] * keep]
+    by_repo = held.groupBy("value", "owner", "repo").agg(F.count("*").alias("docs"))
+    by_owner = by_repo.groupBy("value", "owner").agg(F.count("*").alias("repos"), F.sum("docs").alias("docs"))
+    spread = by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"), F.sum("docs").alias("docs"))
+    return spread.withColumn("live", (F.col("owners") <= live_owners) & (F.col("repos") <= live_repos))
+
+
+def outside(spans: DataFrame) -> DataFrame:
+    """spans (key, start, kind, end, ...) without bare ones that overlap a base span of their text; base spans of a kind do not overlap."""
+    base = F.col("kind") < BARE
+    up = Window.partitionBy("key").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy("key").orderBy(F.col("start").desc(), F.col("kind").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    out = spans.withColumn("ended", F.max(F.when(base, F.col("end"))).over(up)).withColumn("begins", F.min(F.when(base, F.col("start"))).over(down))
+    free = (F.coalesce("ended", F.lit(0)) <= F.col("start")) & (F.coalesce("begins", F.col("end")) >= F.col("end"))
+    return out.where(base | free).drop("ended", "begins")
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str | None = None, live_owners: int = 2, live_repos: int = 4, keep: bool = False) -> DataFrame:
+    """Per row: the id, n_assign, n_access, n_hex, base_sha256, spans, live (places), n_live, n_example, owners, repos; with keep also row, a struct of all columns.
+
+    A base candidate counts as live if at most `live_owners` distinct owners and `live_repos` distinct repositories hold its
+    value, else as an example. Without repo_col an owner has one repository. Added spans (kind bare) are runs of 8 or more
+    characters outside of base spans that repeat a live value. owners, repos: the most that hold one of the row's base
+    candidates, 0 without any. Null texts are empty (no spans; the hash of the empty string); a null owner is one owner,
+    other than the empty name. Repeated rows stay and count as documents each. An empty table gives an empty one.
+    """
+    repo = F.col(repo_col) if repo_col else F.lit(None).cast("string")
+    rows = docs.select(F.col(id_col).alias("id"), whole_row(docs, keep).alias("row"), F.col(owner_col).alias("owner"), repo.alias("repo"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    rows = rows.withColumn("key", F.unhex(F.md5(F.col("t").cast("binary"))))
+
+    base = rows.select("owner", "repo", "key", F.concat(*(found(F.col("t"), k) for k in range(BARE))).alias("base"))
+    base = materialize(base.where(F.size("base") > 0), "secrets")
+    held = base.select("owner", "repo", F.explode(F.array_distinct(F.transform("base", lambda x: x["value"]))).alias("value"))
+    spread = materialize(ownership(held, live_owners, live_repos), "ownership")
+
+    runs = rows.select("key", F.explode(found(F.col("t"), BARE)).alias("s")).select("key", "s.*")
+    again = runs.join(spread.where("live").select("value"), "value", "left_semi")  # a broadcast if the table is small
+    again = again.select("key", "start", "kind", "end", "value").distinct()
+    each = base.groupBy("key").agg(F.first("base").alias("base")).select("key", F.explode("base").alias("s")).select("key", "s.*")
+    judged = outside(each.union(again).join(spread, "value"))
+
+    place, is_base = F.struct("start", "kind", "end"), F.col("kind") < BARE
+    all_ = F.array_sort(F.collect_list(place))
+    spans = judged.groupBy("key").agg(
+        *(F.count_if(F.col("kind") == k).alias(f"n_{name}") for k, name in enumerate(KINDS[:BARE])),
+        F.array_sort(F.collect_list(F.when(is_base, place))).alias("base"),
+        all_.alias("all"),
+        F.array_sort(F.collect_list(F.when(F.col("live"), F.struct("start", "end", "kind")))).alias("live"),
+        F.count_if(F.col("live") & is_base).alias("n_live"),
+        F.count_if(~F.col("live")).alias("n_example"),
+        F.max(F.when(is_base, F.col("owners"))).alias("owners"),
+        F.max(F.when(is_base, F.col("repos"))).alias("repos"),
+    )
+    counts = [*(f"n_{k}" for k in KINDS[:BARE]), "n_live", "n_example", "owners", "repos"]
+    spans = materialize(spans.select("key", *counts, F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("all")).alias("spans"), "live"), "spans")
+
+    out = rows.select("id", "row", "key").join(spans, "key", "left")  # a broadcast if few texts hold spans
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     empty = F.array().cast("array<struct<start:int,end:int,kind:int>>")
-    quiet = rows.where(~some).select(*columns(F.lit(""), empty, zero, zero))
-    noisy = rows.where(some).join(of_row, "n", "left")
-    return quiet.union(noisy.select(*columns(F.coalesce(joined(F.col("spans")), F.lit("")), F.coalesce("live", empty), F.coalesce("n_live", zero), F.coalesce("n_example", zero))))
+    return out.select(F.col("id").alias(id_col), *map(zero, counts[:BARE]), F.coalesce("base_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"), F.coalesce("live", empty).alias("live"), *map(zero, counts[BARE:]), *["row"] * keep)
+
 
+def masked(text: Column, live: Column, mask: str = "[secret]", chunk: int = 4096) -> Column:
+    """The text with each of the live places (start, end; sorted by start) replaced by the mask; overlapping ones merge.
+
+    A null text is null; without places the text is as it was. The text is cut into chunks first, since a place in a long
+    text is found only by counting from its beginning.
+    """
 
-def masked(text: Column, live: Column, mask: str = "[secret]") -> Column:
-    """The text with each of the live places (start, end; sorted by start) replaced by the mask; overlapping ones merge."""
+    def piece(chunks: Column, a: Column, b: Column) -> Column:
+        first, last = F.floor(a / chunk).cast("int"), F.floor(b / chunk).cast("int")
+        inside = F.substring(F.get(chunks, first), a % chunk + 1, b - a)
+        across = F.concat(F.substring(F.get(chunks, first), a % chunk + 1, F.lit(chunk)), F.array_join(F.slice(chunks, first + 2, last - first - 1), ""), F.coalesce(F.substring(F.get(chunks, last), F.lit(1), b % chunk), F.lit("")))
+        return F.coalesce(F.when(first == last, inside).otherwise(across), F.lit(""))
 
-    def step(acc: Column, x: Column) -> Column:
-        more = F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), more.alias("out"))
+    def whole(chunks: Column) -> Column:
+        ends = F.transform(live, lambda x: x["end"])
+        parts = F.zip_with(live, before(ends, F.greatest), lambda x, at: F.when(x["start"] >= at, F.concat(piece(chunks, at, x["start"]), F.lit(mask))).otherwise(""))
+        return F.concat(F.array_join(parts, ""), piece(chunks, F.array_max(ends), F.length(text)))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    whole = F.aggregate(live, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(live) > 0, whole).otherwise(text)
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
+    return F.when(F.size(live) > 0, once(cut, whole)).otherwise(text)

@@ -263,6 +263,51 @@ def test_secrets(docs, empty, spark):
         assert (r.text is None and r.m is None) or not (base_spans(r.m))
 
 
+def test_running_results(spark):
+    r = random.Random(2)
+    lists = [[], [0], [5], *([r.randint(0, 99) for _ in range(n)] for n in (63, 64, 65, 1000))]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, x array<int>")
+    got = df.select("i", secrets.before(F.col("x"), lambda a, b: a + b).alias("s"), secrets.before(F.col("x"), F.greatest).alias("m")).collect()
+    for g in got:
+        x = lists[g.i]
+        assert g.s == [sum(x[:k]) for k in range(len(x))] and g.m == [max(x[:k], default=0) for k in range(len(x))]
+
+
+def test_ownership(spark):
+    """Owners and repositories of each value, counted by hand."""
+    r = random.Random(6)
+    rows_ = [(i, f"token = value{r.randint(0, 12):08d} {SECRET if i % 9 == 0 else ''}", r.choice(["a", "b", "c", "", None]), r.choice(["x", "y", None])) for i in range(120)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, source string, repo string").repartition(4)
+    owners, repos = defaultdict(set), defaultdict(set)
+    for _, t, o, p in rows_:
+        for v in re.findall("value[0-9]+|AKIA[A-Z0-9]+", t):
+            owners[v].add(o)
+            repos[v].add((o, p))
+    for most_owners, most_repos in ((2, 4), (3, 100), (100, 5), (5, 15)):
+        got = {g.doc_id: g for g in secrets.scan(df, repo_col="repo", live_owners=most_owners, live_repos=most_repos).collect()}
+        for i, t, _, _ in rows_:
+            held = re.findall("value[0-9]+|AKIA[A-Z0-9]+", t)
+            live = sum(len(owners[v]) <= most_owners and len(repos[v]) <= most_repos for v in held)
+            assert (got[i].n_live, got[i].n_example) == (live, len(held) - live)
+            assert (got[i].owners, got[i].repos) == (max(len(owners[v]) for v in held), max(len(repos[v]) for v in held))
+
+
+def test_secrets_recur(spark):
+    """Short values and such without digits recur; runs that overlap base spans, or only hold the value, do not count."""
+    made = [(0, "password: swordfish", "a"), (1, "a swordfish. swordfishes x/swordfish token=swordfish", "b"), (2, "é" * 5000 + " swordfish " + "é" * 9000 + " swordfish", "b")]
+    out = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(made, "doc_id long, text string, source string"), keep=True).withColumn("m", secrets.masked(F.col("row.text"), F.col("live"))).collect()}
+    assert out[1].spans == "bare:2:12,assign:37:52" and out[2].spans == "bare:5001:5010,bare:14012:14021"
+    assert out[1].m == "a [secret] swordfishes x/swordfish [secret]" and out[2].m == "é" * 5000 + " [secret] " + "é" * 9000 + " [secret]"
+    text = prose(3000, 7)
+    places = sorted((a, a + random.Random(a).randint(1, 9000)) for a in random.Random(1).sample(range(9000), 40))
+    want, at = "", 0
+    for a, b in places:
+        want += text[at:a] + "[secret]" if a >= at else ""
+        at = max(at, b)
+    df = spark.createDataFrame([(text, [(a, min(b, len(text))) for a, b in places]), (None, []), ("", [])], "t string, live array<struct<start:int,end:int>>")
+    assert [r[0] for r in df.select(secrets.masked(F.col("t"), F.col("live"), chunk=100)).collect()] == [want + text[at:], None, ""]
+
+
 def test_warc(spark, empty):
     big = "é<html>" + "x" * 1200
     pages = [(1, "http://a/ b\n", big), (9, None, big), (4, "u", big), (5, "u", "small"), (6, "u", "small"), (7, "u", None), (8, "u", ""), (2, "u", "\r\n\r\n0\r\n" * 9000), (None, "u", big), (3, "u", "y" * 100_000), (3, "u", "z")]

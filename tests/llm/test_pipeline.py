@@ -12,7 +12,7 @@ from nightsift.llm.common import materialize, table
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op2_source_mixing", "op5_warc", "op8_fingerprints"])
+@pytest.mark.parametrize("name", ["op2_source_mixing", "op3_secret_scans", "op5_warc", "op8_fingerprints"])
 def test_twin(spark, name):
     con = duckdb.connect()
     for t in ("documents", "pages"):
