@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets that look live masked (and n_chars counted anew where they were)."""
-    found = scan(docs, keep=True).withColumn("masked", masked(F.col("row.text"), F.col("live")))
+    found = scan(docs, repo_col="lang", keep=True).withColumn("masked", masked(F.col("row.text"), F.col("live")))
     counted = F.when(F.size("live") > 0, F.length("masked").cast("long")).otherwise(F.col("row.n_chars"))
     new = {"text": F.col("masked").alias("text"), "n_chars": counted.alias("n_chars")}
     return found.select(*(new.get(c, F.col(f"row.`{c}`")) for c in docs.columns))
