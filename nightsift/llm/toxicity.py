@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import materialize, slices
 from .linear import sample_of
 
 #: The alphabet (0 is any other character), what a character may stand for, and marks around words.
@@ -28,10 +28,11 @@ STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 MARKS = ".,;:?\"'()[]{}<>%#*&_-~`/\\="
 SYMBOLS = 64
 
-#: Costs (natural logarithms) of the channel: a stand-in, a dropped stand-in, a letter written more often than meant.
-STAND_IN, DROPPED, REPEATED = -1.0, -4.0, -0.5
-#: Cost of one certain digit of ten (they share the number 0), where a token is scored as written.
-WRITTEN = -2.3
+#: Costs (natural logarithms) of the channel: a stand-in, a dropped sign or digit, a letter written more often than meant,
+#: a spelled-out run that is more than one word, and a digit in one (there the model takes it for the end of a word).
+STAND_IN, DROPPED, DROPPED_DIGIT, REPEATED, SPLIT, DIGIT_APART = -1.0, -4.0, -8.0, -0.5, -6.0, -4.0
+#: Cost of one certain character of those that share the number 0 in the model: a digit (of ten), another letter (of many).
+DIGIT, OTHER = -2.3, -4.6
 
 NUMBER = {c: i for i, c in enumerate(LETTERS, 1)}
 DISGUISED = re.compile(r"(?=.*[^\W\d_])(?=.*[0-9@$!|+€£])[\w@$!|+€£.*-]+$")
@@ -70,18 +71,27 @@ def character_model(docs: DataFrame, text_col: str) -> np.ndarray:
     return np.log((n + 5 * back[None]) / (n.sum(2, keepdims=True) + 5)).ravel()
 
 
+def as_written(c: str) -> float:
+    """Cost of a character as it stands."""
+    return 0.0 if c in NUMBER else DIGIT if c.isdigit() else OTHER
+
+
 def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """For each run of a character: the strings it may stand for, and their costs."""
+    """For each run of a character: the strings it may stand for, and their costs. Letters and digits may stand for themselves."""
     out = []
     for m in re.finditer(r"(.)\1*", token, re.S):
         c, n = m[1], len(m[0])
-        options = [(c, REPEATED * (n > 1))] if c in NUMBER else []
-        if c in NUMBER and n > 1:
-            options.append((c + c, REPEATED * (n > 2)))
+        options = []
+        if c.isalpha():
+            options.append((c, as_written(c) + REPEATED * (n > 1)))
+            if n > 1:
+                options.append((c + c, 2 * as_written(c) + REPEATED * (n > 2)))
+        elif c.isdigit():
+            options.append((m[0], n * DIGIT))
         for s in STANDS_FOR.get(c, ""):
             options += [(s, STAND_IN + REPEATED * (n > 1))] + [(s + s, STAND_IN + REPEATED * (n > 2))] * (n > 1)
-        if c not in NUMBER:
-            options.append(("", DROPPED if c in STANDS_FOR else -0.1))
+        if not c.isalpha():
+            options.append(("", DROPPED_DIGIT if c.isdigit() else DROPPED if c in STANDS_FOR else -0.1))
         out.append(options)
     return out
 
@@ -90,6 +100,7 @@ def with_breaks(options: list[list[tuple[str, float]]]) -> list[list[tuple[str,
     """The options of a spelled-out run, where a word may end between any two characters."""
     out = []
     for i, step in enumerate(options):
+        step = [(s, c + DIGIT_APART * s.isdigit()) for s, c in step]
         inner = [*step, *((s[0] + " " + s[1:], c) for s, c in step if len(s) == 2)]
         out.append(inner + [(" " + s, c) for s, c in inner if s] * (i > 0))
     return out
@@ -125,11 +136,6 @@ def viterbi(token: str, model: list[float]) -> str:
     return best_path(lattice(token), model)[1]
 
 
-def literal(token: str, model: list[float]) -> float:
-    """Score of a token as it is written."""
-    return best_path([[(c, 0.0 if c in NUMBER else WRITTEN)] for c in token], model)[0]
-
-
 def parts_of(word: str) -> list[str]:
     """A word's features: itself and its beginnings of five and six letters (marked with ^)."""
     return [word, *("^" + word[:n] for n in (5, 6) if len(word) > n)]
@@ -138,8 +144,8 @@ def parts_of(word: str) -> list[str]:
 class Restorer:
     """Undoes disguises; `known` limits which doubled letters are worth decoding."""
 
-    def __init__(self, model: np.ndarray, known: frozenset[str] = frozenset(), longest: int = 24):
-        self.model, self.longest = model.tolist(), longest
+    def __init__(self, model: np.ndarray, known: frozenset[str] = frozenset()):
+        self.model = model.tolist()
         self.single = {DOUBLE.sub(r"\1", x.lstrip("^")) for x in known}
 
     def token(self, token: str) -> str:
@@ -149,18 +155,16 @@ class Restorer:
                 return viterbi(word, self.model)
             return word
         if len(word) > 2 and (DOTTED.match(word) or DISGUISED.match(word)):
-            bare = re.sub(r"[.\-_*~/]", "", word)
-            score, text = best_path(lattice(bare), self.model)
-            if 2 * sum(map(str.isdigit, word)) <= len(word) or score > literal(bare, self.model):
-                return text
+            return viterbi(re.sub(r"[.\-_*~/]", "", word), self.model)
         return word
 
     def spaced(self, run: str) -> str:
-        """Single characters with a space between each: decoded together; in runs longer than a word, words may end anywhere."""
+        """Single characters with a space between each: one word, or several if that is likelier by enough."""
         if not any(map(str.isalpha, run)):
             return run
         options = lattice(run.replace(" ", ""))
-        return best_path(options if len(run) < 2 * self.longest else with_breaks(options), self.model)[1]
+        one, several = best_path(options, self.model), best_path(with_breaks(options), self.model)
+        return several[1] if several[0] + SPLIT > one[0] else one[1]
 
     def text(self, text: str) -> list[str]:
         """The words of the restored text."""
@@ -240,6 +244,7 @@ def score(docs: DataFrame, labels: DataFrame, trainable: Column, id_col: str = "
     context = docs.sparkSession.sparkContext
     known = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & trainable).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
     rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample_of(known, id_col, bound)), id_col)  # broadcast: at most about `bound` ids
+    rows = materialize(rows.select("text", "toxic"), "labelled")
     first = F.pmod(F.xxhash64("text"), F.lit(3)) != 0  # copies stay together
     model = character_model(docs, text_col)
     lexicon = lexicon_of(rows.where(first).groupBy(F.xxhash64("text")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")), model)
