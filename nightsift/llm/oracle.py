@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from . import merkle
-
 WORD = r"[^\x20\x09-\x0D]+"
 
 MIXING = rf"""
@@ -18,21 +16,30 @@ k AS (SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs, floor(e.target
  coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY -ln(u) / ((d.size + 1.0::DOUBLE) / (d.size + 1.0::DOUBLE + symbols)), d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM k"""
 
-PARAGRAPH = merkle.PARAGRAPH.replace(r"\z", "$")
-LEAVES = f"list_transform(list_filter(regexp_extract_all({{0}}, '{PARAGRAPH.replace('{','{{').replace('}','}}')}'), lambda x: x <> ''), lambda x: substr(md5(x),1,16))"
-PRINT = f"concat(substr(sha256(array_to_string(list_transform(regexp_extract_all(array_to_string({{0}},''), '{merkle.SECTION.replace('{','{{').replace('}','}}')}'), lambda x: md5(x)),'')),1,32), coalesce(array_to_string(list_transform({{0}}, lambda x: concat(' ', substr(x,1,8))),''),''))"
-LIKE = "CASE WHEN {0} = {1} THEN 1.0::DOUBLE ELSE greatest(2.0::DOUBLE * len(list_intersect({2}, {3})) / greatest(len(list_distinct({2})) + len(list_distinct({3})), 1), 2.0::DOUBLE * {4} / greatest(len({2}) + len({3}), 1)) END"
-SAME = "coalesce(list_position(list_transform(range(1, greatest(len({0}), len({1})) + 1), lambda i: {0}[i] IS DISTINCT FROM {1}[i]), true) - 1, 0)"
-
-FINGERPRINTS = f"""
+#: A paragraph: at most eight words, closed early by the end of a sentence or a line; a section of leaves of 16 digits.
+PARAGRAPH = r"(?:[^.!?\n\x20]*\x20){0,7}[^.!?\n\x20]*(?:[.!?\n]+|\x20|$)"
+SECTION = "(?:[2-9a-f][0-9a-f]{15}){0,31}[0-9a-f]{16}"
+FINGERPRINTS = rf"""
 WITH d AS (SELECT doc_id, coalesce(text,'') AS t FROM documents),
 n AS (SELECT doc_id, t, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS nt FROM d),
 e AS (SELECT doc_id, t, nt, concat(left(t, (length(t) - length(t) // 3)::INT), left(nt, (length(t) // 3)::INT)) AS x FROM n),
-l AS (SELECT doc_id, t, x, {LEAVES.format('t')} AS a, {LEAVES.format('x')} AS b, {LEAVES.format('nt')} AS c FROM e),
-p AS (SELECT *, {PRINT.format('a')} AS fa, {PRINT.format('b')} AS fb, {PRINT.format('c')} AS fc, list_transform(a, lambda x: substr(x,1,8)) AS la, list_transform(b, lambda x: substr(x,1,8)) AS lb, list_transform(c, lambda x: substr(x,1,8)) AS lc FROM l)
-SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(x) AS edited_sha256, fa AS fingerprint, fb AS edited_fingerprint,
- {LIKE.format('fa', 'fb', 'la', 'lb', SAME.format('la', 'lb'))} AS near_edited, {LIKE.format('fa', 'fc', 'la', 'lc', SAME.format('la', 'lc'))} AS near_next,
- (CASE WHEN fa <> fb THEN {SAME.format('la', 'lb')} END)::BIGINT AS same_paragraphs FROM p"""
+texts AS (SELECT t FROM d UNION SELECT x FROM e),
+sections AS (SELECT t, regexp_extract_all(array_to_string(list_transform(list_filter(regexp_extract_all(t, '{PARAGRAPH}'), lambda p: p <> ''), lambda p: substr(md5(p),1,16)), ''), '{SECTION}') AS s FROM texts),
+tree AS (SELECT t, substr(sha256(array_to_string(list_transform(s, lambda y: md5(y)), '')),1,32) AS root,
+ list_transform(s, lambda y: concat(substr(md5(y),1,8), ':', regexp_replace(y, '([0-9a-f]{{8}})[0-9a-f]{{8}}', '\1', 'g'))) AS s,
+ flatten(list_transform(s, lambda y: list_transform(regexp_extract_all(y, '[0-9a-f]{{16}}'), lambda z: substr(z,1,8)))) AS leaves FROM sections),
+sides AS (SELECT doc_id, 'e' AS k, t AS a, x AS b FROM e UNION ALL SELECT doc_id, 'n', t, nt FROM e),
+pairs AS (SELECT doc_id, k, p.root AS ra, q.root AS rb, p.s AS sa, q.s AS sb, p.leaves AS la, q.leaves AS lb,
+ list_distinct(list_filter(p.s, lambda y: list_contains(q.s, y))) AS shared, list_filter(p.s, lambda y: NOT list_contains(q.s, y)) AS ma, list_filter(q.s, lambda y: NOT list_contains(p.s, y)) AS mb FROM sides JOIN tree p ON p.t = a JOIN tree q ON q.t = b),
+parts AS (SELECT *, coalesce(list_sum(list_transform(shared, lambda y: (length(y) - 9) // 8)), 0) AS n,
+ list_distinct(flatten(list_transform(ma, lambda y: regexp_extract_all(substr(y, 10), '[0-9a-f]{{8}}')))) AS da, list_distinct(flatten(list_transform(mb, lambda y: regexp_extract_all(substr(y, 10), '[0-9a-f]{{8}}')))) AS db,
+ coalesce(list_position(list_transform(range(1, greatest(len(sa), len(sb)) + 1), lambda i: sa[i] IS DISTINCT FROM sb[i]), true) - 1, 0) AS same_s,
+ coalesce(list_position(list_transform(range(1, greatest(len(la), len(lb)) + 1), lambda i: la[i] IS DISTINCT FROM lb[i]), true) - 1, 0) AS same_l FROM pairs),
+near AS (SELECT doc_id, k, CASE WHEN ra = rb THEN 1.0::DOUBLE ELSE least(greatest(2.0::DOUBLE * (n + len(list_intersect(da, db))) / greatest(2 * n + len(da) + len(db), 1), 2.0::DOUBLE * same_l / greatest(len(la) + len(lb), 1)), 1 - 1.0::DOUBLE / greatest(len(la) + len(lb), 1)) END AS near,
+ CASE WHEN ra <> rb THEN same_s END AS same_s, CASE WHEN ra <> rb THEN same_l END AS same_l FROM parts)
+SELECT doc_id, length(e.t)::BIGINT AS n_chars, sha256(x) AS edited_sha256, concat(p.root, array_to_string(list_transform(p.s, lambda y: concat(' ', y)), '')) AS fingerprint, concat(q.root, array_to_string(list_transform(q.s, lambda y: concat(' ', y)), '')) AS edited_fingerprint,
+ a.near AS near_edited, b.near AS near_next, a.same_s::BIGINT AS same_sections, a.same_l::BIGINT AS same_paragraphs
+FROM e JOIN tree p ON p.t = e.t JOIN tree q ON q.t = e.x JOIN near a USING (doc_id) JOIN near b USING (doc_id) WHERE a.k = 'e' AND b.k = 'n'"""
 
 WARC = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html,''))) AS n, sha1(coalesce(html,'')) AS digest FROM pages),

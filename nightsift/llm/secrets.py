@@ -19,7 +19,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_row
+from .common import materialize, once, whole_row
 
 #: The kinds in their order, the words of assignments, the patterns, and the least length of a value.
 KINDS = ("assign", "access", "hex", "bare")
@@ -30,11 +30,6 @@ LEAST = 8
 BARE = len(KINDS) - 1
 
 
-def once(value: Column, f: Callable[[Column], Column]) -> Column:
-    """f of a value that is evaluated once, however often f names it."""
-    return F.get(F.transform(F.array(value), f), 0)
-
-
 def before(numbers: Column, op: Callable[[Column, Column], Column], block: int = 64) -> Column:
     """For each of an array of non-negative integers: op over all that come before it (0 for the first).
 

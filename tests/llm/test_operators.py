@@ -430,7 +430,18 @@ def test_fingerprints(docs, empty):
         assert matching and matching[0].n_chars == len(t)
         g = matching[0]
         assert (g.near_edited == 1.0) == (t == edited) and 0 <= g.near_next <= 1
-        assert [hashlib.md5(p.encode()).hexdigest()[:8] for p in paragraphs(t)] == g.fingerprint.split(" ")[1:]
+        leaves = [hashlib.md5(p.encode()).hexdigest() for p in paragraphs(t)]
+        root, *sections = g.fingerprint.split(" ")
+        assert [x[:8] for x in leaves] == [s[i : i + 8] for s in sections for i in range(9, len(s), 8)]
+        whole, k = [], 0
+        for s in sections:
+            n = (len(s) - 9) // 8
+            whole.append(hashlib.md5("".join(x[:16] for x in leaves[k : k + n]).encode()).hexdigest())
+            assert whole[-1][:8] == s[:8]
+            k += n
+        assert hashlib.sha256("".join(whole).encode()).hexdigest()[:32] == root
+        lead = next((i for i, (p, q) in enumerate(zip([*paragraphs(t), 0], [*paragraphs(edited), 1], strict=False)) if p != q), None)
+        assert g.same_paragraphs == (None if t == edited else lead)
         assert len({x.fingerprint for x in got[r[0]]}) == 1
     assert got[6][0].fingerprint == got[7][0].fingerprint != got[8][0].fingerprint
     assert merkle.fingerprints(empty).count() == 0
@@ -442,11 +453,42 @@ def test_ranges_keep_the_order(spark):
     """Next rows are right however ids are spread, over many ranges."""
     ids = [*range(500), *range(10**12, 10**12 + 300, 3), -5, 7 * 10**15]
     df = spark.createDataFrame([(i, f"t{i}") for i in ids], "id long, t string").repartition(4)
-    got = {r.id: r.next_t for r in merkle.with_next(df, "id", ["t"], per_range=16).collect()}
+    got = {r.id: r.next_t for r in merkle.with_next(df, "id", "t", per_range=16).collect()}
     down = sorted(ids, reverse=True)
     assert got == {i: f"t{j}" for i, j in zip(down, down[1:] + down[:1], strict=True)}
 
 
+def test_edits_are_located(spark):
+    """The comparison walks from the root to the differing section and its paragraph."""
+    text = prose(4000, 31)
+    parts = paragraphs(text)
+    changed = [*parts[:200], "entirely new words here. ", *parts[201:]]
+    moved = [*parts[100:], *parts[:100]]
+    df = spark.createDataFrame([(0, text, "".join(changed)), (1, text, "".join(moved)), (2, text, text), (3, "", text), (4, "a b", "c d")], "i int, a string, b string")
+    got = {r.i: r.c for r in df.select("i", merkle.compared(merkle.fingerprint(F.col("a")), merkle.fingerprint(F.col("b"))).alias("c")).collect()}
+    assert got[0].same_paragraphs == 200 and got[0].likeness > 0.97 and 0 < got[0].same_sections < 200
+    assert 0.9 < got[1].likeness < 1 and got[1].same_paragraphs == 0
+    assert got[2].likeness == 1 and got[2].same_paragraphs is None and got[2].same_sections is None
+    assert got[3].likeness == got[4].likeness == 0
+
+
+def test_order_of_text_shared_and_null_ids(spark):
+    ids = [f"document-{i:06d}" for i in range(300)] + ["é", "", "document", None]
+    df = spark.createDataFrame([(i, f"t{i}") for i in ids], "id string, t string").repartition(4)
+    got = {r.id: r.next_t for r in merkle.with_next(df, "id", "t", per_range=16).collect()}
+    down = sorted((i for i in ids if i is not None), key=str.encode, reverse=True) + [None]
+    assert got == {i: f"t{j}" for i, j in zip(down, down[1:] + down[:1], strict=True)}
+    rows_ = [(7 if k % 2 else None if k % 3 else k, f"t{k}") for k in range(3000)]
+    df = spark.createDataFrame(rows_, "id long, t string").repartition(4).withColumn("h", F.xxhash64("t"))
+    at, fine, n = merkle.range_of(df, "id", "h", 16)
+    sizes = [r["count"] for r in df.groupBy(at.alias("c"), fine.alias("r")).count().collect()]
+    assert n == 3000 and max(sizes) < 150  # rows of one id, or without any, are spread
+    h = {r.t: r.h for r in df.collect()}
+    down = sorted(rows_, key=lambda r: (r[0] is not None, r[0] or 0, h[r[1]]), reverse=True)
+    got = {r.t: r.next_t for r in merkle.with_next(df.drop("h"), "id", "t", per_range=16).collect()}
+    assert got == {a[1]: b[1] for a, b in zip(down, down[1:] + down[:1], strict=True)}
+
+
 def test_toxicity(spark, docs, labels, empty):
     bad = ["zorgul", "kretin", "vermun"]
     made = []
