@@ -88,7 +88,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mix itself, with the columns of docs: a row for each time a document is taken; in part: its first words, space-joined."""
+    """The mix itself, with the columns of docs: a row for each time a document is taken; in part: its first words, space-joined.
+
+    Texts without words (null and empty ones too) are never taken; null sources are one source; repeated rows are taken each.
+    An empty table gives an empty one.
+    """
     rows = mix(docs, id_col, text_col, source_col, True, **options).where("taken > 0").select("row", "size", "taken")
     text = F.col(f"row.`{text_col}`")
     words = F.filter(F.split(text, rf"[{SPACE}]+"), lambda w: w != "")

@@ -184,7 +184,11 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, seed: int,
 
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, seed: int = 42, radius: int = RADIUS) -> DataFrame:
-    """docs with one row of each component: that of the least id (of repeated ids, one of them)."""
+    """docs with one row of each component: that of the least id (of repeated ids, one of them).
+
+    Null and empty texts are alike, so one of them stays; a row with a null id goes if its component has an id. An empty table
+    gives an empty one. Only the numbers of the rows that go are joined to whole rows: a broadcast if they are few.
+    """
     prints, by_fp = grouped(docs, id_col, text_col, width, seed, radius, True)
-    first = by_fp.select("first.n").distinct()
-    return prints.join(first, "n", "left_semi").select("row.*")
+    goes = materialize(prints.select("fp", "n").join(by_fp, "fp").where(F.col("n") != F.col("first.n")).select("n"), "copies")
+    return prints.join(goes, "n", "left_anti").select("row.*")
