@@ -125,7 +125,8 @@ def range_of(docs: DataFrame, id_col: str, hash_col: str, per_range: int, coarse
     by_hash = F.col(hash_col) / float(1 << 64) + 0.5
     within = F.when((i == low) & (own > 0), F.floor(by_hash * own)).otherwise(own + F.floor(share * (fine - 1)))
     without = F.floor(by_hash * max(1, -(-(rows - n) // per_range)))
-    return F.when(i.isNull(), 0).otherwise(at), F.when(i.isNull(), without).otherwise(within).cast("long"), rows
+    zero = F.lit(0).cast("long")  # tells Spark that neither is null, so joins on them add no filters
+    return F.coalesce(F.when(i.isNotNull(), at.cast("long")), zero), F.coalesce(F.when(i.isNull(), without).otherwise(within).cast("long"), zero), rows
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str, derived: dict[str, Column] | None = None, per_range: int = 256) -> DataFrame:
@@ -146,7 +147,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, derived: dict[str, Co
     partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // 8192 + 1)
     moved = rows.repartition(partitions, "_c", "_r")  # the only time that texts move
     payload = [text_col, *derived]
-    tops = moved.join(heads, ["_c", "_r"]).where(F.col("head.id").eqNullSafe(F.col(id_col)) & (F.col("head.h") == F.col("_h")))
+    # the head is the greatest of its range; an equality would become a join key, and texts would move again
+    tops = moved.join(heads, ["_c", "_r"]).where(F.struct(F.col(id_col).alias("id"), F.col("_h").alias("h")) >= F.col("head"))
     tops = tops.select("_c", "_r", text_col).dropDuplicates(["_c", "_r"])
     first = below.join(tops, ["_c", "_r"]).select(F.col("above._c").alias("_c"), F.col("above._r").alias("_r"), text_col).select("_c", "_r", text_col, *(c.alias(k) for k, c in derived.items()))
     first = first.select("_c", "_r", F.struct(*payload).alias("first"))
