@@ -88,12 +88,18 @@ SELECT p_partkey AS image_id, concat('/ref/wcs_fd_Fld', CAST(p_partkey % 20 AS S
 }
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in as many tasks as there are cores, if it has fewer: the texts made of a row cost far more than to move it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived input over the tables in sf_dir."""
     sql = SQL[name]
     for t in TABLES:
         if re.search(rf"\b{t}\b", sql):
-            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+            spread(spark.read.parquet(f"{sf_dir}/{t}.parquet")).createOrReplaceTempView(t)
     return spark.sql(sql)
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from nightsift.functions import absolute_url, dms_to_deg, extracted, hms_to_deg, jd_to_iso, number
 
+#: Named entities of HTML that reports hold (the ampersand comes last).
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&plusmn;", "±"), ("&deg;", "°"), ("&micro;", "µ"), ("&times;", "×"), ("&ndash;", "–"), ("&mdash;", "—"), ("&amp;", "&"))
 #: Fixed values of the report format.
 EXCLUSION_KEYS = {
     "tocp_transients_list.txt": "tocp",
@@ -42,9 +44,17 @@ AVERAGE = r"(?m)^Forced photometry reference-image weighted average:\s*(-?\d+\.\
 
 
 def text_of(html: Column) -> Column:
-    """Text without tags, the common entities decoded (the ampersand last)."""
+    """Text without tags; numeric and common named entities decoded (the ampersand last)."""
     t = F.regexp_replace(html, r"<[^>]+>", "")
-    for entity, c in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&plusmn;", "±"), ("&deg;", "°"), ("&amp;", "&")):
+
+    def character(entity: Column) -> Column:
+        digits = F.regexp_extract(entity, r"([0-9A-Fa-f]+);", 1)
+        code = F.when(F.lower(entity).startswith("&#x"), F.conv(digits, 16, 16)).otherwise(F.conv(digits, 10, 16))
+        return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+
+    numeric = F.array_distinct(F.regexp_extract_all(t, F.lit(r"(&#(?:[0-9]{1,6}|[xX][0-9A-Fa-f]{1,5});)"), F.lit(1)))
+    t = F.when(F.contains(t, F.lit("&#")), F.aggregate(numeric, t, lambda out, e: F.replace(out, e, character(e)))).otherwise(t)
+    for entity, c in ENTITIES:
         t = F.replace(t, F.lit(entity), F.lit(c))
     return t
 
@@ -104,7 +114,8 @@ def with_cutouts(df: DataFrame, base_url: str) -> DataFrame:
     sources = F.regexp_extract_all("html", F.lit(r"""(?is)<img[^>]*?\ssrc=['"]([^'"]+)['"]"""), F.lit(1))
     name = lambda x: F.when(x.endswith("_reference.png"), F.lit("reference")).otherwise(F.concat(F.lit("discovery"), extracted(x, r"_discovery(\d+)\.png$")))
     pairs = F.filter(F.transform(F.filter(sources, lambda x: F.contains(x, F.col("id"))), lambda x: F.struct(name(x).alias("k"), absolute_url(x, base_url).alias("v"))), lambda p: p["k"].isNotNull())
-    return df.withColumn("cutouts", F.when(F.size(pairs) > 0, last_map(pairs)))
+    df = df.withColumn("_pairs", pairs)  # a column of its own is evaluated once
+    return df.withColumn("cutouts", F.when(F.size("_pairs") > 0, last_map(F.col("_pairs")))).drop("_pairs")
 
 
 def last_map(pairs: Column) -> Column:
@@ -117,18 +128,18 @@ def with_discovery_images(df: DataFrame, base_url: str) -> DataFrame:
     """Rows of the first table (header skipped, at least seven cells), with their preview links by base name."""
     table = F.regexp_extract("html", r"(?is)<table[^>]*>(.*?)</table>", 1)
     rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)(?=<tr|\z)"), F.lit(1))
-    cells = F.transform(F.slice(rows, 2, 1 << 20), lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<td[^>]*>(.*?)(?=<td|</td|</tr|\z)"), F.lit(1)), lambda c: F.trim(text_of(c))))
+    cells = F.transform(F.filter(rows, lambda _, i: i > 0), lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<td[^>]*>(.*?)(?=<td|</td|</tr|\z)"), F.lit(1)), lambda c: F.trim(text_of(c))))
     position = r"^(\d{1,2}:\d{2}:\d{2}(?:\.\d+)?)\s+([+\-]\d{1,2}:\d{2}:\d{2}(?:\.\d+)?)"
     frame = F.regexp_extract("html", r"""(?is)<div[^>]*id=['"]fullframepreview_[^>]*>(.*?)</div>""", 1)
     anchors = F.transform(F.regexp_extract_all(frame, F.lit(r"(?is)(<a\s.*?</a>)"), F.lit(1)), lambda a: F.struct(F.trim(text_of(a)).alias("t"), extracted(a, r"""(?i)href=['"]([^'"]+)['"]""").alias("h")))
-    link = lambda path: absolute_url(F.get(F.filter(anchors, lambda a: a["t"] == F.substring_index(path, "/", -1)), 0)["h"], base_url)
+    link = lambda path: absolute_url(F.get(F.filter("_anchors", lambda a: a["t"] == F.substring_index(path, "/", -1)), 0)["h"], base_url)
 
     def row(c: Column) -> Column:
         xy, jd = F.split(c[5], r"\s+"), number(c[2])
         return F.struct(c[0].alias("label"), jd_to_iso(jd).alias("date_utc_iso"), c[1].alias("date_utc_dayfraction"), jd.alias("jd_utc"), number(c[3]).alias("mag"), extracted(c[4], position, 1).alias("ra_hms"), extracted(c[4], position, 2).alias("dec_dms"), number(F.get(xy, 0)).alias("x_pix"), number(F.get(xy, 1)).alias("y_pix"), c[6].alias("fits_path"), link(c[6]).alias("fits_url"))
 
-    found = F.transform(F.filter(cells, lambda c: F.size(c) >= 7), row)
-    return df.withColumn("discovery_images", F.when(F.size(found) > 0, found))
+    df = df.withColumn("_cells", F.filter(cells, lambda c: F.size(c) >= 7)).withColumn("_anchors", anchors)
+    return df.withColumn("discovery_images", F.when(F.size("_cells") > 0, F.transform("_cells", row))).drop("_cells", "_anchors")
 
 
 def with_crossmatch_entries(df: DataFrame) -> DataFrame:
@@ -181,10 +192,14 @@ def with_crossmatches(df: DataFrame) -> DataFrame:
 
 def with_forced_photometry(df: DataFrame) -> DataFrame:
     """Rows of each image and the reference average; null if there is neither."""
+    # a line is matched once more, to part its groups by a character that texts do not hold
     one = PHOTOMETRY.removeprefix("(?m)")
-    rows = F.transform(F.regexp_extract_all("pre", F.lit(PHOTOMETRY), F.lit(0)), lambda x: F.struct(F.regexp_extract(x, one, 1).alias("wcs_fits"), F.regexp_extract(x, one, 2).alias("position_hms"), number(F.regexp_extract(x, one, 3)).alias("mag"), number(F.regexp_extract(x, one, 4)).alias("mag_err"), F.regexp_extract(x, one, 5).alias("flag")))
+    parts = F.transform(F.regexp_extract_all("pre", F.lit(PHOTOMETRY), F.lit(0)), lambda x: F.split(F.regexp_replace(x, one, "$1\u0001$2\u0001$3\u0001$4\u0001$5"), "\u0001"))
+    rows = F.transform(parts, lambda p: F.struct(p[0].alias("wcs_fits"), p[1].alias("position_hms"), number(p[2]).alias("mag"), number(p[3]).alias("mag_err"), p[4].alias("flag")))
     average = F.when(F.col("pre").rlike(AVERAGE), F.struct(number(F.regexp_extract("pre", AVERAGE, 1)).alias("mag"), number(F.regexp_extract("pre", AVERAGE, 2)).alias("mag_err")))
-    return df.withColumn("forced_photometry", F.when((F.size(rows) > 0) | average.isNotNull(), F.struct(F.when(F.size(rows) > 0, rows).alias("per_image"), average.alias("reference_weighted_avg"))))
+    df = df.withColumn("_rows", rows).withColumn("_average", average)
+    some = F.size("_rows") > 0
+    return df.withColumn("forced_photometry", F.when(some | F.col("_average").isNotNull(), F.struct(F.when(some, F.col("_rows")).alias("per_image"), F.col("_average").alias("reference_weighted_avg")))).drop("_rows", "_average")
 
 
 def link_key(href: Column, rules: tuple[tuple[str, str], ...] = LINK_RULES) -> Column:
@@ -214,8 +229,9 @@ def with_external_links(df: DataFrame, base_url: str, archive_key: str = "sky_ar
     query = F.array_join(F.transform(F.filter(inputs, lambda p: p["k"] != "submit"), lambda p: F.concat(p["k"], F.lit("="), F.replace(F.url_encode(p["v"]), F.lit("+"), F.lit("%20")))), "&")
     archive = F.when(F.array_contains(names, "ra") & F.array_contains(names, "dec"), F.concat(action, F.lit("?"), query))
     more = F.array(F.struct(F.lit("asas3").alias("k"), absolute_url(asas, base_url).alias("v")), F.struct(F.lit(archive_key).alias("k"), archive.alias("v")))
-    pairs = F.concat(first_links(hrefs, base_url), F.filter(more, lambda e: e["v"].isNotNull()))
-    return df.withColumn("external_links", F.when(F.size(pairs) > 0, F.map_from_entries(pairs)))
+    df = df.withColumn("_hrefs", hrefs)
+    df = df.withColumn("_links", F.concat(first_links(F.col("_hrefs"), base_url), F.filter(more, lambda e: e["v"].isNotNull())))
+    return df.withColumn("external_links", F.when(F.size("_links") > 0, F.map_from_entries("_links"))).drop("_hrefs", "_links")
 
 
 def with_report_stubs(df: DataFrame) -> DataFrame:
@@ -239,6 +255,7 @@ def with_warnings(df: DataFrame, checks: list[tuple[Column, str]]) -> DataFrame:
     return df.withColumn("parse_warnings", F.filter(F.array(*(F.when(c, F.lit(m)) for c, m in checks)), lambda x: x.isNotNull()))
 
 
+#: The messages below.
 def standard_checks() -> list[tuple[Column, str]]:
     pre = F.col("pre").isNotNull()
     return [
@@ -260,7 +277,7 @@ def is_variable(pre: Column, catalogue: str, max_arcsec: int = 30) -> Column:
     """Found, and a whole number of arcseconds, at most max_arcsec, begins the line after the first that names the catalogue."""
     lines = lines_of(pre)
     at = F.array_position(F.transform(lines, lambda x: F.contains(x, F.lit(catalogue))), True)
-    token = F.replace(F.get(F.split(F.trim(F.get(lines, at.cast("int"))), r"\s+"), 0), F.lit('"'), F.lit(""))
+    token = F.replace(F.regexp_extract(F.get(lines, at.cast("int")), r"(?U)^\s*(\S+)", 1), F.lit('"'), F.lit(""))
     whole = F.when(token.rlike(r"^[+-]?\d+$"), token.try_cast("int"))
     return F.coalesce(F.contains(pre, F.lit(f"The object was found in {catalogue}")) & (whole <= max_arcsec), F.lit(False))
 
@@ -287,10 +304,10 @@ def classify(df: DataFrame) -> DataFrame:
     return df.withColumn("classification", F.when(is_asteroid(pre), "known_asteroid").when(variable, "known_variable").when(is_known_transient(pre), "known_transient").otherwise("new"))
 
 
-def parse_candidates(reports: DataFrame, base_url: str) -> DataFrame:
-    """All of a report's candidates as nested rows (the central table)."""
+def parse_candidates(reports: DataFrame, base_url: str, archive_key: str = "sky_archive") -> DataFrame:
+    """All of a report's candidates as nested rows (the central table). archive_key: the name of the archive form's link."""
     df = with_pre_text(with_candidate_id(split_candidates(reports)))
-    for step in (with_field, with_mean, with_separation, lambda d: with_cutouts(d, base_url), lambda d: with_discovery_images(d, base_url), with_crossmatches, with_forced_photometry, lambda d: with_external_links(d, base_url), with_report_stubs, classify):
+    for step in (with_field, with_mean, with_separation, lambda d: with_cutouts(d, base_url), lambda d: with_discovery_images(d, base_url), with_crossmatches, with_forced_photometry, lambda d: with_external_links(d, base_url, archive_key), with_report_stubs, classify):
         df = step(df)
     return with_warnings(df, standard_checks())
 

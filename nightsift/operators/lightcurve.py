@@ -137,7 +137,7 @@ def round_sexagesimal(df: DataFrame, col: str, decimals: int = 1) -> DataFrame:
 def served_url(df: DataFrame, root: str, base_url: str) -> DataFrame:
     """URL of a path under the uploads root; null outside."""
     top = root.rstrip("/") + "/"
-    return df.withColumn("url", F.when(F.col("path").startswith(top), F.concat(F.lit(base_url.rstrip("/") + "/"), F.substring("path", len(top) + 1, 10_000))))
+    return df.withColumn("url", F.when(F.col("path").startswith(top), F.concat(F.lit(base_url.rstrip("/") + "/"), F.substring("path", F.lit(len(top) + 1), F.length("path")))))
 
 
 def lightcurve_stats(df: DataFrame, keys: list[str]) -> DataFrame:

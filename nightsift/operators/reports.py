@@ -142,6 +142,26 @@ def field_runs(reports: DataFrame) -> DataFrame:
     return with_status(gate_reports(df))
 
 
+def summary_table(runs: DataFrame) -> DataFrame:
+    """K2: the 11 columns of the nightly summary from field_runs with a camera; a stuck camera's row has no values, an error's no limit."""
+    stuck, error = F.col("status") == "CAMERA STUCK", F.col("status") == "ERROR"
+    directory = F.col("report_id")
+    return runs.select(
+        "camera",
+        F.regexp_replace("obs_time", " UTC", "").alias("obs_time"),
+        "field",
+        F.concat(directory, F.lit("/small_field_preview.png")).alias("preview"),
+        "status",
+        F.concat(directory, F.lit("/")).alias("log"),
+        F.when(~stuck, F.col("offset_deg")).alias("pointing_offset_deg"),
+        F.when(~stuck & (~error | (F.col("verdict") != "OK")), F.col("mag_limit")).alias("mag_limit"),
+        F.when(~stuck, F.col("fwhm_pix")).alias("fwhm_pix"),
+        F.when(~stuck, F.concat_ws("/", "n_unidentified", "n_candidates")).alias("candidates"),
+        F.col("comment").alias("comments"),
+        *(c for c in ("session_date", "session") if c in runs.columns),
+    )
+
+
 def not_in_ledger(reports: DataFrame, ledger: DataFrame) -> DataFrame:
     """Reports that were not combined before."""
     return reports.join(ledger, "report_id", "left_anti")

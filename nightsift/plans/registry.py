@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nightsift import functions as fn
-from nightsift.fixtures import load, oracle
+from nightsift.fixtures import SQL, load, oracle
 from nightsift.operators import candidates as c
 from nightsift.operators import comets, coverage, lightcurve, reports, requests
 
@@ -34,6 +36,27 @@ def query(name: str, source: str, sql: str | None):
     return register
 
 
+def shared(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the driver and all executors share; only a local session may do without one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/nightsift/{name}-{uuid.uuid4().hex}"
+
+
+def numbered(df: DataFrame, name: str = "n") -> DataFrame:
+    """df with each row's place, from 1, in the order that df has: written in order, then counted by task."""
+    path = shared(df.sparkSession, "ordered")
+    df.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path).withColumn("_task", F.shiftrightunsigned("_id", 33))
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task
+    first = rows.groupBy("_task").agg(F.count("*").alias("_n")).select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    return rows.join(first, "_task").withColumn(name, F.col("_first") + F.col("_id").bitwiseAND((1 << 33) - 1) + 1).drop("_task", "_first", "_id")
+
+
 # Pieces of DuckDB SQL that several twins share.
 MEAN = r"^\s*(\d{4}\s+\d{1,2}\s+\d{1,2}\.\d+)\s+(\d+\.\d+)\s+(-?\d+\.\d+)\s+(\d{1,2}:\d{2}:\d{2}(?:\.\d+)?)\s+([+\-]\d{1,2}:\d{2}:\d{2}(?:\.\d+)?)"
 LINES = "string_split(pre, chr(10))"
@@ -75,9 +98,12 @@ def _(df):
     return c.with_separation(df).select("event_id", "second_epoch_separation.arcsec", "second_epoch_separation.pix")
 
 
-@query("p10_crossmatches", "fx_candidates", r"SELECT event_id, 'vsx' AS key, contains(pre,'was found in VSX') AS found FROM fx_candidates UNION ALL SELECT event_id, 'astcheck', contains(pre,'was found in astcheck') FROM fx_candidates")
+@query("p10_crossmatches", "fx_candidates", r"""SELECT event_id, 'vsx' AS key, contains(pre,'was found in VSX') AS found, CASE WHEN event_id % 3 = 0 THEN concat(event_id % 60, '" V', user_id) END AS raw FROM fx_candidates UNION ALL SELECT event_id, 'astcheck', contains(pre,'was found in astcheck'), CASE WHEN event_id % 5 = 0 THEN nullif(rtrim(regexp_extract(pre, '(?m)^(This object is listed in .*)$', 1)), '') END FROM fx_candidates UNION ALL SELECT event_id, 'asassn_v', event_id % 2 = 0, CASE WHEN event_id % 2 = 0 THEN concat(event_id % 40, '" A', chr(10), 'more') END FROM fx_candidates WHERE event_id % 7 = 0""")
 def _(df):
-    return c.with_crossmatch_entries(df).select("event_id", F.explode(F.transform("entries", lambda e: F.struct(e["k"].alias("key"), e["found"].alias("found")))).alias("e")).select("event_id", "e.*")
+    e = F.col("event_id")
+    more = F.concat(F.lit("The object was "), F.when(e % 2 == 0, "found").otherwise("not found"), F.lit(" in ASASSN-V\n"), (e % 40).cast("string"), F.lit('" A\nmore \nForced photometry'))
+    df = df.withColumn("pre", F.when(e % 7 == 0, F.replace("pre", F.lit("Forced photometry"), more)).otherwise(F.col("pre")))
+    return c.with_crossmatch_entries(df).select("event_id", F.explode(F.transform("entries", lambda x: F.struct(x["k"].alias("key"), x["found"], x["raw"]))).alias("x")).select("event_id", "x.*")
 
 
 @query("p11_exclusion_list", "fx_candidates", rf"SELECT event_id, {KEY} AS key, nullif(trim(regexp_extract(pre,'This object is listed in \S+\.txt(.*)',1)),'') AS raw FROM fx_candidates WHERE {LIST} <> ''")
@@ -228,9 +254,9 @@ def _(df):
     return reports.first_claim(df.select("field", "n_candidates", "report_id"), ["field"], "n_candidates")
 
 
-@query("t1_oldest_first", "fx_field_reports", "SELECT report_id, strftime(mtime,'%Y-%m-%d') AS day FROM fx_field_reports ORDER BY mtime, report_id")
+@query("t1_oldest_first", "fx_field_reports", "SELECT report_id, strftime(mtime,'%Y-%m-%d') AS day, row_number() OVER (ORDER BY mtime, report_id) AS n FROM fx_field_reports")
 def _(df):
-    return reports.oldest_first(_reports(df)).select("report_id", F.date_format("mtime", "yyyy-MM-dd").alias("day"))
+    return numbered(reports.oldest_first(_reports(df)).select("report_id", F.date_format("mtime", "yyyy-MM-dd").alias("day")))
 
 
 @query("u1_combine_session", "", f"SELECT c.event_id, r.report_id FROM fx_candidates c JOIN fx_field_reports r ON c.event_id % 100 + 1 = CAST(regexp_extract(r.report_id,'(\\d+)$',1) AS BIGINT) WHERE ({GATE}) = 'OK'")
@@ -241,14 +267,14 @@ def _(load):
     return reports.combine_session(cands, r).select("event_id", "report_id")
 
 
-@query("k2_summary_table", "fx_field_reports", f"SELECT cam, field, verdict, count(*) AS reports, CAST(sum(n_candidates) AS BIGINT) AS candidates FROM (SELECT *, {GATE} AS verdict FROM fx_field_reports) GROUP BY cam, field, verdict")
+@query("k6_ledger", "fx_field_reports", "SELECT report_id, count(*) AS n FROM (SELECT DISTINCT report_id, n_candidates % 2 FROM fx_field_reports WHERE complete) GROUP BY report_id")
 def _(df):
-    return reports.gate_reports(df).groupBy("cam", "field", "verdict").agg(F.count("*").alias("reports"), F.sum("n_candidates").alias("candidates"))
-
+    from nightsift.sources.sinks import append_ledger
 
-@query("k6_ledger", "fx_field_reports", "SELECT DISTINCT report_id FROM fx_field_reports WHERE complete")
-def _(df):
-    return df.where("complete").select("report_id").distinct()
+    path = shared(df.sparkSession, "ledger")
+    for k in (0, 1):  # two nights
+        append_ledger(df.where("complete").where(F.col("n_candidates") % 2 == k), path)
+    return df.sparkSession.read.parquet(path).groupBy("report_id").agg(F.count("*").alias("n"))
 
 
 @query("k7_night_index", "fx_field_reports", "SELECT session_date, session, camera, p AS product, concat(session_date,'_',session,'_',camera,s,'.html') AS file, replace(concat(session_date,'_',session,'_',camera,s),'_',' ') AS display FROM (SELECT DISTINCT strftime(mtime,'%Y%m%d') AS session_date, 'morning' AS session, cam AS camera FROM fx_field_reports), (VALUES ('combined',''),('filtered','_filtered'),('summary','_summary')) AS v(p, s)")
@@ -312,7 +338,7 @@ def _(df):
     return c.rewrite_links(c.combined_body(df)).groupBy("report_id", "line").agg(F.count("*").alias("n"))
 
 
-@query("w6_context", "fx_report_text", f"SELECT report_id, CAST(i-1 AS INT) AS line_no, array_to_string(l[greatest(i-2,1):i+1], '~') AS context FROM (SELECT report_id, {TEXT_LINES} AS l, unnest(range(1, least(len({TEXT_LINES}),8)+1)) AS i FROM fx_report_text) WHERE i < 8")
+@query("w6_context", "fx_report_text", f"SELECT report_id, CAST(i-1 AS INT) AS line_no, array_to_string(l[greatest(i-2,1):i+1], '~') AS context FROM (SELECT report_id, {TEXT_LINES} AS l, unnest(range(1, len({TEXT_LINES})+1)) AS i FROM fx_report_text)")
 def _(df):
     lines = df.select("report_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return reports.with_context(lines, 2, 1).select("report_id", "line_no", F.array_join("context", "~").alias("context"))
@@ -373,17 +399,14 @@ def _(df):
     return df.select("event_id", fn.field_of(F.col("path")).alias("image_field"))
 
 
-@query("t2_best_centred", "", f"SELECT target_id, path, row_number() OVER (PARTITION BY target_id ORDER BY round(sqrt((x-nx/2.0::DOUBLE)*(x-nx/2.0::DOUBLE)+(y-ny/2.0::DOUBLE)*(y-ny/2.0::DOUBLE)),6), path) AS n FROM ({COVER})")
+@query("t2_best_centred", "", f"SELECT target_id, path, row_number() OVER (ORDER BY target_id, round(sqrt((x-nx/2.0::DOUBLE)*(x-nx/2.0::DOUBLE)+(y-ny/2.0::DOUBLE)*(y-ny/2.0::DOUBLE)),6), path) AS n FROM ({COVER})")
 def _(load):
-    from pyspark.sql import Window
-
-    d = coverage.best_centred(coverage.frame_distances(_cover(load)).withColumn("centre_px", F.round("centre_px", 6)))
-    return d.select("target_id", "path", F.row_number().over(Window.partitionBy("target_id").orderBy("centre_px", "path")).cast("long").alias("n"))
+    return numbered(coverage.best_centred(coverage.frame_distances(_cover(load)).withColumn("centre_px", F.round("centre_px", 6))).select("target_id", "path"))
 
 
-@query("t3_catalogue_listing", "fx_ref_images", "SELECT path, split_part(regexp_replace(path,'^(wcs_fd_|wcs_|fd_)',''),'_',1) AS field FROM (SELECT path FROM fx_ref_images ORDER BY path LIMIT 2000) ORDER BY field, path")
+@query("t3_catalogue_listing", "fx_ref_images", "SELECT path, field, row_number() OVER (ORDER BY field, path) AS n FROM (SELECT path, split_part(regexp_replace(path,'^(wcs_fd_|wcs_|fd_)',''),'_',1) AS field FROM fx_ref_images ORDER BY path LIMIT 2000)")
 def _(df):
-    return coverage.list_catalogue(df.select("path"), 2000).select("path", "field")
+    return numbered(coverage.list_catalogue(df.select("path"), 2000).select("path", "field"))
 
 
 @query("t4_capped_matches", "", f"SELECT target_id, path FROM (SELECT target_id, path, row_number() OVER (PARTITION BY target_id ORDER BY path) AS n FROM ({COVER})) WHERE n <= 200")
@@ -414,7 +437,7 @@ def _(load):
     return lightcurve.with_band(load("fx_images"), load("fx_camera_rules")).select("event_id", "camera", "band")
 
 
-@query("j5_target_images", "", f"SELECT target_id, event_id FROM (SELECT DISTINCT target_id, field FROM ({FIELDS}) WHERE target_id % 50 = 0) JOIN fx_images USING (field)")
+@query("j5_target_images", "", f"SELECT target_id, event_id FROM (SELECT DISTINCT target_id, field FROM ({FIELDS})) JOIN fx_images USING (field)")
 def _(load):
     fields = coverage.with_image_field(_cover(load))
     return lightcurve.images_for_targets(load("fx_images"), fields).select("target_id", "event_id")
@@ -425,7 +448,7 @@ def _(df):
     return lightcurve.clamp_targets(df).select("target_id", "days", "images")
 
 
-PAIRED = "SELECT t.target_id, i.*, least(greatest(window_days,1),30) AS days, least(greatest(max_images,1),50) AS images FROM fx_targets t JOIN fx_images i ON i.field = concat('Fld', t.target_id % 20) WHERE t.target_id % 50 = 1"
+PAIRED = "SELECT t.target_id, i.*, least(greatest(window_days,1),30) AS days, least(greatest(max_images,1),50) AS images FROM fx_targets t JOIN fx_images i ON i.field = concat('Fld', t.target_id % 20)"
 
 
 def _targets(load) -> DataFrame:
@@ -460,10 +483,14 @@ def _(load):
     return lightcurve.catalogue_reuse(i, files).select("event_id", "hit", "catalogue")
 
 
-@query("j9_fits_links", "fx_hrefs", r"SELECT page_id, pos, regexp_extract(h,'[^/]*$') AS name, list_filter(hrefs, lambda x: regexp_extract(x,'[^/]*$') = regexp_extract(h,'[^/]*$'))[1] AS url FROM (SELECT page_id, hrefs, unnest(hrefs) AS h, CAST(generate_subscripts(hrefs,1)-1 AS INT) AS pos FROM fx_hrefs)")
+@query("j9_fits_links", "fx_candidates", f"SELECT event_id AS report_id, concat('/d/i', event_id, '.fts') AS fits_path, CASE event_id % 3 WHEN 1 THEN concat('{BASE}/p/i', event_id, '.fts') WHEN 2 THEN concat('{BASE}/first/i', event_id, '.fts') END AS fits_url FROM fx_candidates")
 def _(df):
-    each = df.select("page_id", "hrefs", F.posexplode("hrefs").alias("pos", "h")).withColumn("name", F.substring_index("h", "/", -1))
-    return each.select("page_id", "pos", "name", F.get(F.filter("hrefs", lambda x: F.substring_index(x, "/", -1) == F.col("name")), 0).alias("url"))
+    """Links of previews to images: of a third the name differs, of a third a link of the same name comes first."""
+    name = F.concat(F.lit("i"), F.col("report_id").cast("string"), F.lit(".fts"))
+    html = F.when(F.col("report_id") % 3 == 0, F.replace("html", F.concat(F.lit("'>"), name), F.lit("'>other.fts")))
+    html = html.when(F.col("report_id") % 3 == 2, F.replace("html", F.lit("<a href='p/"), F.concat(F.lit("<a href='./first/"), name, F.lit("'> "), name, F.lit("</a><a href='p/")))).otherwise(F.col("html"))
+    found = c.with_discovery_images(_pieces(df).withColumn("html", html), BASE).select("report_id", F.explode("discovery_images").alias("d"))
+    return found.select("report_id", "d.fits_path", "d.fits_url")
 
 
 @query("g4_lightcurve", "fx_measurements", "SELECT event_id, 'point' AS kind, CAST(mag AS DOUBLE) AS m, greatest(CAST(err AS DOUBLE), 0.001::DOUBLE) AS e FROM fx_measurements WHERE status <> 'upperlimit' UNION ALL SELECT event_id, 'limit', CAST(replace(mag,'>','') AS DOUBLE), NULL FROM fx_measurements WHERE status = 'upperlimit'")
@@ -483,9 +510,14 @@ def _(df):
     return lightcurve.lightcurve_stats(rows, ["field_no"]).withColumn("mean_seconds", F.round("mean_seconds", 6))
 
 
-@query("k4_lightcurve_lines", "fx_measurements", "SELECT printf('%.5f %.3f', CAST(jd AS DECIMAL(18,5)), CAST(replace(mag,'>','') AS DECIMAL(18,3))) AS line FROM fx_measurements WHERE status='upperlimit'")
+@query("k4_lightcurve_lines", "fx_measurements", "SELECT 'limits' AS file, printf('%.5f %.3f', CAST(jd AS DECIMAL(18,5)), CAST(replace(mag,'>','') AS DECIMAL(18,3))) AS line FROM fx_measurements WHERE status='upperlimit' UNION ALL SELECT 'points', printf('%.5f %.3f %.3f', CAST(jd AS DECIMAL(18,5)), CAST(mag AS DECIMAL(18,3)), round_even(greatest(CAST(err AS DECIMAL(18,6)), 0.001), 3)) FROM fx_measurements WHERE status<>'upperlimit'")
 def _(df):
-    return lightcurve.lightcurve_lines(df)[1]
+    """Both files of a light curve, written and read again."""
+    from nightsift.sources.sinks import write_lightcurve
+
+    path, read = shared(df.sparkSession, "lightcurve"), df.sparkSession.read
+    write_lightcurve(*lightcurve.lightcurve_lines(df), path)
+    return read.text(f"{path}/limits").select(F.lit("limits").alias("file"), F.col("value").alias("line")).union(read.text(f"{path}/points").select(F.lit("points"), "value"))
 
 
 @query("k5_text_table", "fx_measurements", "SELECT rtrim(concat(rpad(CAST(event_id AS VARCHAR), CAST((SELECT max(len(CAST(event_id AS VARCHAR))) FROM fx_measurements) AS INT), ' '), '  ', rpad(mag, CAST((SELECT max(len(mag)) FROM fx_measurements) AS INT), ' '), '  ', status)) AS line FROM fx_measurements")
@@ -493,7 +525,7 @@ def _(df):
     return lightcurve.text_table(df, ["event_id", "mag", "status"])
 
 
-@query("k8_skip_log", "fx_measurements", "SELECT event_id, 'timeout' AS reason, CAST(event_id % 4 AS INT) AS return_code, array_to_string(list_transform(range(greatest(0, event_id % 40 - 20), event_id % 40), lambda i: concat('line ', i)), chr(10)) AS stderr_tail FROM fx_measurements WHERE event_id % 6 = 0 AND event_id % 40 > 0")
+@query("k8_skip_log", "fx_measurements", "SELECT event_id, 'timeout' AS reason, CAST(event_id % 4 AS INT) AS return_code, array_to_string(list_transform(range(greatest(0, event_id % 40 - 20), event_id % 40), lambda i: concat('line ', i)), chr(10)) AS stderr_tail FROM fx_measurements WHERE event_id % 6 = 0")
 def _(df):
     rows = df.selectExpr("event_id", "CASE WHEN event_id % 6 = 0 THEN 'timeout' END AS reason", "CAST(event_id % 4 AS INT) AS return_code", "CASE WHEN event_id % 40 > 0 THEN array_join(transform(sequence(0L, event_id % 40 - 1), i -> concat('line ', i)), '\n') ELSE '' END AS stderr")
     return lightcurve.skip_log(rows)
@@ -606,9 +638,9 @@ def _(df):
     return comets.comet_observations(comets.pair_comet_lines(_comet_lines(df))).drop("ra_hms", "dec_dms")
 
 
-@query("t5_sorted_comets", "fx_comet_lines", f"SELECT name, date_frac, jd, mag FROM ({COMETS}) WHERE dist <= 60 ORDER BY ALL")
+@query("t5_sorted_comets", "fx_comet_lines", f"SELECT name, date_frac, jd, mag, row_number() OVER (ORDER BY name, date_frac, jd, mag) AS n FROM ({COMETS}) WHERE dist <= 60")
 def _(df):
-    return comets.sort_comets(comets.comet_observations(comets.pair_comet_lines(_comet_lines(df)))).select("name", "date_frac", "jd", "mag")
+    return numbered(comets.sort_comets(comets.comet_observations(comets.pair_comet_lines(_comet_lines(df)))).select("name", "date_frac", "jd", "mag"))
 
 
 @query("k3_s11_comet_table", "fx_comet_lines", f"SELECT date_frac, CAST(jd AS DOUBLE) AS jd, CAST(mag AS DOUBLE) AS mag, CAST(pred_mag AS DOUBLE) AS pred_mag, name FROM ({COMETS}) WHERE dist <= 60")
@@ -669,9 +701,7 @@ def _(df):
 
 def _streamed(spark: SparkSession, sf_dir: str, job: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
     """Runs a streaming job over the events table to its end and reads what it wrote."""
-    import uuid
-
-    base = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/nightsift-streams").rstrip("/") + f"/streams/{uuid.uuid4().hex}"
+    base = shared(spark, "streams")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*").withColumn("mtime", F.col("ts").cast("timestamp"))
@@ -720,7 +750,35 @@ def _(events):
 def _(events):
     from nightsift.streaming import jobs
 
-    return jobs.dedup_reports(events.withColumn("k", F.concat_ws("|", "user_id", "event_type")), "k", "100000 minutes").select("user_id", "event_type")
+    return jobs.stream_notices(events, ["user_id", "event_type"]).select("user_id", "event_type")
+
+
+def _derived(events: DataFrame, name: str) -> DataFrame:
+    """A derived input of a stream of events."""
+    events.createOrReplaceTempView("events")
+    return events.sparkSession.sql(SQL[name])
+
+
+@stream_query("r6_bright_alerts", ORACLE_SQL["c14_bright_alerts"])
+def _(events):
+    from nightsift.streaming import jobs
+
+    return jobs.stream_bright_alerts(_derived(events, "fx_candidates"), min_not_found=2).select("event_id", "mag", "not_found")
+
+
+def _r7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comet table that a stream of reports refreshes batch by batch."""
+    from nightsift.streaming import jobs
+
+    base, source = shared(spark, "comets"), f"{sf_dir}/events.parquet"
+    events = spark.readStream.schema(spark.read.parquet(source).schema).parquet(f"{source}*")
+    lines = _comet_lines(_derived(events, "fx_comet_lines"))
+    q = lines.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(lambda d, epoch: jobs.refresh_comets(d, epoch, f"{base}/out")).start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("report_id", "date_frac", "jd", "mag", "dist", "pred_mag", "name")
+
+
+QUERIES["r7_stream_comets"], ORACLE_SQL["r7_stream_comets"] = _r7, ORACLE_SQL["g7_comet_observations"]
 
 
 @stream_query("r1_stream_candidates", "SELECT event_id AS report_id, CAST(p AS INT) AS pos, CASE p WHEN 0 THEN concat('c', event_id) ELSE 'second' END AS id, CASE WHEN p = 0 AND event_id % 5 = 0 THEN 'known_asteroid' ELSE 'new' END AS classification FROM events, (VALUES (0), (1)) AS v(p)")
@@ -744,3 +802,69 @@ def _(events):
 def _(df):
     in_time, late = reports.split_late(_reports(df), NOW, 100000)
     return in_time.select("report_id", F.lit(False).alias("late")).union(late.select("report_id", F.lit(True)))
+
+
+SUMMARY = rf"""SELECT 'Stas' AS camera, regexp_extract(text,'UT (\S+ \d+:\d+:\d+)',1) AS obs_time, field, concat(report_id, '/small_field_preview.png') AS preview, status, concat(report_id, '/') AS log, CASE WHEN status <> 'CAMERA STUCK' THEN list_max(list_transform(regexp_extract_all(text,'image centers ([0-9.]+) deg',1), lambda x: CAST(x AS DOUBLE))) END AS pointing_offset_deg,
+ CASE WHEN status <> 'CAMERA STUCK' AND (status <> 'ERROR' OR v <> 'OK') THEN CAST(regexp_extract_all(text,'limiting magnitude estimate ([0-9.]+)',1)[-1] AS DOUBLE) END AS mag_limit, CASE WHEN status <> 'CAMERA STUCK' THEN list_max(list_transform(regexp_extract_all(text, '(?m)^ ([0-9.]+) pix  fd_', 1), lambda x: CAST(x AS DOUBLE))) END AS fwhm_pix,
+ CASE WHEN status <> 'CAMERA STUCK' THEN concat(coalesce(n_unidentified, 99999), '/', n_candidates) END AS candidates, CASE WHEN v <> 'OK' THEN v WHEN status = 'CAMERA STUCK' THEN NULL WHEN status = 'ERROR' THEN {FIRST.format(TEXT_LINES, 'ERROR')} ELSE {WARN} END AS comments
+FROM (SELECT *, CASE WHEN v <> 'OK' THEN 'ERROR' WHEN contains(text,'ERROR: the camera is stuck') THEN 'CAMERA STUCK' WHEN contains(text,'ERROR') THEN 'ERROR' ELSE 'OK' END AS status FROM (SELECT *, {GATE} AS v FROM (SELECT *, len(list_filter({TEXT_LINES}, lambda x: contains(x,'printCandidateNameWithAbsLink'))) AS n_candidates, TRY_CAST(nullif(regexp_extract(text,'Found (\d+) unidentified',1),'') AS BIGINT) AS n_unidentified, regexp_extract(text,'Processing fields (\S+)',1) AS field FROM fx_report_text)))"""
+
+
+@query("k2_summary_table", "fx_report_text", SUMMARY)
+def _(df):
+    """The summary's 11 columns, written by night and session and read again."""
+    from nightsift.sources.sinks import write_summary
+
+    runs = reports.assign_camera(reports.field_runs(df)).withColumn("session_date", F.lit("20260219")).withColumn("session", F.when(F.col("report_no") % 2 == 0, "morning").otherwise("evening"))
+    path = shared(df.sparkSession, "summary")
+    write_summary(reports.summary_table(runs), path)
+    return df.sparkSession.read.parquet(path).drop("session_date", "session")
+
+
+@query("s1_field_reports", "fx_report_text", "SELECT report_id, md5(replace(text, chr(13), '')) AS text_md5, length(text)::BIGINT AS n_chars FROM fx_report_text")
+def _(df):
+    """Reports as files in a directory each, with two kinds of line ends, read again."""
+    from nightsift.sources.readers import read_field_reports
+
+    spark, path = df.sparkSession, shared(df.sparkSession, "reports")
+    text = F.when(F.col("report_no") % 2 == 0, F.replace("text", F.lit("\n"), F.lit("\r\n"))).otherwise(F.col("text"))
+    df.select("report_id", text.alias("text")).write.partitionBy("report_id").text(path)
+    got = read_field_reports(spark, path, "report_id=*/part-*")
+    got = got.select(F.regexp_replace("report_id", "^report_id=", "").alias("report_id"), F.regexp_replace("text", "\n\\z", "").alias("text"))
+    return got.select("report_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.length("text").cast("long").alias("n_chars"))
+
+
+@query("s3_candidate_documents", "fx_candidates", f"SELECT concat_ws('_', cam_no, event_id // 50) AS source_report, id, {CLASS} AS classification FROM fx_candidates")
+def _(df):
+    """Candidate documents, a file each, read again by the reader of JSON documents."""
+    from nightsift.sources.readers import read_candidate_json
+    from nightsift.sources.sinks import candidate_documents
+
+    spark, path = df.sparkSession, shared(df.sparkSession, "documents")
+    report = F.concat_ws("_", "cam_no", F.floor(F.col("event_id") / 50))
+    docs = candidate_documents(c.classify(df).withColumn("report_id", report).withColumn("pos", F.col("event_id")), None, "2026-01-01T00:00:00Z")
+    docs.write.option("maxRecordsPerFile", 1).json(path)
+    return read_candidate_json(spark, path).select("source_report", F.explode("candidates").alias("x")).select("source_report", "x.id", "x.classification")
+
+
+@query("s12_archive_entries", "fx_archive_entries", "SELECT entry, CAST(row_number() OVER (PARTITION BY archive_id ORDER BY pos) - 1 AS BIGINT) AS pos FROM fx_archive_entries")
+def _(df):
+    """Entries of ZIP archives, made of the derived entries in the tasks and listed again without extraction."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    from nightsift.sources.readers import read_archive_entries
+
+    def zipped(rows: pd.DataFrame) -> pd.DataFrame:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for name in rows.sort_values("pos")["entry"]:
+                z.writestr(name, b"x")
+        return pd.DataFrame({"body": [out.getvalue()]})
+
+    spark, path = df.sparkSession, shared(df.sparkSession, "archives")
+    made = df.select("archive_id", "pos", "entry").groupBy("archive_id").applyInPandas(zipped, "body binary")  # an archive has few entries
+    made.select(F.col("body").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return read_archive_entries(spark, path, glob="*.txt").select("entry", "pos")

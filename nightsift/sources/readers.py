@@ -58,12 +58,14 @@ def read_comet_table(spark: SparkSession, path: str) -> DataFrame:
     return comets.parse_comet_table(spark.read.text(path))
 
 
-def read_archive_entries(spark: SparkSession, path: str, max_bytes: int = 2 << 30) -> DataFrame:
+def read_archive_entries(spark: SparkSession, path: str, max_bytes: int = (2 << 30) - 1, glob: str = "*.{zip,rar}") -> DataFrame:
     """Archive, size_bytes, ext, magic, pos, entry; pos and entry are null for what is no readable ZIP.
 
-    The directory of a ZIP is read without extraction, in the tasks; files above max_bytes are left out by Spark's listing.
+    The directory of a ZIP is read without extraction, in the tasks. Files above max_bytes are listed with their size, and
+    null magic, pos and entry: their content is not read, since Spark reads a binary file whole (2 GB at most).
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{zip,rar}").load(path).where(F.col("length") <= max_bytes)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    small = files.where(F.col("length") <= max_bytes)
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -74,4 +76,7 @@ def read_archive_entries(spark: SparkSession, path: str, max_bytes: int = 2 << 3
                     names = [None]
                 yield pd.DataFrame({"archive": p, "size_bytes": n, "ext": "." + p.rpartition(".")[2].lower(), "magic": bytes(content[:4]), "pos": [None if x is None else i for i, x in enumerate(names)], "entry": names}).astype({"pos": "Int64"})
 
-    return files.select("path", "length", "content").mapInPandas(run, "archive string, size_bytes long, ext string, magic binary, pos long, entry string")
+    read = small.select("path", "length", "content").mapInPandas(run, "archive string, size_bytes long, ext string, magic binary, pos long, entry string")
+    ending = F.concat(F.lit("."), F.lower(F.substring_index("path", ".", -1)))
+    large = files.where(F.col("length") > max_bytes).select("path", "length", ending, F.lit(None).cast("binary"), F.lit(None).cast("long"), F.lit(None).cast("string"))
+    return read.union(large)

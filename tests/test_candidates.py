@@ -131,3 +131,15 @@ def test_rounding(spark):
     assert lightcurve.round_sexagesimal(df, "a").where("a_rounded <> want").count() == 0
     m = spark.createDataFrame([("0.125", "detection"), (">12.345", "upperlimit"), ("nan?", "detection")], "mag string, status string")
     assert [r.mag_shown for r in lightcurve.format_magnitudes(m).collect()] == ["0.12", ">12.34", "nan?"]
+
+
+def test_entities_and_white_space(spark):
+    df = spark.createDataFrame([("a&#176;b &#x27;c&#39; &deg;&mdash;&amp;#65; &#128640; &nope; <b>x</b>", "The object was found in VSX\n\t15\" V1")], "html string, pre string")
+    r = df.select(c.text_of(F.col("html")).alias("t"), c.is_variable(F.col("pre"), "VSX").alias("v")).first()
+    assert r.t == "a°b 'c' °—&#65; \U0001f680 &nope; x" and r.v
+
+
+def test_archive_key_is_passed_on(spark):
+    html = '<a name="1_F_2026-1"><pre>x</pre><form action="/sky_archive/q"><input name="ra" value="1"><input name="dec" value="2"></form><HR>'
+    got = c.parse_candidates(spark.createDataFrame([("r", html)], "report_id string, text string"), "http://b", "my_archive").first()
+    assert got.external_links["my_archive"].endswith("?ra=1&dec=2")

@@ -50,6 +50,22 @@ def test_archives(spark, tmp_path):
     assert {r.archive_id for r in rows.where(~requests.type_ok(F.col("ext"), F.col("magic"))).collect()} == {"broken.zip"}
 
 
+def test_large_archives_are_listed(spark, tmp_path):
+    """Archives above the limit keep a row with their size, so that the size check rejects them."""
+    for name, n in (("small.zip", 1), ("large.zip", 400)):
+        with zipfile.ZipFile(tmp_path / name, "w") as z:
+            for i in range(n):
+                z.writestr(f"{i}.fits", "x" * 100)
+    got = readers.read_archive_entries(spark, str(tmp_path), max_bytes=1000).collect()
+    assert sorted((r.archive.rpartition("/")[2], r.entry, r.ext, r.size_bytes > 1000) for r in got) == [("large.zip", None, ".zip", True), ("small.zip", "0.fits", ".zip", False)]
+
+
+def test_served_url_of_a_long_path(spark):
+    path = "/srv/uploads/" + "d/" * 9000 + "x.fits"
+    url = lightcurve.served_url(spark.createDataFrame([(path,)], "path string"), "/srv/uploads", "http://b").first().url
+    assert url == "http://b/" + path.removeprefix("/srv/uploads/")
+
+
 def test_inventories(spark, tmp_path):
     d = tmp_path / "img_2026-05-12_up"
     d.mkdir()
