@@ -87,7 +87,7 @@ def identify(docs: DataFrame, trainable: Column, id_col: str = "doc_id", text_co
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, code, w, b, trust = sent.value
-        for part in slices(batches, 64):
+        for part in slices(batches, 32):
             first, score, lead = decode(features([x or b"" for x in part.column(2).to_pylist()]) @ w + b, code, trust)
             none = part.column(2).is_null().to_numpy(False)
             names = pa.array([UNKNOWN if x else langs[i] for i, x in zip(first, none, strict=True)], pa.string())

@@ -78,7 +78,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, add = sent.value
-        for part in slices(batches, 64):
+        for part in slices(batches, 16):
             texts = [x or b"" for x in part.column(1).to_pylist()]
             z = features(texts) @ weights + add
             cols = np.array([rules(x) for x in texts], np.int64).reshape(-1, 5).T
