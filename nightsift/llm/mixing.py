@@ -4,8 +4,10 @@ Every document draws an exponential key, scaled by its quality weight (Efraimidi
 better documents come earlier. A source whose target is k times its size and a fraction is taken whole k times; then its
 documents are taken in the order of their keys until the fraction is reached, the last of them in part (its first words).
 
-No source meets in one task: keys fall into ranges ("buckets"), whose sums (at most `buckets` rows a source) are
-prefix-summed by source; documents are ordered only inside their bucket.
+Only the place where each source's fraction ends has to be found: keys fall into ranges ("buckets"), whose sums (at most
+`buckets` rows a source) are prefix-summed by source, and documents are ordered only in the one bucket that the end falls in.
+That place, one row per source, then decides for each document where it stands: texts do not move, and no source meets in
+one task.
 """
 
 from __future__ import annotations
@@ -57,6 +59,22 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
     return rows.select("source", "source_size", F.when(F.col("capped"), F.col("cap")).otherwise(level * F.col("w")).alias("target"))
 
 
+def cut_rows(rows: DataFrame, by_bucket: DataFrame, planned: DataFrame) -> DataFrame:
+    """The row of each source that is taken in part: source, cut (its key, id and size), cut_part (its words taken), peers
+    (rows that tie with it, itself included) and earlier (those of them that come before it).
+
+    Sums of buckets give the bucket that the source's rest ends in; only rows of that one bucket are ordered.
+    """
+    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    b = by_bucket.withColumn("before", F.coalesce(F.sum("bucket_size").over(before), F.lit(0))).join(planned.select("source", "rest"), "source")
+    b = b.where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("bucket_size")))
+    near = rows.join(b.select("source", "bucket", (F.col("rest") - F.col("before")).alias("left")), ["source", "bucket"])
+    order = Window.partitionBy("source").orderBy("key", "id", "size")
+    within = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    near = near.select("source", F.struct("key", "id", "size").alias("cut"), "size", (F.col("left") - within).alias("cut_part"), F.count("*").over(order.rangeBetween(Window.currentRow, Window.currentRow)).alias("peers"), (F.row_number().over(order) - F.rank().over(order)).alias("earlier"))
+    return near.where((F.col("cut_part") >= 0) & (F.col("cut_part") < F.col("size"))).drop("size")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: bool = False, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, buckets: int = 4096) -> DataFrame:
     """Per row: the id, size (words), source_size, target (of its source), taken (words, repeats counted); with keep also row, a struct of all columns.
 
@@ -67,24 +85,28 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).alias("id"), whole_row(docs, keep).alias("row"), source_key(source_col).alias("source"), word_count(text).alias("size"), quality_weight(text, word_count(text)).alias("quality"), uniform(id_col).alias("u"))
     rows = rows.select("id", "row", "source", "size", (-F.log("u") / F.col("quality")).alias("key"))
-    rows = rows.withColumn("bucket", F.floor(buckets * F.col("key") / (1 + F.col("key"))).cast("int"))
-    if not keep:
-        rows = materialize(rows, "mix")
+    narrow = rows.withColumn("bucket", F.floor(buckets * F.col("key") / (1 + F.col("key"))).cast("int"))
+    narrow = materialize(narrow if not keep else narrow.drop("row"), "mix")
 
-    by_bucket = materialize(rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")), "mix-buckets")
+    by_bucket = materialize(narrow.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")), "mix-buckets")
     targets = source_targets(by_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, share, most)
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    b = by_bucket.withColumn("before", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)))
-    b = b.join(targets, "source")
     whole = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(0)
-    b = b.withColumn("epochs", whole).withColumn("rest", F.floor("target") - F.col("epochs") * F.col("source_size"))
-
-    joined = rows.join(b, ["source", "bucket"])  # the window needs the same partitioning, so rows move once
-    order = Window.partitionBy("source", "bucket").orderBy("key", "id", "size")
-    within = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before") - within))
+    planned = targets.withColumn("epochs", whole).withColumn("rest", F.floor("target") - F.col("epochs") * F.col("source_size"))
+    planned = materialize(planned, "mix-targets")
+    cuts = materialize(planned.join(cut_rows(narrow, by_bucket, planned), "source", "left"), "mix-cuts")
+
+    placed = (rows if keep else narrow).join(cuts, "source")  # one row per source: a broadcast if the table is small
+    mine = F.struct("key", "id", "size")
+    tied = mine.eqNullSafe(F.col("cut")) & (F.col("peers") > 1)
+    if cuts.where("peers > 1").isEmpty():
+        placed = placed.withColumn("rank", F.lit(0))
+    else:  # only rows that tie with a cut move
+        rank = F.row_number().over(Window.partitionBy("source").orderBy("size")) - 1
+        placed = placed.where(~tied).withColumn("rank", F.lit(0)).union(placed.where(tied).withColumn("rank", rank))
+    at_cut = F.when(F.col("rank") < F.col("earlier"), F.col("size")).when(F.col("rank") == F.col("earlier"), F.col("cut_part")).otherwise(0)
+    part = F.when(mine < F.col("cut"), F.col("size")).when(mine.eqNullSafe(F.col("cut")), at_cut).otherwise(0)
     taken = (F.col("epochs") * F.col("size") + part).cast("long").alias("taken")
-    return joined.select(F.col("id").alias(id_col), "size", F.col("source_size").cast("long").alias("source_size"), "target", taken, *["row"] * keep)
+    return placed.select(F.col("id").alias(id_col), "size", F.col("source_size").cast("long").alias("source_size"), "target", taken, *["row"] * keep)
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:

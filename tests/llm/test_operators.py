@@ -165,6 +165,14 @@ def test_mixing(docs, empty):
     assert sum(len(WORD.findall(r.text)) for r in mixed.collect()) == sum(taken.values())
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_mixing_ends_among_rows_that_tie(spark, doc_id):
+    docs = spark.createDataFrame([(doc_id, "a b c", "x")] * 101 + [(1, None, "y"), (2, "", "y")], "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    assert Counter(r.taken for r in got) == {6: 50, 4: 1, 3: 50, 0: 2}  # 454 words of 303: once all, then 151
+    assert Counter(r.text for r in mixing.mixed(docs).collect()) == {"a b c": 151, "a": 1}
+
+
 def print_of(text):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     w = WORD.findall(low)
