@@ -66,4 +66,30 @@ spans AS (SELECT k, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kin
 SELECT doc_id, coalesce(n_assign,0) AS n_assign, coalesce(n_access,0) AS n_access, coalesce(n_hex,0) AS n_hex, sha256(coalesce(base,'')) AS base_sha256, coalesce(spans,'') AS spans,
  coalesce(n_live,0) AS n_live, coalesce(n_example,0) AS n_example, coalesce(owners,0) AS owners, coalesce(repos,0) AS repos FROM d LEFT JOIN spans USING (k)"""
 
-ORACLE_SQL: dict[str, str] = {"op2_source_mixing": MIXING, "op3_secret_scans": SECRETS, "op5_warc": WARC, "op8_fingerprints": FINGERPRINTS}
+#: Bits of the failed filters by text; the orders of the five filters; and what each step of each order does to each set of bits.
+AUDIT = rf"""
+WITH d AS (SELECT doc_id, coalesce(source,'') AS part, coalesce(text,'') AS t, regexp_extract_all(coalesce(text,''), '{WORD}') AS w FROM documents),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+e AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+m AS (SELECT part, coalesce(good,false) AS good, coalesce(toxic,false) AS toxic, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+ + 4 * (100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 5 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(d.doc_id > first, false)::INT AS mask
+ FROM d JOIN e USING (t) LEFT JOIN l ON l.doc_id = d.doc_id),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY part, mask),
+x AS (SELECT unnest(['A','B','C','D','E']) AS f, unnest([1,2,4,8,16]) AS bit),
+o AS (SELECT concat(a.f,b.f,c.f,d.f,e.f) AS filter_order, [a.bit,b.bit,c.bit,d.bit,e.bit] AS bits FROM x a, x b, x c, x d, x e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step-1]), 0)::INT AS earlier FROM o, (SELECT unnest(range(1,6)) AS step))
+SELECT part, filter_order, step::INT AS step, coalesce(sum(n) FILTER (mask & (bit | earlier) = 0), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (mask & bit > 0 AND mask & earlier = 0), 0)::BIGINT AS removed,
+ coalesce(sum(n) FILTER (mask & bit > 0 AND mask & earlier > 0), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+ coalesce(sum(good) FILTER (mask & bit > 0 AND mask & earlier = 0), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (mask & bit > 0 AND mask & earlier = 0), 0)::BIGINT AS toxic_lost,
+ coalesce(sum(n * (120 // greatest(bit_count(mask)::INT, 1))) FILTER (mask & bit > 0), 0)::BIGINT AS shapley
+FROM c, s GROUP BY part, filter_order, step"""
+
+LINES = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text,''), chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM d),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x),
+n AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.*, coalesce(keeper <> doc_id, false) AS gone FROM k LEFT JOIN n USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id"""
+
+ORACLE_SQL: dict[str, str] = {"op2_source_mixing": MIXING, "op3_secret_scans": SECRETS, "op5_warc": WARC, "op8_fingerprints": FINGERPRINTS, "op11_filter_audit": AUDIT, "op13_line_dedup": LINES}

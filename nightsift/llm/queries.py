@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .alignment import align
 from .common import crc_mod, table
+from .filter_audit import audit
 from .language import identify
+from .line_dedup import drop_repeated_lines
 from .merkle import fingerprints
 from .mixing import mix
 from .packing import pack
@@ -61,6 +65,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_source_mixing, op3_secret_scans, op4_best_fit_packing, op5_warc, op6_quality_rules, op7_token_counts, op8_fingerprints, op9_language_id, op10_simhash)
+    f.__name__: f for f in (op1_toxicity, op2_source_mixing, op3_secret_scans, op4_best_fit_packing, op5_warc, op6_quality_rules, op7_token_counts, op8_fingerprints, op9_language_id, op10_simhash, op11_filter_audit, op12_tokenizer_alignment, op13_line_dedup)
 }

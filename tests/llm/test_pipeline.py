@@ -12,10 +12,10 @@ from nightsift.llm.common import materialize, table
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op2_source_mixing", "op3_secret_scans", "op5_warc", "op8_fingerprints"])
+@pytest.mark.parametrize("name", ["op2_source_mixing", "op3_secret_scans", "op5_warc", "op8_fingerprints", "op11_filter_audit", "op13_line_dedup"])
 def test_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = entry.queries()[name](spark, SF)
     cols = sorted(df.columns)
@@ -26,7 +26,7 @@ def test_twin(spark, name):
 
 
 def test_all_registered():
-    assert {n.split("_")[0] for n in entry.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in entry.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in entry.queries()
 
 
