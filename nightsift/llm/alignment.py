@@ -103,7 +103,7 @@ class Windows(dict):
     `many` links are counted by distinct ids (a long run of one character has few).
     """
 
-    def __init__(self, bytes_a: list[bytes], bytes_b: list[bytes], most: int = 128 << 20, many: int = 256):
+    def __init__(self, bytes_a: list[bytes], bytes_b: list[bytes], most: int = 96 << 20, many: int = 256):
         super().__init__()
         self.bytes_a, self.bytes_b, self.most, self.many = bytes_a, bytes_b, most, many
         self.size_a, self.size_b = (np.array([len(t) for t in x], np.int64) for x in (bytes_a, bytes_b))
@@ -299,7 +299,7 @@ def align(docs: DataFrame, byte_bpe_path: str, piece_path: str, id_col: str = "d
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         aligner = Aligner(*sent.value)
-        for b in slices(batches, 1024, 2 << 20):
+        for b in slices(batches, 512):
             out = aligner.align([t or "" for t in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0), *out.columns], ["id", *NAMES])
 
