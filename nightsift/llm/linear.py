@@ -93,22 +93,60 @@ def sparse_sample(rows: DataFrame, features: Callable[[list[bytes]], np.ndarray]
     return row, at.flatten().to_numpy(), x.flatten().to_numpy(), {c: got.column(c).to_pylist() for c in labels}
 
 
-def logistic(row: np.ndarray, col: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray, width: int, steps: int = 150, rate: float = 4.0, decay: float = 1e-5) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a logistic regression over sparse rows of length 1 or so; accelerated gradient descent."""
-    w, b = np.zeros(width), 0.0
-    vw, vb, t = w.copy(), b, 1.0
-    share = weight / max(weight.sum(), 1e-12)
-    col, x = col.astype(np.int64), x.astype(float)
-    ends = np.searchsorted(row, np.arange(len(y) + 1))  # rows are in order
+def minimize(f: Callable[[np.ndarray], tuple[float, np.ndarray]], at: np.ndarray, steps: int, tolerance: float = 1e-5, memory: int = 8) -> np.ndarray:
+    """A minimum of a smooth convex function (value and gradient) by a quasi-Newton method with a line search.
+
+    A step is taken only where the value falls, so no run leaves what it started from for something worse.
+    """
+    value, g = f(at)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(steps):
-        z = np.diff(np.r_[0.0, np.cumsum(x * vw[col])][ends]) + vb
-        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
-        new = vw - rate * (np.bincount(col, x * np.repeat(g, np.diff(ends)), minlength=width) + decay * vw)
-        newb = vb - rate * g.sum()
-        t, last = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
-        vw, vb = new + (last - 1) / t * (new - w), newb + (last - 1) / t * (newb - b)
-        w, b = new, newb
-    return w, float(b)
+        if not np.isfinite(value) or np.abs(g).max() < tolerance:
+            break
+        d, back = -g, []
+        for s, y in reversed(pairs):
+            back.append(s @ d / (s @ y))
+            d = d - back[-1] * y
+        if pairs:
+            d = d * (pairs[-1][0] @ pairs[-1][1] / (pairs[-1][1] @ pairs[-1][1]))
+        for (s, y), a in zip(pairs, reversed(back), strict=True):
+            d = d + (a - y @ d / (s @ y)) * s
+        slope = g @ d
+        if slope >= 0:
+            d, slope, pairs = -g, -(g @ g), []
+        size = 1.0
+        for _ in range(40):
+            new = at + size * d
+            new_value, new_g = f(new)
+            if new_value <= value + 1e-4 * size * slope:
+                break
+            size /= 2
+        else:
+            break
+        s, y = new - at, new_g - g
+        if s @ y > 1e-12:
+            pairs = [*pairs, (s, y)][-memory:]
+        at, value, g = new, new_value, new_g
+    return at
+
+
+def logistic(row: np.ndarray, col: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray, width: int, steps: int = 60, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a logistic regression over sparse rows, in order; decay: of the squared weights, which keeps them finite."""
+    share = weight / max(weight.sum(), 1e-12)
+    n = np.bincount(row, minlength=len(y))
+    begins = (np.cumsum(n) - n)[n > 0]
+
+    def loss(at: np.ndarray) -> tuple[float, np.ndarray]:
+        w = at[:-1]
+        z = np.full(len(y), at[-1])
+        if len(begins):
+            z[n > 0] += np.add.reduceat(x * w[col], begins)
+        g = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) * share
+        value = (share * (np.logaddexp(0, z) - y * z)).sum() + decay / 2 * (w @ w)
+        return value, np.r_[np.bincount(col, x * np.repeat(g, n), minlength=width) + decay * w, g.sum()]
+
+    at = minimize(loss, np.zeros(width + 1), steps, 1e-6)
+    return at[:-1], float(at[-1])
 
 
 def logistics(row: np.ndarray, col: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray, width: int, steps: int = 150, rate: float = 4.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
@@ -135,19 +173,41 @@ def logistics(row: np.ndarray, col: np.ndarray, x: np.ndarray, y: np.ndarray, we
     return out, b.astype(float)
 
 
-def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept that make sigmoid(slope * z + intercept) a probability of y (with Platt's soft targets)."""
-    if not len(z):
-        return 1.0, 0.0
+def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float] | None:
+    """Slope and intercept that make sigmoid(slope * z + intercept) a probability of y, with Platt's soft targets.
+
+    None where there are not both classes, or where larger margins do not mean likelier ones.
+    """
     pos, neg = y.sum(), len(y) - y.sum()
+    if not pos or not neg or not np.isfinite(z).all():
+        return None
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    a, c = 1.0, 0.0
-    for _ in range(50):  # Newton's method, slightly damped
-        p = 1 / (1 + np.exp(-np.clip(a * z + c, -30, 30)))
-        g, h = p - target, np.maximum(p * (1 - p), 1e-9)
-        H = np.array([[(h * z * z).sum() + 1e-6, (h * z).sum()], [(h * z).sum(), h.sum() + 1e-6]])
-        step = np.linalg.solve(H, np.array([(g * z).sum() + 1e-6 * a, g.sum()]))
-        a, c = a - step[0], c - step[1]
-        if abs(step).max() < 1e-8:
-            break
-    return float(max(a, 1e-3)), float(c)
+    scale = z.std() or 1.0
+
+    def loss(at: np.ndarray) -> tuple[float, np.ndarray]:
+        m = at[0] * z / scale + at[1]
+        g = 1 / (1 + np.exp(-np.clip(m, -500, 500))) - target
+        return (np.logaddexp(0, m) - target * m).mean() + 1e-6 / 2 * at[0] ** 2, np.array([(g * z).mean() / scale + 1e-6 * at[0], g.mean()])
+
+    a, c = minimize(loss, np.array([0.0, np.log((pos + 1) / (neg + 1))]), 200, 1e-9)
+    return (float(a / scale), float(c)) if a > 0 and np.isfinite([a, c]).all() else None
+
+
+def calibrated(row: np.ndarray, col: np.ndarray, x: np.ndarray, y: np.ndarray, fold: np.ndarray, width: int, **fit: float) -> tuple[np.ndarray, float] | None:
+    """Weights and intercept of calibrated log odds: fitted on all rows; slope and intercept from margins of rows whose fold was left out.
+
+    Every row is held out once, so few labels still give both classes. Folds without which a class is missing give none.
+    None where no calibration can be had.
+    """
+    z, out = np.zeros(len(y)), np.zeros(len(y), bool)
+    for k in np.unique(fold):
+        test = fold == k
+        if 0 < y[~test].sum() < (~test).sum():
+            w, b = logistic(row, col, x, y, (~test).astype(float), width, **fit)
+            z[test] = np.bincount(row, x * w[col], minlength=len(y))[test] + b
+            out |= test
+    line = platt(z[out], y[out])
+    if line is None:
+        return None
+    w, b = logistic(row, col, x, y, np.ones(len(y)), width, **fit)
+    return line[0] * w, line[0] * b + line[1]

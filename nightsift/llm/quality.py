@@ -1,8 +1,8 @@
 """Quality rules with a trained verdict (operator 6).
 
 Fixed base rules on words, lines and repeated three-word windows; what passes them is judged by a logistic regression on
-hashed word 1- and 2-grams and character 3-grams, trained on labelled quality rows, calibrated on a held-out fifth of them, and held
-against a fixed threshold. One narrow pass in Arrow batches; no shuffle of texts.
+hashed word 1- and 2-grams and character 3-grams, trained on labelled quality rows, calibrated on margins of rows that a fit
+did not see (four folds), and held against a fixed threshold. One narrow pass in Arrow batches; no shuffle of texts.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, slices, whole_row
-from .linear import BITS, character_ngrams, logistic, platt, sample_of, sparse_sample, unit, word_ngrams
+from .linear import BITS, calibrated, character_ngrams, sample_of, sparse_sample, unit, word_ngrams
 
 #: Fixed values.
 SYMBOLS = b"#*$%&|<>"
@@ -47,20 +47,19 @@ def rules(text: bytes) -> tuple[int, int, int, int, int]:
     return n, len(text.translate(None, NOT_IN_WORDS)), len(text) - len(text.translate(None, SYMBOLS)), len(lines) - len(set(lines)), repeated
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, bound: int) -> tuple[np.ndarray, float]:
-    """Weights and intercept of the calibrated log odds that a text is of low quality; zeros without both classes."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, bound: int, folds: int = 4) -> tuple[np.ndarray, float]:
+    """Weights and intercept of the calibrated log odds that a text is of low quality.
+
+    Where labels give none (one class alone, or held-out margins that do not tell the classes apart) they are such that
+    nothing is rejected.
+    """
     known = labels.where("quality is not null").groupBy(id_col).agg(F.max("quality").alias("quality"))
     known = sample_of(known.where(F.col(id_col).isNotNull()), id_col, bound)
-    rows = docs.select(id_col, text_col).join(F.broadcast(known), id_col).withColumn("fold", crc_mod(id_col, 5))  # broadcast: at most about `bound` ids
+    rows = docs.select(id_col, text_col).join(F.broadcast(known), id_col).withColumn("fold", crc_mod(id_col, folds))  # broadcast: at most about `bound` ids
     row, col, x, got = sparse_sample(rows, features, ["quality", "fold"], text_col)
-    bad, test = 1.0 - np.array(got["quality"], float), np.array(got["fold"], float) == 0
     width = 2 << BITS
-    if not 0 < bad[~test].sum() < (~test).sum():
-        return np.zeros(width), -9.0
-    w, b = logistic(row, col, x, bad, (~test).astype(float), width)
-    z = np.bincount(row, x * w[col], minlength=len(bad)) + b
-    slope, add = platt(z[test], bad[test]) if 0 < bad[test].sum() < test.sum() else (1.0, 0.0)
-    return slope * w, slope * b + add
+    fit = calibrated(row, col, x, 1.0 - np.array(got["quality"], float), np.array(got["fold"]), width)
+    return fit or (np.zeros(width), -9.0)
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 3000, reject: float = 0.7, least_words: int = 50, keep: bool = False) -> DataFrame:
@@ -68,8 +67,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     labels (id_col, quality): 1 good, 0 low; about `bound` labelled rows at most are used for training, chosen by a hash
     of the id. base_failed: under least_words words, or over half of them in repeated windows. kept: not base_failed and
-    p_low < reject. Null and empty texts have no words and fail; repeated rows stay; without labels of both classes
-    the base rules decide alone. An empty table gives an empty one.
+    p_low < reject. Null and empty texts have no words and fail; repeated rows stay. Where labels do not tell the classes
+    apart (few rows, one class alone) the base rules decide alone, and p_low is near 0. An empty table gives an empty one.
     """
     w, b = train(docs, labels, id_col, text_col, bound)
     sent = docs.sparkSession.sparkContext.broadcast((w.astype(np.float32), b))

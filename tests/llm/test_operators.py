@@ -536,9 +536,9 @@ def test_learning_pieces():
     dense = (r.random((60, 40)) < 0.2).astype(np.float32)
     at = np.nonzero(dense)
     labels = (r.random((60, 3)) < 0.5).astype(np.float32)
-    w, b = linear.logistics(*at, dense[at], labels, np.ones(60), 40, steps=60)
+    w, b = linear.logistics(*at, dense[at], labels, np.ones(60), 40, steps=900, rate=0.4, decay=1e-2)
     for k in range(3):
-        one, add = linear.logistic(*at, dense[at], labels[:, k].astype(float), np.ones(60), 40, steps=60)
+        one, add = linear.logistic(*at, dense[at], labels[:, k].astype(float), np.ones(60), 40, decay=1e-2)
         assert np.allclose(w[:, k], one, atol=1e-3) and abs(b[k] - add) < 1e-3
     z = np.linspace(-3, 3, 400)
     slope, add = linear.platt(z, (np.random.default_rng(0).random(400) < 1 / (1 + np.exp(-2 * z))).astype(float))
