@@ -2,9 +2,10 @@
 
 A character trigram model is counted over the whole corpus. Tokens that look disguised (letters mixed with leetspeak,
 letters repeated, letters spaced out) become lattices of what each character may stand for; Viterbi decoding under the
-model picks the likeliest path. The restored text is scored: words and word beginnings that the labelled rows tie to
-toxic texts (a lexicon learned by likelihood ratio), their weights summed over the whole text, and a logistic regression on
-those sums. Tokens repeat, so each worker keeps the weights of those it met in a bounded memory.
+model picks the likeliest path. The restored text is scored: words and word beginnings, and how often they occur, that the
+labelled rows tie to toxic texts (a lexicon learned by likelihood ratio), their weights summed over the whole text, and a
+logistic regression on those sums, which are taken with lexicons that did not see the text (folds). Tokens repeat, so each
+worker keeps the features of those it met in a bounded memory.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -171,91 +173,128 @@ class Restorer:
         return [self.token(x) for x in SPACED.sub(lambda m: self.spaced(m[0]), text.lower()).split()]
 
 
-class Weights(dict):
-    """Token -> weight of the word behind it: the largest of its features', 0 if the lexicon has none."""
+#: A feature may count for a text that has it so often.
+LEVELS = (1, 2, 3, 4)
+
+
+class Features(dict):
+    """Token -> the lexicon's features of the word behind it."""
 
     def __init__(self, restorer: Restorer, lexicon: dict[str, float], most: int = 500_000):
         super().__init__()
-        self.restorer, self.lexicon, self.most = restorer, lexicon, most
-
-    def __missing__(self, token: str) -> float:
-        w = max(map(self.lexicon.get, parts_of(self.restorer.token(token)), (0.0, 0.0, 0.0)), default=0.0)
+        self.restorer, self.most = restorer, most
+        self.levels: dict[str, list[tuple[int, float]]] = {}
+        for key, w in lexicon.items():
+            f, _, n = key.rpartition(" ")
+            self.levels.setdefault(f, []).append((int(n), w))
+
+    def __missing__(self, token: str) -> tuple[str, ...]:
+        found = tuple(f for f in parts_of(self.restorer.token(token)) if f in self.levels)
         if len(self) >= self.most:
             self.clear()
-        self[token] = w
-        return w
+        self[token] = found
+        return found
 
     def sums(self, text: str) -> tuple[float, ...]:
-        """Of a whole text: 1, log of the summed weights, of their share among words, and the largest weight."""
+        """Of a whole text: 1, log of the summed weights, the largest weight, and whether there are any."""
         text = text.lower()
         if SPACED.search(text):
             text = SPACED.sub(lambda m: self.restorer.spaced(m[0]), text)
-        words = text.split()
-        found = [w for w in map(self.__getitem__, words) if w]
-        total = sum(found)
-        return 1.0, math.log1p(total), math.log1p(100 * total / (len(words) + 20)), max(found, default=0.0)
+        often = Counter(chain.from_iterable(map(self.__getitem__, text.split())))
+        weights = [w for f, n in often.items() for level, w in self.levels[f] if n >= level]
+        return 1.0, math.log1p(sum(weights)), max(weights, default=0.0), float(bool(weights))
+
 
+def likelihood_ratio(a: int, b: int, all_a: int, all_b: int) -> float:
+    """Statistic of the difference between a of all_a and b of all_b."""
+    part = lambda k, n: k * math.log(k / n) if k else 0.0
+    n = all_a + all_b
+    return 2 * (part(a, (a + b) * all_a / n) + part(b, (a + b) * all_b / n) + part(all_a - a, (n - a - b) * all_a / n) + part(all_b - b, (n - a - b) * all_b / n))
 
-def lexicon_of(rows: DataFrame, model: np.ndarray, least: float = 24.0) -> dict[str, float]:
-    """Features that toxic rows (text, toxic) hold more often than others: log odds, if the likelihood ratio is `least`."""
+
+def lexicons_of(rows: DataFrame, model: np.ndarray, folds: int, least: float = 9.0, least_texts: int = 3) -> list[dict[str, float]]:
+    """Log odds of features ("word 1", "^begin 2": that often at least) that toxic rows (text, toxic, fold) hold more than others do.
+
+    Kept are those in `least_texts` toxic texts with a likelihood ratio of `least`. One lexicon for each fold, without its
+    rows, and then that of all rows.
+    """
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, counts = Restorer(sent.value), (Counter(), Counter())
+        restorer, counts = Restorer(sent.value), {}
         for b in slices(batches):
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                counts[toxic].update({f for w in set(restorer.text(text or "")) for f in parts_of(w)} | {""})
-        for toxic, c in enumerate(counts):
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()) if toxic else [0] * len(c), pa.int64()), pa.array([0] * len(c) if toxic else list(c.values()), pa.int64())], ["f", "a", "b"])
-
-    sums = rows.select("text", "toxic").mapInArrow(run, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    sums = sums.where("a >= 4 or f = ''").collect()  # bounded as the sample is
-    all_a, all_b = next(((r.a, r.b) for r in sums if not r.f), (0, 0))
-    out = {}
-    for f, a, b in sums:
-        if f and all_a and all_b and a * all_b > b * all_a:
-            part = lambda k, n: k * math.log(k / n) if k else 0.0
-            none_a, none_b, n = all_a - a, all_b - b, all_a + all_b
-            g = 2 * (part(a, (a + b) * all_a / n) + part(b, (a + b) * all_b / n) + part(none_a, (none_a + none_b) * all_a / n) + part(none_b, (none_a + none_b) * all_b / n))
-            if g >= least:
-                out[f] = max(0.1, math.log((a + 0.5) / (all_a + 1) / ((b + 0.5) / (all_b + 1))))
+            for text, toxic, fold in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                often = Counter(f for w in restorer.text(text or "") for f in parts_of(w))
+                counts.setdefault((toxic, fold), Counter()).update([f"{f} {n}" for f, m in often.items() for n in LEVELS if m >= n] + [""])
+        for (toxic, fold), c in counts.items():
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array([2 * fold + toxic] * len(c), pa.int32()), pa.array(list(c.values()), pa.int64())], ["f", "k", "n"])
+
+    sums = rows.select("text", "toxic", "fold").mapInArrow(run, "f string, k int, n long").groupBy("f").agg(*(F.sum(F.when(F.col("k") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(2 * folds)))
+    sums = sums.where((sum((F.col(f"n{2 * k + 1}") for k in range(folds)), F.lit(0)) >= least_texts) | (F.col("f") == ""))
+    got = {r[0]: np.array(r[1:]).reshape(folds, 2) for r in sums.collect()}  # bounded as the sample is
+    every = got.pop("", np.zeros((folds, 2), int))
+    out = []
+    for left_out in [*range(folds), None]:
+        use = np.array([k != left_out for k in range(folds)])
+        all_b, all_a = every[use].sum(0).tolist()
+        lexicon = {}
+        for f, n in got.items():
+            b, a = n[use].sum(0).tolist()
+            if a >= least_texts and a * all_b > b * all_a and likelihood_ratio(a, b, all_a, all_b) >= least:
+                lexicon[f] = math.log((a + 0.5) / (all_a + 1) / ((b + 0.5) / (all_b + 1)))
+        out.append(lexicon)
     return out
 
 
-def regression(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> np.ndarray:
-    """Coefficients of a logistic regression with a few columns, by damped Newton steps."""
-    c = np.zeros(x.shape[1])
-    for _ in range(60):
+#: What the regression on a text's sums begins from: few labels move it little, many decide it.
+PRIOR = np.array([-4.0, 2.5, 1.0, -5.0])
+
+
+def regression(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, prior: np.ndarray = PRIOR) -> np.ndarray:
+    """Coefficients of a logistic regression with a few columns, drawn towards a prior, by damped Newton steps."""
+    c = prior.copy()
+    for _ in range(80):
         p = 1 / (1 + np.exp(-np.clip(x @ c, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + (ridge + 1e-3) * np.eye(len(c)), x.T @ (p - y) + ridge * c)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(c)), x.T @ (p - y) + ridge * (c - prior))
         c -= step * min(1.0, 4 / max(abs(step).max(), 1e-9))
         if abs(step).max() < 1e-6:
             break
     return c
 
 
-def score(docs: DataFrame, labels: DataFrame, trainable: Column, id_col: str = "doc_id", text_col: str = "text", bound: int = 6000, threshold: float = 0.7) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, trainable: Column, id_col: str = "doc_id", text_col: str = "text", bound: int = 6000, threshold: float = 0.7, folds: int = 4) -> DataFrame:
     """Per row: the id, held_out (not trainable), score (0 to 1), predicted (1 if score >= threshold).
 
     labels (id_col, toxic): about `bound` labelled rows at most whose id is trainable are learned from, chosen by a hash
-    of the id; two thirds give the lexicon, the others the regression. Null texts count as empty; without labels of both
-    classes all scores are 0. Repeated rows stay; an empty table gives an empty one; other columns are not used.
+    of the id; equal texts are one (toxic if one of them is). Null texts count as empty; without labels of both classes all
+    scores are 0. Repeated rows stay; an empty table gives an empty one; other columns are not used.
     """
     context = docs.sparkSession.sparkContext
     known = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & trainable).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
     rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample_of(known, id_col, bound)), id_col)  # broadcast: at most about `bound` ids
-    rows = materialize(rows.select("text", "toxic"), "labelled")
-    first = F.pmod(F.xxhash64("text"), F.lit(3)) != 0  # copies stay together
+    rows = rows.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    rows = materialize(rows.select("text", "toxic", F.pmod("h", F.lit(folds)).cast("int").alias("fold")), "labelled")
     model = character_model(docs, text_col)
-    lexicon = lexicon_of(rows.where(first).groupBy(F.xxhash64("text")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")), model)
-    sent = context.broadcast((model, lexicon))
+    lexicons = lexicons_of(rows, model, folds)
+    sent = context.broadcast((model, lexicons))
+
+    def features(k: int) -> Features:
+        lexicon = sent.value[1][k]
+        return Features(Restorer(sent.value[0], frozenset(f.rpartition(" ")[0] for f in lexicon)), lexicon)
+
+    def unseen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums of labelled texts, with the lexicon of the other folds."""
+        by_fold = [features(k) for k in range(folds)]
+        for b in slices(batches):
+            x = [by_fold[k].sums(t) for t, k in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column(1)], ["x", "toxic"])
 
     def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights(Restorer(sent.value[0], frozenset(sent.value[1])), sent.value[1])
+        whole = features(folds)
         for b in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([weights.sums(t or "") for t in b.column(0).to_pylist()], pa.list_(pa.float64())), *b.columns[1:]], ["x", *b.schema.names[1:]])
+            yield pa.RecordBatch.from_arrays([pa.array([whole.sums(t or "") for t in b.column(0).to_pylist()], pa.list_(pa.float64())), *b.columns[1:]], ["x", *b.schema.names[1:]])
 
-    got = rows.where(~first).select("text", "toxic").mapInArrow(sums, "x array<double>, toxic int").toArrow()
+    got = rows.mapInArrow(unseen, "x array<double>, toxic int").toArrow()
     x, y = np.array(got.column(0).to_pylist() or np.zeros((0, 4))), np.array(got.column(1).to_pylist(), float)
     c = regression(x, y) if 0 < y.sum() < len(y) else np.array([-40.0, 0, 0, 0])
     kind = docs.schema[id_col].dataType.simpleString()

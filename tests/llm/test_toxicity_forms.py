@@ -99,9 +99,19 @@ def test_lexicon_and_model_are_recounted(spark):
     for t, _ in rows:
         x = [0, *(NUMBER.get(c, 0) for c in t), 0]
         counts.update(zip([0, *x], x, [*x[1:], 0], strict=False))
-    lexicon = toxicity.lexicon_of(df, model)
-    want = Counter(f for t, toxic in rows if toxic for f in {f for w in t.split() for f in toxicity.parts_of(w)})
-    assert set(lexicon) == {"zorgul", "^zorgu"} and want["zorgul"] == 30
+    folds = [(t, toxic, i % 4) for i, (t, toxic) in enumerate(rows)]
+    lexicons = toxicity.lexicons_of(spark.createDataFrame(folds, "text string, toxic int, fold int").repartition(3), model, 4)
+    for k, lexicon in enumerate(lexicons):  # recounted by a plain loop, each without its fold
+        seen = [(Counter(f for w in t.split() for f in toxicity.parts_of(w)), toxic) for t, toxic, fold in folds if fold != k]
+        n = [sum(toxic == c for _, toxic in seen) for c in (0, 1)]
+        want = {}
+        for f in {f for often, _ in seen for f in often}:
+            for level in toxicity.LEVELS:
+                b, a = (sum(often[f] >= level for often, toxic in seen if toxic == c) for c in (0, 1))
+                if a >= 3 and a * n[0] > b * n[1] and toxicity.likelihood_ratio(a, b, n[1], n[0]) >= 9:
+                    want[f"{f} {level}"] = np.log((a + 0.5) / (n[1] + 1) / ((b + 0.5) / (n[0] + 1)))
+        assert lexicon.keys() == want.keys() and np.allclose([lexicon[f] for f in want], list(want.values()))
+        assert {"zorgul 1", "^zorgu 1"} <= lexicon.keys()
     both = (counts[1, 2, 3], sum(n for (a, b, _), n in counts.items() if (a, b) == (1, 2)))
     pair = Counter()
     for (_, b, c), n in counts.items():
