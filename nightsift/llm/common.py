@@ -73,6 +73,19 @@ def whole_row(docs: DataFrame, keep: bool) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if keep else F.struct(F.lit(0).alias("_"))
 
 
+def bits_of(numbers: DataFrame, column: str) -> DataFrame:
+    """A set of non-negative whole numbers as bitmaps of 4096 bytes: bucket, bits; one row for each 32768 numbers that has some."""
+    x = F.col(column) + 1  # Spark's buckets begin at 1
+    return numbers.groupBy(F.bitmap_bucket_number(x).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(x)).alias("bits"))
+
+
+def in_bits(number: Column) -> Column:
+    """Condition of a join with such bitmaps: whether the number is in the set."""
+    at = F.bitmap_bit_position(number + 1)
+    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (F.bitmap_bucket_number(number + 1) == F.col("bucket")) & (F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1)
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to at most so many rows and bytes of text (a longer text alone), so that Python objects and
     features are made for few texts at a time. Only string and binary columns of their own count, not those in structs."""
