@@ -6,8 +6,8 @@ by Content-Length (their size is bounded by records a file and bytes a segment);
 began with, ordered by number, checked against the total length, and their chunked framing is decoded. Revisits take
 length and digest from the response that they refer to.
 
-Which of equal payloads is the response is decided on digests and ids alone. Where the digests that occur more than once
-are few enough for a broadcast (Spark checks the size of their table), payloads are never shuffled; else they move once.
+Which of equal payloads is the response is decided on digests, ids and row numbers alone. The rows that are revisits go to
+the tasks as bitmaps, whose size is checked, so payloads are not shuffled; beyond it they move once.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from .common import materialize, scratch, slices
+from .common import bits_of, in_bits, materialize, scratch, slices
 
 END = b"\r\n\r\n"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -81,30 +81,50 @@ def page_of(record: Column, kind: DataType) -> Column:
     return F.when(record.startswith("urn:x-page:v"), F.url_decode(F.regexp_extract(record, r"^urn:x-page:v(.*):\d+$", 1)).cast(kind))
 
 
-def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 1000, date: str = "2026-01-01T00:00:00Z", segment: int = 16384, records_per_file: int = 4000) -> None:
+def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 1000, date: str = "2026-01-01T00:00:00Z", segment: int = 16384, records_per_file: int = 4000, most_bits: int = 32 << 20) -> None:
     """Writes a record per row of pages to gzipped WARC files under path.
 
     Of rows with equal payloads of at least `least` bytes that with the largest id (then the last row) is a response, the
     others revisit it. Null ids come before all others. pages is read twice and must give its rows in the same tasks both
     times, as tables in files do; write any other to a table first.
+
+    Ids, urls and digests are written once; from them alone it is decided which rows revisit which. Payloads stay in their
+    tasks as long as the bitmap of the rows that are revisits has at most `most_bits` bytes, and move once beyond that.
     """
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.monotonically_increasing_id().alias("row"))
-    large = F.octet_length("payload") >= least
-    digests = rows.where(large).groupBy(F.sha1("payload").alias("digest")).agg(F.max(F.struct("id", "row")).alias("first"), F.count("*").alias("n"))
-    first = materialize(digests.where("n > 1").select("digest", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row")), "copies")
-    joined = rows.withColumn("digest", F.sha1("payload")).join(first, "digest", "left")  # a broadcast if the table of copies is small
-    revisit = large & F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row"))
-    joined = joined.select("id", "row", "url", F.when(~revisit, F.col("payload")).alias("payload"), "digest", F.when(revisit, F.col("first_id")).alias("refers"), F.when(revisit, F.col("first_row")).alias("refers_row"))
+    heads = materialize(rows.select("id", "url", "row", F.sha1("payload").alias("digest"), (F.octet_length("payload") >= least).alias("large")), "heads")
+    first = heads.where("large").groupBy("digest").agg(F.max(F.struct("id", "row")).alias("first"), F.count("*").alias("n"))
+    first = materialize(first.where("n > 1").select("digest", "n", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row")), "copies")
+    # a payload of a 10,000th of all copies or more: at most 10,000 are so, and are broadcast; the others fill no task
+    copies = first.agg(F.sum("n")).first()[0] or 0
+    often = F.col("n") * 10_000 >= copies
+    hot = F.broadcast(first.where(often))
+    large = heads.where("large")
+    found = large.join(hot, "digest").unionByName(large.join(hot, "digest", "left_anti").join(first.where(~often), "digest"))
+    revisits = materialize(found.where(F.col("first_row") != F.col("row")).select("id", "row", "url", "digest", F.col("first_id").alias("refers"), F.col("first_row").alias("refers_row")), "revisits")
+    bits = materialize(bits_of(revisits, "row"), "revisit-rows")
+    if bits.count() * 4096 <= most_bits:
+        responses = rows.join(F.broadcast(bits), in_bits(F.col("row")), "left_anti")
+    else:
+        responses = rows.join(revisits.select("row"), "row", "left_anti")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 128):
             out = []
-            for page_id, row, url, payload, digest, refers, refers_row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                out += records(page_id, row, url, payload, digest, None if refers_row is None else record_id(refers, refers_row), date, segment)
+            for page_id, row, url, payload in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                out += records(page_id, row, url, payload, hashlib.sha1(payload).hexdigest(), None, date, segment)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
+
+    def refer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1024):
+            out = []
+            for page_id, row, url, digest, refers, refers_row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                out += records(page_id, row, url, None, digest, record_id(refers, refers_row), date, segment)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
-    out = joined.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
+    joined = responses.select("id", "row", "url", "payload").mapInArrow(run, "record binary").union(revisits.mapInArrow(refer, "record binary"))
+    out = joined.select(F.col("record").cast("string").alias("value"))
     out.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
