@@ -50,18 +50,21 @@ def train(docs: DataFrame, trainable: Column, id_col: str, text_col: str, lang_c
         return [], np.zeros((0, 1)), np.zeros((1 << BITS, 1)), np.zeros(1), np.ones(1)
     each = max(1, bound // len(langs))
     share = F.create_map(*(F.lit(x) for k in langs for x in (k, min(1.0, each / sizes[k]))))
-    row, col, x, got = sparse_sample(rows.where(hashed(id_col) <= share[F.col(lang_col)]), features, [lang_col], text_col)
+    rows = rows.where(hashed(id_col) <= share[F.col(lang_col)]).withColumn("_fold", F.pmod(F.xxhash64(text_col), F.lit(5)))  # copies stay together
+    row, col, x, got = sparse_sample(rows, features, [lang_col, "_fold"], text_col)
     of = np.array([langs.index(k) for k in got[lang_col]], np.int64)
     code = codewords(len(langs))
     share_of = 1 / np.maximum(np.bincount(of, minlength=len(langs)), 1)
-    test = np.arange(len(of)) % 5 == 0
+    test = np.array(got["_fold"], np.int64) == 0
     y = (code[of] > 0).astype(np.float32)
     w, b = logistics(row, col, x, y, np.where(test, 0, share_of[of]), 1 << BITS, steps=80, rate=8)
     z = np.stack([np.bincount(row, x * w[col, k], minlength=len(of)) for k in range(code.shape[1])], 1) + b
     right = ((z > 0) == (y > 0))[test]
     held = (right.sum(0) + 1) / (len(right) + 2)  # held-out accuracy of each bit
     trust = np.maximum(0.0, np.log(held / (1 - held)))
-    return langs, code, w, b, trust / max(trust.sum(), 1e-9)
+    if not trust.any():  # no bit is better than chance on what it did not see: all count alike
+        trust = np.ones(len(trust))
+    return langs, code, w, b, trust / trust.sum()
 
 
 def decode(z: np.ndarray, code: np.ndarray, trust: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
