@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightsift.functions import absolute_url, dms_to_deg, extracted, hms_to_deg, jd_to_iso, number
+from nightsift.functions.html import COMMENT, RAW, attribute, opening, stripped, tags, text_of
 
-#: Named entities of HTML that reports hold (the ampersand comes last).
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&plusmn;", "±"), ("&deg;", "°"), ("&micro;", "µ"), ("&times;", "×"), ("&ndash;", "–"), ("&mdash;", "—"), ("&amp;", "&"))
 #: Fixed values of the report format.
 EXCLUSION_KEYS = {
     "tocp_transients_list.txt": "tocp",
@@ -43,22 +42,6 @@ PHOTOMETRY = r"(?m)^Forced photometry on\s+(\S+)\s+at\s+(\d{1,2}:\d{2}:\d{2}(?:\
 AVERAGE = r"(?m)^Forced photometry reference-image weighted average:\s*(-?\d+\.\d+)\s*\+/-\s*(-?\d+\.\d+)\s*$"
 
 
-def text_of(html: Column) -> Column:
-    """Text without tags; numeric and common named entities decoded (the ampersand last)."""
-    t = F.regexp_replace(html, r"<[^>]+>", "")
-
-    def character(entity: Column) -> Column:
-        digits = F.regexp_extract(entity, r"([0-9A-Fa-f]+);", 1)
-        code = F.when(F.lower(entity).startswith("&#x"), F.conv(digits, 16, 16)).otherwise(F.conv(digits, 10, 16))
-        return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-
-    numeric = F.array_distinct(F.regexp_extract_all(t, F.lit(r"(&#(?:[0-9]{1,6}|[xX][0-9A-Fa-f]{1,5});)"), F.lit(1)))
-    t = F.when(F.contains(t, F.lit("&#")), F.aggregate(numeric, t, lambda out, e: F.replace(out, e, character(e)))).otherwise(t)
-    for entity, c in ENTITIES:
-        t = F.replace(t, F.lit(entity), F.lit(c))
-    return t
-
-
 def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
@@ -75,19 +58,29 @@ def with_candidate_id(df: DataFrame) -> DataFrame:
     return df.withColumn("id", extracted(F.col("html"), r"""<a name=['"]([^'"]+)['"]\s*>"""))
 
 
+def block(html: Column, name: str) -> Column:
+    """The first element of this name that is in no comment or script, from its opening tag to its end; null if there is none."""
+    # of the alternatives only the last has a group
+    found = F.regexp_extract_all(html, F.lit(rf"(?is)(?:{COMMENT}|{RAW}|({opening(name)}.*?(?:</{name}\s*>)))"), F.lit(1))
+    return F.get(F.filter(found, lambda x: x != ""), 0)
+
+
 def with_pre_text(df: DataFrame) -> DataFrame:
-    """The pre block's text; null if there is no block."""
-    block = r"(?is)<pre[^>]*>(.*?)</pre>"
-    return df.withColumn("pre", F.when(F.col("html").rlike(block), text_of(F.regexp_extract("html", block, 1))))
+    """The pre block's text, no-break spaces made spaces for the patterns on it; null if there is no block."""
+    return df.withColumn("pre", F.translate(text_of(block(F.col("html"), "pre")), "\u00a0", " "))
 
 
 def with_field(df: DataFrame) -> DataFrame:
     """From the processing-log link, else from the id."""
     from_id = extracted(F.col("id"), r"^\d+_(?:fd_)?(.+?)_\d{4}-")
     if "html" in df.columns:
-        link = F.trim(text_of(F.regexp_extract("html", r"""(?is)<a[^>]*class=['"][^'"]*field-processing-log-link[^'"]*['"][^>]*>(.*?)</a>""", 1)))
+        ours = "field-processing-log-link"
+        is_log = lambda t: F.contains(t, F.lit(ours)) & F.array_contains(F.split(attribute(t, "class"), r"\s+"), ours)
+        df = df.withColumn("_tag", F.get(F.filter(tags(F.col("html"), "a"), is_log), 0))
+        after = F.substring("html", F.instr("html", F.col("_tag")) + F.length("_tag"), F.length("html"))
+        link = stripped(text_of(F.regexp_extract(after, r"(?is)^(.*?)</a[\s>]", 1)))
         from_id = F.coalesce(F.trim(extracted(link, r"(?s)^(.+?)\s+field processing log$")), from_id)
-    return df.withColumn("field", from_id)
+    return df.withColumn("field", from_id).drop("_tag")
 
 
 def mean_line(pre: Column) -> Column:
@@ -111,7 +104,7 @@ def with_separation(df: DataFrame) -> DataFrame:
 
 def with_cutouts(df: DataFrame, base_url: str) -> DataFrame:
     """Reference and discovery cut-outs of this id; the last of a name wins; null if there are none."""
-    sources = F.regexp_extract_all("html", F.lit(r"""(?is)<img[^>]*?\ssrc=['"]([^'"]+)['"]"""), F.lit(1))
+    sources = F.filter(F.transform(tags(F.col("html"), "img"), lambda t: attribute(t, "src")), lambda x: x.isNotNull())
     name = lambda x: F.when(x.endswith("_reference.png"), F.lit("reference")).otherwise(F.concat(F.lit("discovery"), extracted(x, r"_discovery(\d+)\.png$")))
     pairs = F.filter(F.transform(F.filter(sources, lambda x: F.contains(x, F.col("id"))), lambda x: F.struct(name(x).alias("k"), absolute_url(x, base_url).alias("v"))), lambda p: p["k"].isNotNull())
     df = df.withColumn("_pairs", pairs)  # a column of its own is evaluated once
@@ -126,12 +119,12 @@ def last_map(pairs: Column) -> Column:
 
 def with_discovery_images(df: DataFrame, base_url: str) -> DataFrame:
     """Rows of the first table (header skipped, at least seven cells), with their preview links by base name."""
-    table = F.regexp_extract("html", r"(?is)<table[^>]*>(.*?)</table>", 1)
-    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)(?=<tr|\z)"), F.lit(1))
-    cells = F.transform(F.filter(rows, lambda _, i: i > 0), lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<td[^>]*>(.*?)(?=<td|</td|</tr|\z)"), F.lit(1)), lambda c: F.trim(text_of(c))))
+    table = F.regexp_extract(block(F.col("html"), "table"), rf"(?is)^{opening('table')}(.*)</table\s*>$", 1)
+    rows = F.regexp_extract_all(table, F.lit(rf"(?is){opening('tr')}(.*?)(?=<tr[\s/>]|\z)"), F.lit(1))
+    cells = F.transform(F.filter(rows, lambda _, i: i > 0), lambda r: F.transform(F.regexp_extract_all(r, F.lit(rf"(?is){opening('td')}(.*?)(?=<td[\s/>]|</td|</tr|\z)"), F.lit(1)), lambda c: stripped(text_of(c))))
     position = r"^(\d{1,2}:\d{2}:\d{2}(?:\.\d+)?)\s+([+\-]\d{1,2}:\d{2}:\d{2}(?:\.\d+)?)"
     frame = F.regexp_extract("html", r"""(?is)<div[^>]*id=['"]fullframepreview_[^>]*>(.*?)</div>""", 1)
-    anchors = F.transform(F.regexp_extract_all(frame, F.lit(r"(?is)(<a\s.*?</a>)"), F.lit(1)), lambda a: F.struct(F.trim(text_of(a)).alias("t"), extracted(a, r"""(?i)href=['"]([^'"]+)['"]""").alias("h")))
+    anchors = F.transform(F.regexp_extract_all(frame, F.lit(rf"(?is)({opening('a')}.*?</a\s*>)"), F.lit(1)), lambda a: F.struct(stripped(text_of(a)).alias("t"), attribute(a, "href").alias("h")))
     link = lambda path: absolute_url(F.get(F.filter("_anchors", lambda a: a["t"] == F.substring_index(path, "/", -1)), 0)["h"], base_url)
 
     def row(c: Column) -> Column:
@@ -191,15 +184,22 @@ def with_crossmatches(df: DataFrame) -> DataFrame:
 
 
 def with_forced_photometry(df: DataFrame) -> DataFrame:
-    """Rows of each image and the reference average; null if there is neither."""
-    # a line is matched once more, to part its groups by a character that texts do not hold
-    one = PHOTOMETRY.removeprefix("(?m)")
-    parts = F.transform(F.regexp_extract_all("pre", F.lit(PHOTOMETRY), F.lit(0)), lambda x: F.split(F.regexp_replace(x, one, "$1\u0001$2\u0001$3\u0001$4\u0001$5"), "\u0001"))
-    rows = F.transform(parts, lambda p: F.struct(p[0].alias("wcs_fits"), p[1].alias("position_hms"), number(p[2]).alias("mag"), number(p[3]).alias("mag_err"), p[4].alias("flag")))
-    average = F.when(F.col("pre").rlike(AVERAGE), F.struct(number(F.regexp_extract("pre", AVERAGE, 1)).alias("mag"), number(F.regexp_extract("pre", AVERAGE, 2)).alias("mag_err")))
-    df = df.withColumn("_rows", rows).withColumn("_average", average)
-    some = F.size("_rows") > 0
-    return df.withColumn("forced_photometry", F.when(some | F.col("_average").isNotNull(), F.struct(F.when(some, F.col("_rows")).alias("per_image"), F.col("_average").alias("reference_weighted_avg")))).drop("_rows", "_average")
+    """Rows of each image and the reference average; null if there is neither.
+
+    Lines are split once and those that begin like a row or an average are kept, so patterns see few lines.
+    """
+    lines = F.filter(lines_of(F.col("pre")), lambda x: x.startswith("Forced photometry "))
+    one, average = PHOTOMETRY.removeprefix("(?m)"), AVERAGE.removeprefix("(?m)")
+    # a line that matches is parted by a character that texts do not hold; one that does not stays whole
+    parts = F.transform("_lines", lambda x: F.split(F.regexp_replace(x, one, "$1\u0001$2\u0001$3\u0001$4\u0001$5"), "\u0001"))
+    row = lambda p: F.struct(p[0].alias("wcs_fits"), p[1].alias("position_hms"), number(p[2]).alias("mag"), number(p[3]).alias("mag_err"), p[4].alias("flag"))
+    stated = F.get(F.filter("_lines", lambda x: x.startswith("Forced photometry reference")), 0)
+    stated = F.split(F.regexp_replace(stated, average, "$1\u0001$2"), "\u0001")
+    df = df.withColumn("_lines", lines)
+    df = df.withColumn("_rows", F.transform(F.filter(parts, lambda p: F.size(p) == 5), row)).withColumn("_average", stated)
+    some, known = F.size("_rows") > 0, F.size("_average") == 2
+    found = F.when(known, F.struct(number(F.col("_average")[0]).alias("mag"), number(F.col("_average")[1]).alias("mag_err")))
+    return df.withColumn("forced_photometry", F.when(some | known, F.struct(F.when(some, F.col("_rows")).alias("per_image"), found.alias("reference_weighted_avg")))).drop("_lines", "_rows", "_average")
 
 
 def link_key(href: Column, rules: tuple[tuple[str, str], ...] = LINK_RULES) -> Column:
@@ -219,11 +219,12 @@ def first_links(hrefs: Column, base_url: str, rules: tuple[tuple[str, str], ...]
 
 def with_external_links(df: DataFrame, base_url: str, archive_key: str = "sky_archive") -> DataFrame:
     """Services by link, and two archives by form (hidden values become a query string)."""
-    hrefs = F.regexp_extract_all("html", F.lit(r"""(?is)<a[^>]*?\shref=['"]([^'"]*)['"]"""), F.lit(1))
+    hrefs = F.filter(F.transform(tags(F.col("html"), "a"), lambda t: attribute(t, "href")), lambda x: x.isNotNull())
     asas = extracted(F.col("html"), r"""(?is)<form[^>]*action=['"]([^'"]*astrouw\.edu\.pl[^'"]*)['"]""")
     form = F.regexp_extract("html", r"""(?is)(<form[^>]*action=['"][^'"]*sky_archive[^'"]*['"].*?</form>)""", 1)
     action = extracted(form, r"""(?is)action=['"]([^'"]*)['"]""")
-    inputs = F.transform(F.regexp_extract_all(form, F.lit(r"(?is)(<input[^>]*>)"), F.lit(1)), lambda x: F.struct(extracted(x, r"""(?i)\sname=['"]([^'"]+)['"]""").alias("k"), F.when(x.rlike(r"""(?i)\svalue=['"]"""), F.regexp_extract(x, r"""(?i)\svalue=['"]([^'"]*)['"]""", 1)).alias("v")))
+    blank = lambda x: F.coalesce(attribute(x, "value"), F.when(x.rlike(r"""(?i)\svalue\s*=\s*(?:""|'')"""), F.lit("")))
+    inputs = F.transform(tags(form, "input"), lambda x: F.struct(attribute(x, "name").alias("k"), blank(x).alias("v")))
     inputs = F.filter(inputs, lambda p: p["k"].isNotNull() & p["v"].isNotNull())
     names = F.transform(inputs, lambda p: p["k"])
     query = F.array_join(F.transform(F.filter(inputs, lambda p: p["k"] != "submit"), lambda p: F.concat(p["k"], F.lit("="), F.replace(F.url_encode(p["v"]), F.lit("+"), F.lit("%20")))), "&")
@@ -240,8 +241,8 @@ def with_report_stubs(df: DataFrame) -> DataFrame:
 
     def pres(name: str) -> Column:
         start = F.greatest(F.instr("html", F.concat(F.lit(f"id='{name}_"), "id", F.lit("'"))), F.instr("html", F.concat(F.lit(f'id="{name}_'), "id", F.lit('"'))))
-        block = F.when(start > 0, F.split_part(F.substring("html", start, F.length("html")), F.lit("</div>"), F.lit(1)))
-        return F.transform(F.regexp_extract_all(block, F.lit(r"(?is)<pre[^>]*>(.*?)</pre>"), F.lit(1)), text_of)
+        part = F.when(start > 0, F.split_part(F.substring("html", start, F.length("html")), F.lit("</div>"), F.lit(1)))
+        return F.transform(F.regexp_extract_all(part, F.lit(rf"(?is)({opening('pre')}.*?</pre\s*>)"), F.lit(1)), text_of)
 
     mpc, tocp, var = pres("mpcstub"), F.get(pres("tocpstub"), 0), F.get(pres("varstarstub"), 0)
     each = F.filter(F.split(F.trim(F.get(mpc, 1), F.lit(" \n")), "\n"), lambda x: F.trim(x) != "")

@@ -60,22 +60,21 @@ def _newest(key: str) -> Column:
     return F.row_number().over(Window.partitionBy(key).orderBy(stamp.desc_nulls_last(), F.col("dir_date").desc(), F.substring_index("path", "/", 1).desc(), name))
 
 
-def newest_images(df: DataFrame, limit: str = "images") -> DataFrame:
-    """The newest images of each target by the time in the name, with the number there were and whether it was capped.
+def newest_images(targets: DataFrame, fields: DataFrame, images: DataFrame, limit: str = "images", most: int = 50) -> DataFrame:
+    """The newest images of each target's fields by the time in the name: targets' columns, the images', rank, total, capped.
 
-    Images without a time come last. The count is joined as an aggregate; the ranked window keeps only the first ranks
-    of each task before its shuffle.
+    targets (target_id, limit of at most `most`), fields (target_id, field; made distinct here), images (field, path,
+    dir_date, ...). The newest of several fields are among the newest of each, so each field's `most` newest are kept and
+    merged per target: images are never joined to targets. Ranks are cut to `most` in each task before both shuffles. Images
+    without a time in their name come last; total: images of all the target's fields; capped: there were more than the limit.
     """
-    total = df.groupBy("target_id").agg(F.count("*").alias("total"))
-    ranked = df.withColumn("rank", _newest("target_id")).where(F.col("rank") <= 50).where(F.col("rank") <= F.col(limit))
-    return ranked.join(total, "target_id").withColumn("capped", F.col("total") > F.col(limit))
-
-
-def newest_of_fields(targets: DataFrame, images: DataFrame, limit: str = "images") -> DataFrame:
-    """W2 where each target has one field: images are ranked and counted once per field (limits are clamped to 50), then joined to its targets."""
-    total = images.groupBy("field").agg(F.count("*").alias("total"))
-    first = images.withColumn("rank", _newest("field")).where(F.col("rank") <= 50)
-    out = targets.join(first.join(total, "field"), "field").where(F.col("rank") <= F.col(limit))
+    pairs = fields.select("target_id", "field").distinct()
+    best = images.withColumn("rank", _newest("field")).where(F.col("rank") <= most).drop("rank")
+    count = images.groupBy("field").agg(F.count("*").alias("n"))
+    total = pairs.join(count, "field").groupBy("target_id").agg(F.sum("n").alias("total"))
+    found = pairs.join(best, "field").withColumn("rank", _newest("target_id")).where(F.col("rank") <= most)
+    mine = targets.drop("field") if "field" in targets.columns else targets
+    out = mine.join(found, "target_id").where(F.col("rank") <= F.col(limit)).join(total, "target_id")
     return out.withColumn("capped", F.col("total") > F.col(limit))
 
 

@@ -84,21 +84,55 @@ def normalize_targets(df: DataFrame, text_col: str = "text") -> DataFrame:
     return df.withColumn("reason", reason).withColumn("coords", F.when(reason.isNull(), coords))
 
 
-def rolling_count(df: DataFrame, key: str, ts: str, seconds: int = 3600) -> DataFrame:
-    """Events of the key in the trailing seconds, this one and others at its time included."""
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    return df.withColumn("in_window", F.count("*").over(Window.partitionBy(key).orderBy(at).rangeBetween(-seconds * 1_000_000, 0)))
+def _micros(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
+
+
+def rolling_count(df: DataFrame, key: str, ts: str, seconds: int = 3600, windows_a_slice: int = 4) -> DataFrame:
+    """Events of the key in the trailing seconds, this one and others at its time included.
+
+    Time is cut into slices of some windows. A slice is counted with a halo: the rows of one window before it, which go to
+    it as well and are dropped after counting. So no task needs a whole key, and a row is held twice at most. Rows without a
+    time are counted with each other, per key.
+    """
+    span = seconds * 1_000_000
+    length = windows_a_slice * span
+    own = F.floor(F.col("_t") / length)
+    next_one = F.when(F.col("_t") >= (own + 1) * length - span, F.struct((own + 1).alias("slice"), F.lit(True).alias("halo")))
+    places = F.filter(F.array(F.struct(own.alias("slice"), F.lit(False).alias("halo")), next_one), lambda x: x.isNotNull())
+    rows = df.withColumn("_t", _micros(ts)).withColumn("_at", F.explode(places))
+    trailing = Window.partitionBy(key, "_at.slice").orderBy("_t").rangeBetween(-span, 0)
+    return rows.withColumn("in_window", F.count("*").over(trailing)).where(~F.col("_at.halo")).drop("_t", "_at")
+
+
+def stretches(df: DataFrame, key: str, t: str, span: int) -> DataFrame:
+    """key, _slice, _stretch: time is cut into slices of `span` microseconds, and a key's slices into stretches without a gap of `span`.
+
+    A gap so long always reaches over the end of a slice, so the first and last times of slices show all of them; only these
+    are ranked, not rows.
+    """
+    slices = df.groupBy(key, F.floor(F.col(t) / span).alias("_slice")).agg(F.min(t).alias("lo"), F.max(t).alias("hi"))
+    by_time = Window.partitionBy(key).orderBy("_slice")
+    gap = F.coalesce(F.col("lo") - F.lag("hi").over(by_time) >= span, F.lit(True))
+    begun = slices.withColumn("_gap", gap.cast("int"))
+    return begun.select(key, "_slice", F.sum("_gap").over(by_time.rowsBetween(Window.unboundedPreceding, 0)).alias("_stretch"))
 
 
 def admit(df: DataFrame, key: str, ts: str, order: str, limit: int = 5, seconds: int = 3600) -> DataFrame:
     """Greedy admission: accepted if fewer than `limit` of the key's requests were accepted in the seconds before.
 
-    A refused request does not count, so each decision needs those before it. Rows are sorted within partitions by key, time
-    and order, and decided as they stream by; only the times of at most `limit` accepted requests are held.
+    A refused request does not count, so each decision needs those before it, but none from before a gap of the whole time:
+    a key is cut at its gaps, and the stretches between them are decided in tasks of their own (a stretch without a gap
+    stays in one). Rows are sorted within partitions by key, stretch, time and order, and decided as they stream by; only the
+    times of at most `limit` accepted requests are held. Requests without a time are accepted and do not count.
     """
     span = seconds * 1_000_000
     names = [order, *(c for c in df.columns if c != order)]
-    rows = df.select(*names, F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"))
+    rows = df.select(*names, _micros(ts).alias("_t"))
+    timed = rows.where("_t is not null").withColumn("_slice", F.floor(F.col("_t") / span))
+    marks = stretches(timed, key, "_t", span).withColumnRenamed(key, "_key")
+    timed = timed.join(marks.withColumnRenamed("_slice", "_s"), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_s")))
+    timed = timed.select(*names, "_t", "_stretch")
     key_at, type_of = names.index(key), {f.name: f for f in df.schema}
     schema = StructType([*(type_of[n] for n in names), StructField("accepted", BooleanType())])
 
@@ -106,18 +140,19 @@ def admit(df: DataFrame, key: str, ts: str, order: str, limit: int = 5, seconds:
         last, held = object(), deque()
         for b in batches:
             out = []
-            for k, t in zip(b.column(key_at).to_pylist(), b.column(len(names)).to_pylist(), strict=True):
-                if k != last:
-                    last = k
+            for k, t, s in zip(*(b.column(i).to_pylist() for i in (key_at, len(names), len(names) + 1)), strict=True):
+                if (k, s) != last:
+                    last = (k, s)
                     held.clear()
-                while t is not None and held and held[0] <= t - span:
+                while held and held[0] <= t - span:
                     held.popleft()
                 out.append(len(held) < limit)
-                if out[-1] and t is not None:
+                if out[-1]:
                     held.append(t)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.bool_())], [*names, "accepted"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(out, pa.bool_())], [*names, "accepted"])
 
-    return rows.repartition(key).sortWithinPartitions(key, "_t", order).mapInArrow(decide, schema)
+    decided = timed.repartition(key, "_stretch").sortWithinPartitions(key, "_stretch", "_t", order).mapInArrow(decide, schema)
+    return decided.union(rows.where("_t is null").select(*names, F.lit(limit > 0).alias("accepted")))
 
 
 def cached_archive(requests: DataFrame, inventory: DataFrame) -> DataFrame:

@@ -40,13 +40,29 @@ def shared(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the driver and all executors share; only a local session may do without one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/nightsift/{name}-{uuid.uuid4().hex}"
 
 
+def write_files(df: DataFrame, folder: str) -> None:
+    """Writes rows (file, text) as files of these names under a folder, in the tasks; a repeated task writes the same."""
+    from nightsift.sources.revisions import opened
+
+    def run(batches):
+        for b in batches:
+            for name, text in zip(b["file"], b["text"], strict=True):
+                store, path = opened(f"{folder}/{name}")
+                store.create_dir(path.rpartition("/")[0])
+                with store.open_output_stream(path) as f:
+                    f.write(text.encode())
+            yield b[["file"]]
+
+    df.select("file", "text").mapInPandas(run, "file string").write.format("noop").mode("overwrite").save()
+
+
 def numbered(df: DataFrame, name: str = "n") -> DataFrame:
     """df with each row's place, from 1, in the order that df has: written in order, then counted by task."""
     path = shared(df.sparkSession, "ordered")
@@ -171,9 +187,15 @@ def _(df):
     return c.report_errors(df.withColumn("pre", F.when(F.col("event_id") % 997 != 0, F.col("pre"))), ["user_id"])
 
 
-@query("a13_reference_average", "fx_candidates", r"SELECT event_id, CAST(NULL AS DOUBLE) AS stated_avg, round(CAST(regexp_extract(pre,':\s+(-?\d+\.\d+) \+/- ',1) AS DOUBLE),6) AS computed_avg FROM fx_candidates")
+STATED = "concat(CAST(10 + event_id % 7 AS STRING), '.', lpad(CAST(event_id % 100 AS STRING),2,'0'))"
+
+
+@query("a13_reference_average", "fx_candidates", rf"SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN CAST({STATED} AS DOUBLE) END AS stated_avg, round(CAST(regexp_extract(pre,':\s+(-?\d+\.\d+) \+/- ',1) AS DOUBLE),6) AS computed_avg FROM fx_candidates")
 def _(df):
-    return c.reference_average(c.with_forced_photometry(df)).select("event_id", "stated_avg", F.round("computed_avg", 6).alias("computed_avg"))
+    """Most candidates state an average after their images' rows."""
+    line = F.concat(F.lit("\nForced photometry reference-image weighted average:  "), F.expr(STATED), F.lit(" +/- 0.02"))
+    stated = df.withColumn("pre", F.concat("pre", F.when(F.col("event_id") % 4 != 0, line).otherwise("")))
+    return c.reference_average(c.with_forced_photometry(stated)).select("event_id", "stated_avg", F.round("computed_avg", 6).alias("computed_avg"))
 
 
 @query("w8_last_by_key", "fx_candidates", "SELECT user_id, arg_max(id, event_id) AS id FROM fx_candidates GROUP BY user_id")
@@ -197,6 +219,20 @@ def _(df):
     return reports.parse_session_name(named, "name").select("event_id", "date_utc", "session", "camera")
 
 
+@query("s2_combined_reports", "fx_report_text", "SELECT CASE WHEN report_no % 9 = 0 THEN concat('list_', report_no, '.html') ELSE concat('202602', lpad(CAST(1 + report_no % 28 AS VARCHAR), 2, '0'), CASE WHEN report_no % 2 = 0 THEN '_Morning_' ELSE '_evening_' END, 'Cam', report_no, CASE WHEN report_no % 3 = 0 THEN '_filtered' ELSE '' END, '.html') END AS report_id, CASE WHEN report_no % 9 > 0 THEN concat('2026-02-', lpad(CAST(1 + report_no % 28 AS VARCHAR), 2, '0')) END AS date_utc, CASE WHEN report_no % 9 > 0 THEN CASE WHEN report_no % 2 = 0 THEN 'morning' ELSE 'evening' END END AS session, CASE WHEN report_no % 9 > 0 THEN concat('Cam', report_no) END AS camera, md5(text) AS text_md5 FROM fx_report_text")
+def _(df):
+    """Combined reports as files, read again by the source, which takes the session from their names."""
+    from nightsift.sources.readers import read_combined_reports
+
+    spark, path, n = df.sparkSession, shared(df.sparkSession, "combined"), F.col("report_no")
+    day = F.lpad((1 + n % 28).cast("string"), 2, "0")
+    name = F.concat(F.lit("202602"), day, F.when(n % 2 == 0, "_Morning_").otherwise("_evening_"), F.lit("Cam"), n.cast("string"), F.when(n % 3 == 0, "_filtered").otherwise(""), F.lit(".html"))
+    name = F.when(n % 9 == 0, F.concat(F.lit("list_"), n.cast("string"), F.lit(".html"))).otherwise(name)
+    write_files(df.select(name.alias("file"), F.replace("text", F.lit("\n"), F.lit("\r\n")).alias("text")), path)
+    got = read_combined_reports(spark, path)
+    return got.select("report_id", "date_utc", "session", "camera", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 REPORT = "report_id, cam, field, mtime, n_candidates, n_unidentified, complete, size_bytes"
 
 
@@ -267,14 +303,17 @@ def _(load):
     return reports.combine_session(cands, r).select("event_id", "report_id")
 
 
-@query("k6_ledger", "fx_field_reports", "SELECT report_id, count(*) AS n FROM (SELECT DISTINCT report_id, n_candidates % 2 FROM fx_field_reports WHERE complete) GROUP BY report_id")
+@query("k6_ledger", "fx_field_reports", "SELECT report_id, max(n_candidates % 2 = 0) AS first_night, count(DISTINCT report_id) AS n FROM fx_field_reports WHERE complete GROUP BY report_id")
 def _(df):
-    from nightsift.sources.sinks import append_ledger
+    """Two nights are combined, the first of them twice; the second has the first's reports again."""
+    from nightsift.sources.sinks import combine_once, read_ledger
 
-    path = shared(df.sparkSession, "ledger")
-    for k in (0, 1):  # two nights
-        append_ledger(df.where("complete").where(F.col("n_candidates") % 2 == k), path)
-    return df.sparkSession.read.parquet(path).groupBy("report_id").agg(F.count("*").alias("n"))
+    spark, base = df.sparkSession, shared(df.sparkSession, "ledger")
+    done = _reports(df).where("complete").select("report_id", "mtime", "n_candidates")
+    for night, rows in (("n0", done.where("n_candidates % 2 = 0")), ("n1", done), ("n0", done.where("n_candidates % 2 = 0"))):
+        combine_once(rows, f"{base}/combined", f"{base}/ledger", night)
+    combined = spark.read.parquet(f"{base}/combined").groupBy("report_id").agg(F.max(F.col("batch") == "n0").alias("first_night"), F.count("*").alias("n"))
+    return combined.join(read_ledger(spark, f"{base}/ledger"), "report_id").select("report_id", "first_night", "n")
 
 
 @query("k7_night_index", "fx_field_reports", "SELECT session_date, session, camera, p AS product, concat(session_date,'_',session,'_',camera,s,'.html') AS file, replace(concat(session_date,'_',session,'_',camera,s),'_',' ') AS display FROM (SELECT DISTINCT strftime(mtime,'%Y%m%d') AS session_date, 'morning' AS session, cam AS camera FROM fx_field_reports), (VALUES ('combined',''),('filtered','_filtered'),('summary','_summary')) AS v(p, s)")
@@ -460,9 +499,11 @@ def _(load):
     return lightcurve.within_days(_targets(load).join(load("fx_images"), "field"), date(2024, 1, 20)).select("target_id", "event_id")
 
 
-@query("w2_newest_images", "", rf"SELECT target_id, event_id, CAST(n AS INT) AS rank, total, total > images AS capped FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY regexp_extract(path,'(\d{{4}}-\d{{2}}-\d{{2}}_\d{{2}}-\d{{2}}-\d{{2}})',1) DESC, dir_date DESC, split_part(path,'/',1) DESC, split_part(path,'/',2)) AS n, count(*) OVER (PARTITION BY target_id) AS total FROM ({PAIRED})) WHERE n <= images")
+@query("w2_newest_images", "", rf"SELECT target_id, event_id, CAST(n AS INT) AS rank, total, total > images AS capped FROM (SELECT target_id, event_id, row_number() OVER (PARTITION BY target_id ORDER BY regexp_extract(path,'(\d{{4}}-\d{{2}}-\d{{2}}_\d{{2}}-\d{{2}}-\d{{2}})',1) DESC, dir_date DESC, split_part(path,'/',1) DESC, split_part(path,'/',2)) AS n, count(*) OVER (PARTITION BY target_id) AS total, least(greatest(max_images,1),50) AS images FROM (SELECT DISTINCT target_id, field FROM ({FIELDS})) JOIN fx_images USING (field) JOIN (SELECT target_id, max_images FROM fx_targets) USING (target_id)) WHERE n <= images")
 def _(load):
-    return lightcurve.newest_of_fields(_targets(load), load("fx_images")).select("target_id", "event_id", "rank", "total", "capped")
+    fields = coverage.with_image_field(_cover(load))
+    got = lightcurve.newest_images(lightcurve.clamp_targets(load("fx_targets")), fields, load("fx_images"))
+    return got.select("target_id", "event_id", "rank", "total", "capped")
 
 
 @query("j6_attach_measurements", "", "SELECT i.event_id, coalesce(m.status,'skipped') AS status, m.mag FROM fx_images i LEFT JOIN fx_measurements m USING (event_id)")
@@ -528,7 +569,11 @@ def _(df):
 @query("k8_skip_log", "fx_measurements", "SELECT event_id, 'timeout' AS reason, CAST(event_id % 4 AS INT) AS return_code, array_to_string(list_transform(range(greatest(0, event_id % 40 - 20), event_id % 40), lambda i: concat('line ', i)), chr(10)) AS stderr_tail FROM fx_measurements WHERE event_id % 6 = 0")
 def _(df):
     rows = df.selectExpr("event_id", "CASE WHEN event_id % 6 = 0 THEN 'timeout' END AS reason", "CAST(event_id % 4 AS INT) AS return_code", "CASE WHEN event_id % 40 > 0 THEN array_join(transform(sequence(0L, event_id % 40 - 1), i -> concat('line ', i)), '\n') ELSE '' END AS stderr")
-    return lightcurve.skip_log(rows)
+    from nightsift.sources.sinks import write_skips
+
+    path = shared(df.sparkSession, "skips")
+    write_skips(lightcurve.skip_log(rows), path)
+    return df.sparkSession.read.schema("event_id long, reason string, return_code int, stderr_tail string").json(path)
 
 
 @query("g8_served_url", "fx_images", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN concat('http://host/data/', path) END AS url FROM fx_images")
@@ -775,7 +820,7 @@ def _r7(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _comet_lines(_derived(events, "fx_comet_lines"))
     q = lines.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(lambda d, epoch: jobs.refresh_comets(d, epoch, f"{base}/out")).start()
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("report_id", "date_frac", "jd", "mag", "dist", "pred_mag", "name")
+    return jobs.read_comets(spark, f"{base}/out").select(F.col("report_id").cast("long").alias("report_id"), "date_frac", "jd", "mag", "dist", "pred_mag", "name")
 
 
 QUERIES["r7_stream_comets"], ORACLE_SQL["r7_stream_comets"] = _r7, ORACLE_SQL["g7_comet_observations"]
@@ -798,10 +843,43 @@ def _(events):
     return jobs.completion_gate(revisions).select(F.col("report_id").cast("long").alias("report_id"), F.lit(1).cast("long").alias("n"))
 
 
+@query("r3_growing_files", "fx_report_text", "SELECT report_id, length(text)::BIGINT AS n_chars, md5(text) AS text_md5, count(*) AS n FROM fx_report_text WHERE contains(text, 'Processing complete!') GROUP BY ALL")
+def _(df):
+    """Report files are written in part, looked at, ended, and looked at again: each finished one comes once, at its end."""
+    from nightsift.streaming import jobs
+
+    spark, base = df.sparkSession, shared(df.sparkSession, "growing")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    whole = df.select(F.concat("report_id", F.lit("/index.html")).alias("file"), "text", "report_no")
+    half = F.when(F.col("report_no") % 4 == 0, F.col("text")).otherwise(F.substring("text", F.lit(1), F.floor(F.length("text") / 2).cast("int")))
+    for rows in (whole.withColumn("text", half), whole.where("report_no % 4 > 0")):
+        write_files(rows, f"{base}/reports")
+        revisions = jobs.stream_revisions(spark, f"{base}/reports", f"{base}/log")
+        stream = jobs.completion_gate(revisions).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+        stream.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out").groupBy("report_id", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5")).agg(F.count("*").alias("n"))
+
+
+@query("s3_set_aside", "fx_candidates", "SELECT CASE event_id % 40 WHEN 1 THEN 'not readable' WHEN 2 THEN 'newer version' WHEN 3 THEN 'no version' WHEN 4 THEN 'no candidates' WHEN 5 THEN 'not readable' ELSE 'read' END AS reason, count(*) AS n FROM fx_candidates GROUP BY ALL")
+def _(df):
+    """Documents, some of them broken: those are set aside with a reason, the others read."""
+    from nightsift.sources.readers import split_candidate_json
+
+    spark, path, n = df.sparkSession, shared(df.sparkSession, "mixed-documents"), F.col("event_id") % 40
+    doc = F.concat(F.lit('{"schema_version": '), F.when(n == 2, "3").otherwise("2"), F.lit(', "candidates": [{"id": "'), "id", F.lit('", "new_field": 1, "classification": "new", "mean": '), F.when(n == 5, F.lit("7")).otherwise(F.lit('{"mag": 9.5}')), F.lit("}]}"))
+    doc = F.when(n == 1, F.lit('{"schema_version": 2, "candi')).when(n == 3, F.lit('{"candidates": []}')).when(n == 4, F.lit('{"schema_version": 1}')).otherwise(doc)
+    df.select(doc.alias("value")).write.text(path)
+    good, aside = split_candidate_json(spark, path, lines=True)
+    return good.select(F.lit("read").alias("reason")).union(aside.select("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query("r8_late_rows", "fx_field_reports", "SELECT report_id, mtime < TIMESTAMP '1998-08-02' - INTERVAL 100000 MINUTE AS late FROM fx_field_reports")
 def _(df):
-    in_time, late = reports.split_late(_reports(df), NOW, 100000)
-    return in_time.select("report_id", F.lit(False).alias("late")).union(late.select("report_id", F.lit(True)))
+    from nightsift.streaming.jobs import write_late
+
+    spark, path = df.sparkSession, shared(df.sparkSession, "late")
+    in_time = write_late(_reports(df).select("report_id", "mtime"), 0, path, 100000, NOW)
+    return in_time.select("report_id", F.lit(False).alias("late")).union(spark.read.parquet(path).select("report_id", F.lit(True)))
 
 
 SUMMARY = rf"""SELECT 'Stas' AS camera, regexp_extract(text,'UT (\S+ \d+:\d+:\d+)',1) AS obs_time, field, concat(report_id, '/small_field_preview.png') AS preview, status, concat(report_id, '/') AS log, CASE WHEN status <> 'CAMERA STUCK' THEN list_max(list_transform(regexp_extract_all(text,'image centers ([0-9.]+) deg',1), lambda x: CAST(x AS DOUBLE))) END AS pointing_offset_deg,
@@ -836,15 +914,14 @@ def _(df):
 
 @query("s3_candidate_documents", "fx_candidates", f"SELECT concat_ws('_', cam_no, event_id // 50) AS source_report, id, {CLASS} AS classification FROM fx_candidates")
 def _(df):
-    """Candidate documents, a file each, read again by the reader of JSON documents."""
+    """Candidate documents, written by their sink and read again by the reader of JSON documents."""
     from nightsift.sources.readers import read_candidate_json
-    from nightsift.sources.sinks import candidate_documents
+    from nightsift.sources.sinks import write_candidate_documents
 
     spark, path = df.sparkSession, shared(df.sparkSession, "documents")
     report = F.concat_ws("_", "cam_no", F.floor(F.col("event_id") / 50))
-    docs = candidate_documents(c.classify(df).withColumn("report_id", report).withColumn("pos", F.col("event_id")), None, "2026-01-01T00:00:00Z")
-    docs.write.option("maxRecordsPerFile", 1).json(path)
-    return read_candidate_json(spark, path).select("source_report", F.explode("candidates").alias("x")).select("source_report", "x.id", "x.classification")
+    write_candidate_documents(c.classify(df).withColumn("report_id", report).withColumn("pos", F.col("event_id")), None, path, "2026-01-01T00:00:00Z")
+    return read_candidate_json(spark, path, lines=True).select("source_report", F.explode("candidates").alias("x")).select("source_report", "x.id", "x.classification")
 
 
 @query("s12_archive_entries", "fx_archive_entries", "SELECT entry, CAST(row_number() OVER (PARTITION BY archive_id ORDER BY pos) - 1 AS BIGINT) AS pos FROM fx_archive_entries")

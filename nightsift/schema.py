@@ -2,7 +2,7 @@
 
 CANDIDATE_DOCUMENT = """schema_version BIGINT, generated_at_utc STRING, source_report STRING, url_of_data_processing_root STRING,
 session STRUCT<date_utc: STRING, session: STRING, camera: STRING>,
-totals STRUCT<candidates: BIGINT, new: BIGINT, known_asteroid: BIGINT, known_variable: BIGINT, known_transient: BIGINT>,
+totals STRUCT<total: BIGINT, new: BIGINT, known_asteroid: BIGINT, known_variable: BIGINT, known_transient: BIGINT>,
 candidates ARRAY<STRUCT<id: STRING, field: STRING, classification: STRING,
  mean: STRUCT<date_utc_iso: STRING, date_utc_dayfraction: STRING, jd_utc: DOUBLE, mag: DOUBLE, ra_hms: STRING, dec_dms: STRING, ra_deg: DOUBLE, dec_deg: DOUBLE, galactic_l_deg: DOUBLE, galactic_b_deg: DOUBLE, constellation: STRING>,
  second_epoch_separation: STRUCT<arcsec: DOUBLE, pix: DOUBLE>, cutouts: MAP<STRING, STRING>,

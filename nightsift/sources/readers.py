@@ -5,13 +5,17 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterable, Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from nightsift.operators import comets, coverage, lightcurve, reports
 from nightsift.schema import CANDIDATE_DOCUMENT
+from nightsift.sources.revisions import opened
+from nightsift.sources.sinks import SCHEMA_VERSION
 
 
 def read_field_reports(spark: SparkSession, root: str, glob: str = "results*/index.html") -> DataFrame:
@@ -27,9 +31,30 @@ def read_combined_reports(spark: SparkSession, path: str) -> DataFrame:
     return reports.parse_session_name(df, "report_id")
 
 
-def read_candidate_json(spark: SparkSession, path: str) -> DataFrame:
-    """S3: candidate documents of either schema version; empty and error documents have null parts."""
-    return spark.read.schema(CANDIDATE_DOCUMENT).option("multiLine", True).json(path)
+def read_candidate_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """S3: candidate documents of either schema version; empty and error documents have null parts. What is no such document is left out."""
+    return split_candidate_json(spark, path, lines)[0]
+
+
+def split_candidate_json(spark: SparkSession, path: str, lines: bool = False, newest: int = SCHEMA_VERSION) -> tuple[DataFrame, DataFrame]:
+    """S3: the documents, and those set aside: path, reason, document (its text).
+
+    A document is a file, or a line of one (`lines`: what K1 writes). Set aside are texts that are no JSON object, that have
+    a field of another type than the schema's, without a version or candidates, or of a version after `newest`; columns
+    that the schema does not know are no fault. Nothing else of a file or table is lost by them.
+    """
+    text = spark.read.text(path, wholetext=not lines).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
+    fields = StructType.fromDDL(CANDIDATE_DOCUMENT).fields
+    schema = StructType([*fields, StructField("_broken", StringType())])
+    rows = text.where(F.trim("document", F.lit(" \t\r\n")) != "").withColumn("d", F.from_json("document", schema, {"columnNameOfCorruptRecord": "_broken", "mode": "PERMISSIVE"}))
+    reason = (
+        F.when(F.col("d").isNull() | F.col("d._broken").isNotNull(), "not readable")
+        .when(F.col("d.schema_version").isNull(), "no version")
+        .when(F.col("d.schema_version") > newest, "newer version")
+        .when(F.col("d.candidates").isNull(), "no candidates")
+    )
+    rows = rows.withColumn("reason", reason)
+    return rows.where("reason is null").select(*(F.col(f"d.{f.name}") for f in fields)), rows.where("reason is not null").select("path", "reason", "document")
 
 
 def _files(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
@@ -58,25 +83,53 @@ def read_comet_table(spark: SparkSession, path: str) -> DataFrame:
     return comets.parse_comet_table(spark.read.text(path))
 
 
-def read_archive_entries(spark: SparkSession, path: str, max_bytes: int = (2 << 30) - 1, glob: str = "*.{zip,rar}") -> DataFrame:
-    """Archive, size_bytes, ext, magic, pos, entry; pos and entry are null for what is no readable ZIP.
+#: File systems whose files the tasks can read in part; archives elsewhere are read whole (2 GB at most, Spark's limit).
+IN_PARTS = ("file", "hdfs", "s3", "gs", "abfs", "abfss")
+
+
+def _directory(file: BinaryIO) -> list[str]:
+    """Names in a ZIP's directory, which is found from the end of the file (ZIP64 included); entries are not read."""
+    with zipfile.ZipFile(file) as z:
+        return z.namelist()
+
 
-    The directory of a ZIP is read without extraction, in the tasks. Files above max_bytes are listed with their size, and
-    null magic, pos and entry: their content is not read, since Spark reads a binary file whole (2 GB at most).
+def _entries(archive: str, size: int, magic: bytes, names: list[str] | None) -> pd.DataFrame:
+    known = names or [None]
+    return pd.DataFrame({"archive": archive, "size_bytes": size, "ext": "." + archive.rpartition(".")[2].lower(), "magic": magic, "pos": [None if x is None else i for i, x in enumerate(known)], "entry": known}).astype({"pos": "Int64"})
+
+
+def read_archive_entries(spark: SparkSession, path: str, glob: str = "*.{zip,rar}") -> DataFrame:
+    """Archive, size_bytes, ext, magic, pos, entry; pos and entry are null for what is no readable ZIP, and for an empty one.
+
+    Of a ZIP only its end and its directory are read, by ranges, so archives of any size are listed in little memory; a task
+    opens its archives one after another. Rows are dealt out by path, so that many small listings do not share a task.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    small = files.where(F.col("length") <= max_bytes)
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ranged(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for p, n in zip(b["path"], b["length"], strict=True):
+                store, name = opened(p)
+                with store.open_input_file(name) as f:
+                    magic = f.read(4)
+                    try:
+                        names = _directory(f)
+                    except (zipfile.BadZipFile, NotImplementedError, ValueError):  # a place before the file's beginning is a ValueError here
+                        names = None
+                yield _entries(p, n, magic, names)
+
+    def whole(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for p, n, content in zip(b["path"], b["length"], b["content"], strict=True):
                 try:
-                    names = zipfile.ZipFile(io.BytesIO(content)).namelist()
-                except zipfile.BadZipFile:
-                    names = [None]
-                yield pd.DataFrame({"archive": p, "size_bytes": n, "ext": "." + p.rpartition(".")[2].lower(), "magic": bytes(content[:4]), "pos": [None if x is None else i for i, x in enumerate(names)], "entry": names}).astype({"pos": "Int64"})
-
-    read = small.select("path", "length", "content").mapInPandas(run, "archive string, size_bytes long, ext string, magic binary, pos long, entry string")
-    ending = F.concat(F.lit("."), F.lower(F.substring_index("path", ".", -1)))
-    large = files.where(F.col("length") > max_bytes).select("path", "length", ending, F.lit(None).cast("binary"), F.lit(None).cast("long"), F.lit(None).cast("string"))
-    return read.union(large)
+                    names = _directory(io.BytesIO(content))
+                except (zipfile.BadZipFile, NotImplementedError, UnicodeDecodeError):
+                    names = None
+                yield _entries(p, n, bytes(content[:4]), names)
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    schema = "archive string, size_bytes long, ext string, magic binary, pos long, entry string"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() not in IN_PARTS:
+        return files.select("path", "length", "content").mapInPandas(whole, schema)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return files.select("path", "length").repartition(partitions, "path").mapInPandas(ranged, schema)  # contents are not read

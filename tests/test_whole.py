@@ -37,10 +37,11 @@ PAIRED = "SELECT t.target_id, i.*, least(greatest(window_days,1),30) AS days, le
 
 
 def test_w2_all_targets(spark, con):
+    real = f"SELECT f.target_id, i.*, least(greatest(max_images,1),50) AS images FROM (SELECT DISTINCT target_id, field FROM ({registry.FIELDS})) f JOIN fx_images i USING (field) JOIN (SELECT target_id, max_images FROM fx_targets) USING (target_id)"
     stamp = r"regexp_extract(path,'(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})',1)"
-    want = con.execute(oracle(f"SELECT target_id, event_id, CAST(n AS INT), total, total > images FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY {stamp} DESC, dir_date DESC, split_part(path,'/',1) DESC, split_part(path,'/',2)) AS n, count(*) OVER (PARTITION BY target_id) AS total FROM ({PAIRED})) WHERE n <= images")).fetchall()
+    want = con.execute(oracle(f"SELECT target_id, event_id, CAST(n AS INT), total, total > images FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY {stamp} DESC, dir_date DESC, split_part(path,'/',1) DESC, split_part(path,'/',2)) AS n, count(*) OVER (PARTITION BY target_id) AS total FROM ({real})) WHERE n <= images")).fetchall()
     got = rows(spark, "w2_newest_images", ["target_id", "event_id", "rank", "total", "capped"])
-    assert got == sorted(want) and len({t[0] % 50 for t in got}) == 50
+    assert got == sorted(want) and len({t[0] % 50 for t in got}) > 1 and any(t[4] for t in got)
 
 
 def test_w3_all_targets(spark, con):
