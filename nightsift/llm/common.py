@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -86,18 +88,43 @@ def in_bits(number: Column) -> Column:
     return (F.bitmap_bucket_number(number + 1) == F.col("bucket")) & (F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1)
 
 
+def text_bytes(column: pa.Array) -> np.ndarray:
+    """Bytes of text in each value of a column, those of a struct's fields included."""
+    if pa.types.is_struct(column.type):
+        return sum((text_bytes(c) for c in column.flatten()), np.zeros(len(column), np.int64))
+    if pa.types.is_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
+        return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.zeros(len(column), np.int64)
+
+
+def give_back() -> None:
+    """Memory that earlier tasks of this worker are done with goes back to the system (workers live from stage to stage)."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # glibc alone has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to at most so many rows and bytes of text (a longer text alone), so that Python objects and
-    features are made for few texts at a time. Only string and binary columns of their own count, not those in structs."""
+    features are made for few texts at a time."""
+    give_back()
     for batch in batches:
-        size = np.zeros(batch.num_rows, np.int64)
-        for c in batch.columns:
-            if pa.types.is_string(c.type) or pa.types.is_binary(c.type) or pa.types.is_large_string(c.type) or pa.types.is_large_binary(c.type):
-                size += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(size)
+        ends = np.cumsum(sum((text_bytes(c) for c in batch.columns), np.zeros(batch.num_rows, np.int64)))
         at = 0
         while at < batch.num_rows:
             fit = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most_bytes, "right"))
             end = min(max(fit, at + 1), at + rows, batch.num_rows)
             yield batch.slice(at, end - at)
             at = end
+    give_back()
+
+
+def texts_of(batch: pa.RecordBatch, text: str, row: str, field: str | None) -> list[bytes]:
+    """The batch's texts as bytes (null: empty): of the column `text`, or of that field of whole rows, where each text is there once."""
+    column = batch.column(text) if field is None else pc.struct_field(batch.column(row), field).cast(pa.binary())
+    return [x or b"" for x in column.to_pylist()]
+
+
+def text_unless(docs: DataFrame, text_col: str, keep: bool) -> Column:
+    """The text for a function in Arrow, null where whole rows go with it (see texts_of)."""
+    return (F.lit(None) if keep else F.col(text_col)).cast("binary")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, slices, whole_row
+from .common import crc_mod, slices, text_unless, texts_of, whole_row
 from .linear import BITS, calibrated, character_ngrams, sample_of, sparse_sample, unit, word_ngrams
 
 #: Fixed values.
@@ -78,12 +78,12 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, add = sent.value
         for part in slices(batches, 16):
-            texts = [x or b"" for x in part.column(1).to_pylist()]
+            texts = texts_of(part, "t", "row", text_col if keep else None)
             z = features(texts) @ weights + add
             cols = np.array([rules(x) for x in texts], np.int64).reshape(-1, 5).T
             yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, cols), pa.array((1 / (1 + np.exp(-np.clip(z, -30, 30)))).astype(float)), part.column(2)], names)
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"), whole_row(docs, keep).alias("row"))
+    rows = docs.select(F.col(id_col).alias("id"), text_unless(docs, text_col, keep).alias("t"), whole_row(docs, keep).alias("row"))
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("id", "row")}
     out = rows.mapInArrow(run, f"id {kinds['id']}, {', '.join(f'{c} long' for c in counts)}, p_low double, row {kinds['row']}")
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

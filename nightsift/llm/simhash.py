@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices, whole_row
+from .common import materialize, slices, text_unless, texts_of, whole_row
 from .components import stars
 
 RADIUS = 2
@@ -42,11 +42,11 @@ def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
 
 def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, seed: int, keep: bool) -> DataFrame:
     """Per row: id, fp (signed long), row (a struct of all columns, or a stub)."""
-    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"), whole_row(docs, keep).alias("row"))
+    kept = docs.select(F.col(id_col).alias("id"), text_unless(docs, text_col, keep).alias("t"), whole_row(docs, keep).alias("row"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            fps = np.array([fingerprint(x or b"", width, seed) for x in b.column(1).to_pylist()], np.uint64)
+            fps = np.array([fingerprint(x, width, seed) for x in texts_of(b, "t", "row", text_col if keep else None)], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2)], ["id", "fp", "row"])
 
     return kept.mapInArrow(run, f"id {kept.schema['id'].dataType.simpleString()}, fp long, row {kept.schema['row'].dataType.simpleString()}")
