@@ -423,6 +423,21 @@ def _(load):
     return _cover(load).select("target_id", "path", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
+TURN, EAST = "radians(37.0 * (ref_id % 7))", "CASE WHEN ref_id % 2 = 0 THEN 1 ELSE -1 END * scale_x / 3600.0"
+MATRIX = {"cd11": f"{EAST} * cos({TURN})", "cd12": f"-1 * scale_x / 3600.0 * sin({TURN})", "cd21": f"{EAST} * sin({TURN})", "cd22": f"scale_x / 3600.0 * cos({TURN})", "x0": "nx / 2.0 + ref_id % 3 * 500.0"}
+TURNED = f"""SELECT target_id, path, round(x,6) AS x, round(y,6) AS y FROM (SELECT *, x0 + (cd22*xi - cd12*eta)/(cd11*cd22 - cd12*cd21) AS x, ny/2.0::DOUBLE + (cd11*eta - cd21*xi)/(cd11*cd22 - cd12*cd21) AS y
+FROM (SELECT *, degrees(cos(radians(dec))*sin(radians(ra-ra0))/{COS}) AS xi, degrees((cos(radians(dec0))*sin(radians(dec))-sin(radians(dec0))*cos(radians(dec))*cos(radians(ra-ra0)))/{COS}) AS eta
+FROM fx_targets, (SELECT *, {', '.join(f"CAST({v.replace('3600.0', '3600.0::DOUBLE')} AS DOUBLE) AS {k}" for k, v in MATRIX.items())} FROM fx_ref_images) WHERE {COS} > 0)) WHERE x >= 0 AND x <= nx AND y >= 0 AND y <= ny"""
+
+
+@query("j4_turned_frames", "", TURNED)
+def _(load):
+    """Frames turned by multiples of 37 degrees, every second one flipped, with their reference pixel off the middle."""
+    images = load("fx_ref_images").withColumns({k: F.expr(f"CAST({v.replace('3600.0', '3600.0D').replace('37.0', '37.0D').replace('2.0', '2.0D').replace('500.0', '500.0D')} AS DOUBLE)") for k, v in MATRIX.items()})
+    got = coverage.coverage(load("fx_targets"), images)
+    return got.select("target_id", "path", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
 @query("g1_frame_distances", "", f"SELECT target_id, path, round_even(least(x,y,nx-x,ny-y),0) AS edge_px, round(sqrt((x-nx/2.0::DOUBLE)*(x-nx/2.0::DOUBLE)+(y-ny/2.0::DOUBLE)*(y-ny/2.0::DOUBLE)),6) AS centre_px FROM ({COVER})")
 def _(load):
     return coverage.frame_distances(_cover(load)).select("target_id", "path", "edge_px", F.round("centre_px", 6).alias("centre_px"))

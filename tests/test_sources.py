@@ -98,7 +98,7 @@ def test_coverage_at_the_edges(spark):
     img = spark.createDataFrame([(f"i{k}", 9576, 6388, 5.9, 5.9, ra, dec) for k, (ra, dec) in enumerate([(0.5, 0.0), (359.0, 10.0), (10.0, 88.0), (200.0, -89.0), (120.0, 45.0)])], "path string, nx int, ny int, scale_x double, scale_y double, ra0 double, dec0 double")
     tgt = spark.createDataFrame([(k, ra, dec) for k, (ra, dec) in enumerate([(0.01, 0.1), (359.99, 0.2), (1.0, 12.0), (190.0, 89.9), (20.0, -89.9), (121.0, 46.0), (240.0, 0.0)])], "target_id int, ra double, dec double")
     x, y, cosine = coverage.project(F.col("ra"), F.col("dec"))
-    brute = tgt.crossJoin(img).where(cosine > 0).withColumn("x", x).withColumn("y", y).where("x >= 0 AND x <= nx AND y >= 0 AND y <= ny")
+    brute = tgt.crossJoin(coverage.with_transform(img)).where(cosine > 0).withColumn("x", x).withColumn("y", y).where("x >= 0 AND x <= nx AND y >= 0 AND y <= ny")
     got = coverage.coverage(tgt, img)
     key = lambda d: sorted((r.target_id, r.path) for r in d.collect())
     assert key(got) == key(brute) and len(key(got)) >= 5
