@@ -67,6 +67,33 @@ def test_lost_checkpoint(spark, tmp_path):
     assert poll(spark, tmp_path, "without", None, "twice") == [("results_a", DONE), ("results_c", DONE)]
 
 
+def test_end_to_end(spark, tmp_path, monkeypatch):
+    """A batch that fails before the ledger, a restart, and a lost checkpoint: each report is combined once."""
+
+    def run(name):
+        q = jobs.combine_stream(spark, f"{tmp_path}/in", f"{tmp_path}/base", name, availableNow=True)
+        q.awaitTermination(120)
+        return q.exception()
+
+    def combined():
+        return sorted((r.report_id, r.text) for r in spark.read.parquet(f"{tmp_path}/base/combined").collect())
+
+    put(tmp_path, "results_a", DONE)
+    put(tmp_path, "results_b", "begun\n")
+    assert run("one") is None and combined() == [("results_a", DONE)]
+    put(tmp_path, "results_b", "Processing complete!", "a")
+    append = sinks.append_ledger
+    monkeypatch.setattr(sinks, "append_ledger", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(Exception, match="lost"):
+        run("one")
+    monkeypatch.setattr(sinks, "append_ledger", append)
+    both = [("results_a", DONE), ("results_b", "begun\nProcessing complete!")]
+    assert run("one") is None and combined() == both
+    put(tmp_path, "results_c", DONE)
+    assert run("two") is None and combined() == [*both, ("results_c", DONE)]
+    assert {r.report_id for r in sinks.read_ledger(spark, f"{tmp_path}/base/ledger").collect()} == {"results_a", "results_b", "results_c"}
+
+
 def test_revision_is_read_as_it_was_listed(tmp_path):
     from nightsift.sources.revisions import RevisionReader
 
