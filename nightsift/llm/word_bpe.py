@@ -25,7 +25,7 @@ END_BYTE = b"\xff"
 class WordIds(dict):
     """Chunk (UTF-8, no white space) -> its ids as unsigned 32-bit numbers in the machine's (little-endian) order."""
 
-    def __init__(self, tokenizer_json: str, most: int = 1_000_000):
+    def __init__(self, tokenizer_json: str, most: int = 400_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
