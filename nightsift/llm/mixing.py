@@ -88,14 +88,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     narrow = rows.withColumn("bucket", F.floor(buckets * F.col("key") / (1 + F.col("key"))).cast("int"))
     narrow = materialize(narrow if not keep else narrow.drop("row"), "mix")
 
-    by_bucket = materialize(narrow.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")), "mix-buckets")
+    by_bucket = materialize(narrow.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"), F.count("*").alias("rows")), "mix-buckets")
     targets = source_targets(by_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, share, most)
     whole = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(0)
     planned = targets.withColumn("epochs", whole).withColumn("rest", F.floor("target") - F.col("epochs") * F.col("source_size"))
     planned = materialize(planned, "mix-targets")
-    cuts = materialize(planned.join(cut_rows(narrow, by_bucket, planned), "source", "left"), "mix-cuts")
-
-    placed = (rows if keep else narrow).join(cuts, "source")  # one row per source: a broadcast if the table is small
+    held = by_bucket.groupBy("source").agg(F.sum("rows").alias("rows"))
+    cuts = materialize(planned.join(cut_rows(narrow, by_bucket, planned), "source", "left").join(held, "source"), "mix-cuts")
+
+    # Sources with a 10,000th of all rows or more, at most 10,000 of them, are broadcast; rows of smaller ones, if there are
+    # any, go by source, and none of these fills a task.
+    often = F.col("rows") * 10_000 >= (cuts.agg(F.sum("rows")).first()[0] or 0)
+    large, small, from_rows = F.broadcast(cuts.where(often)), cuts.where(~often), rows if keep else narrow
+    placed = from_rows.join(large, "source")
+    if not small.isEmpty():
+        placed = placed.unionByName(from_rows.join(large.select("source"), "source", "left_anti").join(small, "source"))
     mine = F.struct("key", "id", "size")
     tied = mine.eqNullSafe(F.col("cut")) & (F.col("peers") > 1)
     if cuts.where("peers > 1").isEmpty():

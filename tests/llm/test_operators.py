@@ -165,6 +165,14 @@ def test_mixing(docs, empty):
     assert sum(len(WORD.findall(r.text)) for r in mixed.collect()) == sum(taken.values())
 
 
+def test_mixing_of_very_many_sources(spark):
+    """One source with most rows and thousands of small ones, which are not broadcast, against the plain rule for each."""
+    df = spark.range(24_000).selectExpr("id AS doc_id", "repeat('w ', CAST(1 + id % 5 AS INT)) AS text", "CASE WHEN id % 2 = 0 THEN 'big' ELSE concat('host', lpad(id, 6, '0')) END AS source")
+    got = mixing.mix(df).join(df, "doc_id").groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("source_size").alias("source_size"), F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+    assert len(got) == 12_001 and sum(r.n for r in got) == 24_000
+    assert all(r.source_size == r.size and r.taken == int(r.target) <= 2 * r.size for r in got)
+
+
 @pytest.mark.parametrize("doc_id", [7, None])
 def test_mixing_ends_among_rows_that_tie(spark, doc_id):
     docs = spark.createDataFrame([(doc_id, "a b c", "x")] * 101 + [(1, None, "y"), (2, "", "y")], "doc_id long, text string, source string")
