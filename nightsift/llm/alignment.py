@@ -81,7 +81,7 @@ def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
 
-class Column:
+class Numbers:
     """An array of whole numbers that grows by doubling."""
 
     def __init__(self) -> None:
@@ -107,8 +107,7 @@ class Windows(dict):
         super().__init__()
         self.bytes_a, self.bytes_b, self.most, self.many = bytes_a, bytes_b, most, many
         self.size_a, self.size_b = (np.array([len(t) for t in x], np.int64) for x in (bytes_a, bytes_b))
-        size_a, size_b = self.size_a, self.size_b
-        numbers = [str(i) for i in range(max(len(size_a), len(size_b)))]
+        numbers = [str(i) for i in range(max(len(bytes_a), len(bytes_b)))]
         self.width, self.strings = len(numbers), [n + c for c in ",|;\n" for n in numbers]
         self.reset()
 
@@ -117,7 +116,7 @@ class Windows(dict):
         self.held = 0
         self.texts: list[str] = []
         self.raw: list[bytes | None] = []
-        self.groups, self.links, self.start, self.size, self.pairs, self.times = (Column() for _ in range(6))
+        self.groups, self.links, self.start, self.size, self.pairs, self.times = (Numbers() for _ in range(6))
 
     def trim(self) -> None:
         if self.held > self.most:
