@@ -274,3 +274,15 @@ def test_document_warnings_and_late_rows(spark, tmp_path):
     late = spark.createDataFrame([("a", T0), ("b", T0 - timedelta(hours=13))], "report_id string, mtime timestamp")
     assert [r.report_id for r in jobs.write_late(late, 3, str(tmp_path / "late"), now=T0).collect()] == ["a"]
     assert [r.report_id for r in spark.read.parquet(str(tmp_path / "late/batch=3")).collect()] == ["b"]
+
+
+def test_newest_images_are_merged_once_for_a_set_of_fields(spark):
+    """1,200 targets of 3 sets of fields: rows that are ranked grow with the sets, not with the targets."""
+    targets = spark.range(1200).selectExpr("id AS target_id", "CAST(1 + id % 50 AS INT) AS images")
+    fields = targets.selectExpr("target_id", "explode(CASE target_id % 400 WHEN 0 THEN array('a') WHEN 1 THEN array('b', 'c') ELSE array('a', 'b', 'c') END) AS field")
+    images = spark.range(300).selectExpr("id AS event_id", "DATE '2024-01-01' AS dir_date", "substr('abc', CAST(id % 3 + 1 AS INT), 1) AS field", "concat('d/wcs_fd_x_2024-01-01_00-', lpad(CAST(id % 60 AS STRING), 2, '0'), '-00_', id, '.fits') AS path")
+    got = lightcurve.newest_images(targets, fields, images)
+    rows = got.groupBy("target_id").agg(F.count("*").alias("n"), F.max("total").alias("total"), F.max("images").alias("images")).collect()
+    assert len(rows) == 1200 and all(r.n == min(r.images, r.total) for r in rows) and {r.total for r in rows} == {100, 200, 300}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [row_number()" in plan and not any("target_id" in line for line in plan.splitlines() if "Window" in line)
