@@ -6,6 +6,7 @@ unit where it follows an equals sign, so a `>` in it ends no tag, and a `<` that
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from html.entities import html5
 
@@ -36,6 +37,10 @@ def table(entries: dict[str, str]) -> Column:
     return F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in entries.items())), F.lit("\x02"), F.lit("\x01"))
 
 
+#: The names of character references, in so many maps by a checksum of the name: a map is searched from its beginning.
+NAMES = [{k: v for k, v in html5.items() if zlib.crc32(k.encode()) % 64 == i} for i in range(64)]
+
+
 #: White space of any script, as at the ends of a cell's text.
 BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
@@ -57,10 +62,17 @@ def numbered(reference: Column) -> Column:
 
 def named(reference: Column) -> Column:
     """The characters of &name; else of its longest beginning that is a name without semicolon, and the rest as it is."""
-    known = table(dict(html5))
+    known = F.array(*map(table, NAMES))
     short = F.regexp_extract(reference, rf"^&({SHORT})", 1)
     rest = F.substring(reference, F.length(short) + 2, F.length(reference))
-    return F.coalesce(F.try_element_at(known, F.substring(reference, F.lit(2), F.length(reference))), F.when(short != "", F.concat(F.try_element_at(known, short), rest)), reference)
+    meant = lambda name: F.try_element_at(F.get(known, (F.crc32(name) % len(NAMES)).cast("int")), name)
+    return F.coalesce(meant(F.substring(reference, F.lit(2), F.length(reference))), F.when(short != "", F.concat(meant(short), rest)), reference)
+
+
+def gaps(text: Column, pattern: str) -> Column:
+    """What split(text, pattern, -1) gives: split compiles a pattern for each text, but not a single character."""
+    mark = "\x01"
+    return F.when(F.contains(text, F.lit(mark)), F.split(text, pattern, -1)).otherwise(F.split(F.regexp_replace(text, pattern, mark), mark, -1))
 
 
 def unescaped(text: Column) -> Column:
@@ -71,8 +83,7 @@ def unescaped(text: Column) -> Column:
 def _unescaped(text: Column) -> Column:
     found = F.regexp_extract_all(text, F.lit(f"({REFERENCE})"), F.lit(1))
     decoded = F.concat(F.transform(found, lambda r: F.when(F.substring(r, 2, 1) == "#", numbered(r)).otherwise(named(r))), F.array(F.lit("")))
-    gaps = F.split(text, REFERENCE, -1)
-    return F.when(F.contains(text, F.lit("&")), F.array_join(F.zip_with(gaps, decoded, lambda g, d: F.concat(g, d)), "")).otherwise(text)
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.zip_with(gaps(text, REFERENCE), decoded, lambda g, d: F.concat(g, d)), "")).otherwise(text)
 
 
 def text_of(html: Column) -> Column:
@@ -84,9 +95,9 @@ def _text_of(html: Column) -> Column:
     raw = html.rlike(r"(?i)<(?:script|style)[\s/>]")
     inner = lambda t: F.when(t.rlike(r"(?is)^<(?:script|style)[\s/>]"), F.regexp_extract(t, rf"(?is)^<(?:script|style)(?:[\s/]{INSIDE})?+>(.*?)(?:</(?:script|style)(?=[\s/>])[^>]*+>|\z)", 1)).otherwise("")
     tokens = F.concat(F.transform(F.regexp_extract_all(html, F.lit(f"({TOKEN})"), F.lit(1)), inner), F.array(F.lit("")))
-    with_raw = F.array_join(F.zip_with(F.split(html, TOKEN, -1), tokens, lambda g, t: F.concat(unescaped(g), t)), "")
+    with_raw = F.array_join(F.zip_with(gaps(html, TOKEN), tokens, lambda g, t: F.concat(unescaped(g), t)), "")
     # references do not reach over tags, so these must not become one by what is cut between
-    plain = F.array_join(F.transform(F.split(html, TOKEN, -1), unescaped), "")
+    plain = F.array_join(F.transform(gaps(html, TOKEN), unescaped), "")
     return F.when(raw, with_raw).when(F.contains(html, F.lit("&")), plain).when(F.contains(html, F.lit("<")), F.regexp_replace(html, TOKEN, "")).otherwise(html)
 
 

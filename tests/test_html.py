@@ -76,3 +76,27 @@ def test_extractors_on_odd_markup(spark):
     assert r.cutouts == {"reference": "http://b/p_1_F_2026-1_reference.png"}
     assert r.external_links == {"tns": "http://wis-tns.org/x?a=1&b=2"}
     assert r.discovery_images[0].label == "Discovery image 1" and r.discovery_images[0].mag == 11.25
+
+
+def test_gaps_are_those_of_split(spark):
+    """Also in texts that hold the mark, begin or end with a match, or have none."""
+    from nightsift.functions.html import TOKEN, gaps
+
+    rows = ["", "a", "<b>", "<b>a<i></i>b</b>", "\x01", "a\x01<b>c\x01", "<p>\x01</p>", "x<b>"]
+    df = spark.createDataFrame([(x,) for x in rows], "t string").select("t", gaps(F.col("t"), TOKEN).alias("g"), F.split("t", TOKEN, -1).alias("s"))
+    got = df.collect()
+    assert len(got) == len(rows) and all(r.g == r.s for r in got)
+
+
+def test_candidates_are_cut_and_parsed_once(spark):
+    """Spark adds no test of what is exploded, which would make texts and rows twice."""
+    from nightsift.operators import candidates as c
+    from nightsift.plans import registry
+
+    reports = spark.range(4).select(F.col("id").alias("report_id"), F.concat(F.lit("x<a name='c"), F.col("id").cast("string"), F.lit("'><HR>y<HR>z")).alias("text"))
+    reports = reports.union(spark.createDataFrame([(9, None), (10, "no anchor<HR>"), (11, "<a name='b'> no end")], "report_id long, text string"))
+    cut = c.split_candidates(reports)
+    assert sorted((r.report_id, r.pos, r.html) for r in cut.collect()) == [(i, k, h) for i in range(4) for k, h in enumerate((f"<a name='c{i}'>", "y"))]
+    for df, times in ((cut, 1), (registry.QUERIES["p9_discovery_images"](spark, "/root/testdata/sf0.001"), 1)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert max(plan.count("split("), 1) >= times and "Filter (size(" not in plan and not any("Filter" in x and "split(" in x for x in plan.splitlines())
