@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import io
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -18,16 +19,81 @@ from nightsift.sources.revisions import opened
 from nightsift.sources.sinks import SCHEMA_VERSION
 
 
+def _whole_files(spark: SparkSession, root: str, *levels: str) -> DataFrame:
+    """path, mtime, size_bytes, text of the files root/level/..., each level a name or a pattern; empty and hidden files are left out.
+
+    A task lists the first level; its names are dealt out, and tasks list the levels below and read the files. So neither the
+    driver's memory nor the number of tasks grows with the number of files, as they do where Spark lists them.
+    """
+
+    def found(at: str, level: str, directory: bool):  # noqa: ANN202
+        from pyarrow import fs
+
+        store, path = opened(at)
+        kind = fs.FileType.Directory if directory else fs.FileType.File
+        plain = not any(x in level for x in "*?[")
+        infos = [store.get_file_info(f"{path}/{level}")] if plain else store.get_file_info(fs.FileSelector(path, allow_not_found=True))
+        return ((f"{at}/{x.base_name}", x) for x in infos if x.type == kind and x.base_name[:1] not in "._" and (plain or fnmatch.fnmatchcase(x.base_name, level)))
+
+    def top(_: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _b in _:
+            if len(_b):
+                names = [p for p, _i in found(root, levels[0], len(levels) > 1)]
+                for i in range(0, len(names), 10_000):
+                    yield pd.DataFrame({"at": names[i : i + 10_000]})
+
+    def files(at: str, below: tuple[str, ...]) -> Iterator[tuple]:
+        if below:
+            for path, info in found(at, below[0], len(below) > 1):
+                yield from files(path, below[1:]) if len(below) > 1 else [(path, info)]
+        else:
+            store, path = opened(at)
+            yield at, store.get_file_info(path)
+
+    def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns, held, n = ["path", "ms", "size_bytes", "body"], [], 0
+        for b in batches:
+            for at in b["at"]:
+                for uri, info in files(at, levels[1:]):
+                    if info.size:
+                        store, path = opened(uri)
+                        with store.open_input_stream(path) as f:
+                            held.append((uri, info.mtime_ns // 1_000_000, info.size, f.read()))
+                        n += info.size
+                        if n > 4 << 20:
+                            yield pd.DataFrame(held, columns=columns)
+                            held, n = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=columns)
+
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = spark.range(0, 1, 1, 1).mapInPandas(top, "at string").repartition(tasks, "at").mapInPandas(read, "path string, ms long, size_bytes long, body binary")
+    return rows.select("path", F.timestamp_millis("ms").alias("mtime"), "size_bytes", F.col("body").cast("string").alias("text"))
+
+
+def _in_tasks(spark: SparkSession, root: str) -> bool:
+    """Whether tasks can list and read a folder themselves."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getScheme() in IN_PARTS and not any(x in root for x in "*?[{") and files.exists(where) and files.getFileStatus(where).isDirectory()
+
+
 def read_field_reports(spark: SparkSession, root: str, glob: str = "results*/index.html") -> DataFrame:
-    """report_id (the directory), mtime, size_bytes, text (line ends made \\n). Text is read only where it is used."""
+    """report_id (the directory), mtime, size_bytes, text (line ends made \\n)."""
+    if _in_tasks(spark, root) and "{" not in glob:
+        df = _whole_files(spark, root.rstrip("/"), *glob.split("/"))
+        return df.select(F.element_at(F.split("path", "/"), -2).alias("report_id"), "mtime", "size_bytes", F.regexp_replace("text", "\r\n?", "\n").alias("text"))
     df = spark.read.text(f"{root}/{glob}", wholetext=True)
     return df.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("report_id"), F.col("_metadata.file_modification_time").alias("mtime"), F.col("_metadata.file_size").alias("size_bytes"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
 
 
 def read_combined_reports(spark: SparkSession, path: str) -> DataFrame:
     """report_id (the file name), date_utc, session, camera, text."""
-    df = spark.read.text(path, wholetext=True)
-    df = df.select(F.col("_metadata.file_name").alias("report_id"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
+    if _in_tasks(spark, path):
+        df = _whole_files(spark, path.rstrip("/"), "*").select(F.element_at(F.split("path", "/"), -1).alias("report_id"), F.regexp_replace("text", "\r\n?", "\n").alias("text"))
+    else:
+        df = spark.read.text(path, wholetext=True)
+        df = df.select(F.col("_metadata.file_name").alias("report_id"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
     return reports.parse_session_name(df, "report_id")
 
 

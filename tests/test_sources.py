@@ -109,3 +109,22 @@ def test_sql_functions(spark):
     fn.register(spark)
     r = spark.sql("SELECT jd_to_iso(2461172.6997D) AS a, hms_to_deg('01:00:00') AS b, dms_to_deg('-00:30:00') AS c, field_of('d/wcs_fd_Cyg5_x.fits') AS d, classify(false, true, true, false) AS e").first()
     assert tuple(r) == ("2026-05-12T04:47:34Z", 15.0, -0.5, "Cyg5", "new")
+
+
+def test_report_files_are_listed_by_tasks(spark, tmp_path):
+    """The driver lists no files: the number of tasks does not grow with them, and empty, hidden and other files are left out."""
+    for i in range(300):
+        d = tmp_path / f"results_{i}"
+        d.mkdir()
+        (d / "index.html").write_bytes(b"" if i == 7 else f"a{i}\r\nb\rc".encode())
+        (d / "other.html").write_text("no")
+    (tmp_path / "elsewhere").mkdir()
+    (tmp_path / "elsewhere" / "index.html").write_text("no")
+    got = readers.read_field_reports(spark, str(tmp_path))
+    assert got.rdd.getNumPartitions() <= 4
+    assert sorted((r.report_id, r.text, r.size_bytes) for r in got.collect()) == sorted((f"results_{i}", f"a{i}\nb\nc", len(f"a{i}\r\nb\rc")) for i in range(300) if i != 7)
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    (flat / "20260219_evening_Stas.html").write_text("x\r\ny")
+    (flat / "_hidden").write_text("no")
+    assert [tuple(r) for r in readers.read_combined_reports(spark, f"file://{flat}").select("report_id", "session", "camera", "text").collect()] == [("20260219_evening_Stas.html", "evening", "Stas", "x\ny")]
