@@ -1,6 +1,7 @@
 """Growing files, ledgers, repeated batches, lost checkpoints, and hot keys."""
 
 import os
+import pickle
 import struct
 import tracemalloc
 import zipfile
@@ -113,6 +114,34 @@ def test_revision_is_read_as_it_was_listed(tmp_path):
     assert [r[4] for p in later.partitions(later.initialOffset(), new) for r in later.read(p)] == ["one two"]  # from the beginning
 
 
+def test_polls_are_compared_by_shards(tmp_path, monkeypatch):
+    """The driver holds one shard of a poll's files, never all; parts are places in the polls and cover each last revision once."""
+    from nightsift.sources.revisions import RevisionReader
+
+    n, touched = 20_000, set()
+    files = lambda: ((f"/in/results_20260219_{i}/index.html", 9 if i in touched else 5, i) for i in range(n))
+    monkeypatch.setattr(RevisionReader, "listed", lambda self: files())
+    options = {"path": "/in", "log": str(tmp_path / "log")}
+    reader = RevisionReader(options)
+    tracemalloc.start()
+    ends = [reader.initialOffset(), reader.latestOffset()]
+    parts = reader.partitions(*ends)
+    for touched in (set(range(0, n, 7)), set(range(0, n, 3))):
+        ends.append(reader.latestOffset())
+    assert tracemalloc.get_traced_memory()[1] < 10 << 20
+    tracemalloc.stop()
+    assert ends[-1] == {"poll": 3} and reader.latestOffset() == ends[-1] and len(pickle.dumps(parts)) < 1 << 20
+
+    def sizes(start, end):
+        return sorted(r[3] for p in reader.partitions(start, end) for r in reader.read(p))
+
+    reader.most_bytes = -1  # sizes alone, no texts
+    assert sizes(*ends[:2]) == sizes(ends[0], ends[3]) == list(range(n)) and len(parts) > 300
+    turned = {i for i in range(n) if (i % 7 == 0) != (i % 3 == 0)}
+    assert sizes(ends[2], ends[3]) == sorted(turned)
+    assert sizes(ends[1], ends[3]) == sorted(turned | set(range(0, n, 7)))
+
+
 def test_batch_that_fails_between_sink_and_ledger(spark, tmp_path, monkeypatch):
     rows = lambda *ids: spark.createDataFrame([(i, T0) for i in ids], "report_id string, mtime timestamp")
     out, ledger = f"{tmp_path}/out", f"{tmp_path}/ledger"
