@@ -1,14 +1,16 @@
 """Queries that answer for all of their input, held against DuckDB or plain Python on the smallest tables."""
 
 import weakref
+from datetime import date
 
 import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from nightsift.fixtures import TABLES, oracle
-from nightsift.operators import requests
+from nightsift.operators import lightcurve, requests
 from nightsift.plans import registry
 from nightsift.streaming import jobs
 
@@ -50,6 +52,19 @@ def test_w3_all_targets(spark, con):
     assert got == sorted(want) and len({t % 50 for t, _ in got}) == 50
 
 
+def test_pairs_of_a_field_take_little_space(spark, tmp_path):
+    """Many images of one field, targets with nulls, a field of one side only: all pairs, written in a fraction of a byte each."""
+    images = spark.range(40_001).selectExpr("id AS event_id", "CASE WHEN id < 40000 THEN 'a' END AS field", "date_sub(DATE '2024-01-20', CAST(id % 4 AS INT)) AS dir_date")
+    targets = spark.range(123).selectExpr("id AS target_id", "CASE id WHEN 120 THEN 'b' WHEN 121 THEN NULL ELSE 'a' END AS field", "CAST(1 + id % 3 AS INT) AS days")
+    got = lightcurve.images_for_targets(images.select("field", "event_id"), targets.union(targets)).select("target_id", "event_id")
+    got.write.option("compression", "snappy").parquet(f"{tmp_path}/j5")
+    assert sum(f.stat().st_size for f in (tmp_path / "j5").glob("*.parquet")) < 4 << 20
+    counts = spark.read.parquet(f"{tmp_path}/j5").groupBy("target_id").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("d")).collect()
+    assert {r.target_id for r in counts} == {i for i in range(123) if i not in (120, 121)} and all(r.n == r.d == 40_000 for r in counts)
+    days = lightcurve.images_within_days(targets, images, date(2024, 1, 20)).groupBy("target_id").agg(F.count("*").alias("n"), F.min("dir_date").alias("d")).collect()
+    assert all((r.n, r.d) == (10_000 * (1 + r.target_id % 3), date(2024, 1, 20 - r.target_id % 3)) for r in days) and len(days) == 121
+
+
 def test_w6_all_lines(spark):
     want = []
     for report, text in registry.load(spark, SF, "fx_report_text").select("report_id", "text").collect():
