@@ -228,7 +228,10 @@ def processing_times(runs: DataFrame, keys: list[str]) -> DataFrame:
     return runs.groupBy(*keys).agg(F.count("*").alias("runs"), *each)
 
 
-def with_context(lines: DataFrame, before: int, after: int) -> DataFrame:
-    """For each line the lines around it, in order (within a report)."""
-    around = Window.partitionBy("report_id").orderBy("line_no").rowsBetween(-before, after)
-    return lines.withColumn("context", F.collect_list("line").over(around))
+def with_context(reports: DataFrame, before: int, after: int) -> DataFrame:
+    """report_id, line_no, line, context: for each line of a report's text the lines around it, in order; no row moves."""
+    lines = F.split("text", "\n")
+    split = reports.select("report_id", lines.alias("_lines"))
+    rows = split.select("report_id", "_lines", F.posexplode("_lines").alias("line_no", "line"))
+    first = F.greatest(F.col("line_no") - before, F.lit(0))
+    return rows.select("report_id", "line_no", "line", F.slice("_lines", first + 1, F.col("line_no") - first + 1 + after).alias("context"))

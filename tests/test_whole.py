@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nightsift.fixtures import TABLES, oracle
-from nightsift.operators import lightcurve, requests
+from nightsift.operators import candidates, lightcurve, reports, requests
 from nightsift.plans import registry
 from nightsift.streaming import jobs
 
@@ -73,6 +73,19 @@ def test_w6_all_lines(spark):
     assert rows(spark, "w6_context", ["report_id", "line_no", "context"]) == sorted(want)
 
 
+def test_lines_of_reports_are_not_sorted(spark):
+    """W6 moves no line, P19 no more than a row a report."""
+    rows = [("a", "x\nProcessing fields F\nb\na\nProcessing complete!"), ("a", "Processing fields F\nc\nProcessing complete!"), ("n", None), ("e", ""), ("u", "Processing fields F\nProcessing complete!")]
+    df = spark.createDataFrame(rows, "report_id string, text string")
+    got = reports.with_context(df, 2, 1)
+    want = [(r, i, x, t.split("\n")[max(0, i - 2) : i + 2]) for r, t in rows if t is not None for i, x in enumerate(t.split("\n"))]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert not any(x in got._jdf.queryExecution().executedPlan().toString() for x in ("Exchange", "Sort", "Window"))
+    assert [tuple(r) for r in candidates.combined_body(df).collect()] == [("a", 0, "b"), ("a", 1, "a"), ("a", 0, "c")]
+    plan = registry.QUERIES["p19_combined_body"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+
+
 def test_k1_documents_are_bounded(spark, monkeypatch):
     from nightsift.sources import sinks
 
