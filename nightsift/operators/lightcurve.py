@@ -90,18 +90,21 @@ def _newest(key: str) -> Column:
     return F.row_number().over(Window.partitionBy(key).orderBy(stamp.desc_nulls_last(), F.col("dir_date").desc(), F.substring_index("path", "/", 1).desc(), name))
 
 
-def newest_images(targets: DataFrame, fields: DataFrame, images: DataFrame, limit: str = "images", most: int = 50) -> DataFrame:
+def newest_images(targets: DataFrame, fields: DataFrame | None, images: DataFrame, limit: str = "images", most: int = 50) -> DataFrame:
     """The newest images of each target's fields by the time in the name: targets' columns, the images', rank, total, capped.
 
-    targets (target_id, limit of at most `most`), fields (target_id, field; made distinct here), images (field, path,
-    dir_date, ...). The newest of several fields are among the newest of each, so each field's `most` newest are kept, and
+    targets (target_id, limit of at most `most`), fields (target_id, field; made distinct here; none where targets have sorted
+    lists of them, fields, which had better be on disk, as they are read several times), images (field, path, dir_date, ...). The newest of several fields are among the newest of each, so each field's `most` newest are kept, and
     merged once for each set of fields: targets of one set share the list, and images are never joined to targets. Lists of sets
     with a 1,000th of all targets or more (at most 1,000) are broadcast, those of rarer ones joined by a shuffle. Images without
     a time in their name come last; total: images of all the target's fields; capped: there were more than the limit.
     """
-    mine = targets.drop("field") if "field" in targets.columns else targets
-    sets = fields.where("field is not null").groupBy("target_id").agg(F.sort_array(F.collect_set("field")).alias("_fields"))
-    placed = mine.join(sets, "target_id")
+    mine = targets.drop("field", "fields")
+    if fields is None:
+        placed = targets.where(F.size("fields") > 0).withColumnRenamed("fields", "_fields").drop("field")
+    else:
+        sets = fields.where("field is not null").groupBy("target_id").agg(F.sort_array(F.collect_set("field")).alias("_fields"))
+        placed = mine.join(sets, "target_id")
     classes = placed.groupBy("_fields").agg(F.count("*").alias("_n"))
     each = classes.select("_fields", F.explode("_fields").alias("field"))
     best = images.withColumn("rank", _newest("field")).where(F.col("rank") <= most).drop("rank")

@@ -46,6 +46,17 @@ def test_w2_all_targets(spark, con):
     assert got == sorted(want) and len({t[0] % 50 for t in got}) > 1 and any(t[4] for t in got)
 
 
+def test_newest_images_of_listed_fields(spark):
+    """Targets that bring their fields get what they get by a table of fields; none without a field."""
+    images = spark.range(600).selectExpr("id AS event_id", "concat('F', id % 6) AS field", "date_add(DATE '2024-01-01', CAST(id % 9 AS INT)) AS dir_date", "concat('img/wcs_', date_add(DATE '2024-01-01', CAST(id % 9 AS INT)), '_0', id % 7, '-00-00_', id, '.fits') AS path")
+    targets = spark.range(40).selectExpr("id AS target_id", "CAST(1 + id % 50 AS INT) AS images")
+    fields = targets.selectExpr("target_id", "explode(CASE WHEN target_id % 5 > 0 THEN transform(sequence(1, target_id % 5), i -> concat('F', (i * target_id) % 8)) ELSE array() END) AS field").distinct()
+    lists = fields.groupBy("target_id").agg(F.sort_array(F.collect_set("field")).alias("fields"))
+    listed = targets.join(lists, "target_id", "left").withColumn("fields", F.coalesce("fields", F.array().cast("array<string>")))
+    got, want = (sorted(map(tuple, lightcurve.newest_images(t, f, images).select("target_id", "event_id", "rank", "total", "capped").collect())) for t, f in ((listed, None), (targets, fields)))
+    assert got == want and len({r[0] for r in got}) > 20
+
+
 def test_w3_all_targets(spark, con):
     want = con.execute(oracle(f"SELECT target_id, event_id FROM ({PAIRED}) WHERE dir_date >= (SELECT DATE '2024-01-20') - CAST(days-1 AS INT)")).fetchall()
     got = rows(spark, "w3_within_days", ["target_id", "event_id"])
